@@ -401,6 +401,18 @@ def q_stream_dedup(spark, sf):
     return dedup_stream(_flow(spark, sf).landing, watermark=None).select(*dedup.DEDUP_KEYS)
 
 
+@register("stream_route")
+def q_stream_route(spark, sf):
+    """The real streaming ingest (one availableNow run) over the change events derived from the tables.
+
+    Which twin of a repeated key survives is arrival order, so the result is the
+    surviving keys with their route (the route of twins is the same).
+    """
+    from .medallion import run_stream_ingest_once
+    out = run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P)
+    return out.select("id_salarie", ftime.utc_wall(F.col("date_debut")).alias("date_debut"), "sport_type", "route")
+
+
 @register("stream_anomalies")
 def q_stream_anomalies(spark, sf):
     a = notify.with_anomalies(_flow(spark, sf).landing, P.as_of, P.future_tolerance_s)

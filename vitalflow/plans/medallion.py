@@ -81,6 +81,28 @@ def read_route(spark: SparkSession, out_dir: str, route: str) -> DataFrame:
     return read_table(spark, f"{out_dir}/activities_routed").filter(F.col("route") == route).drop("route")
 
 
+def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Params,
+                           null_policy: str = "quarantine") -> DataFrame:
+    """Land change events as JSON lines, run the streaming ingest to completion (availableNow),
+    and return the routed sink table.
+
+    Every folder lives under the shared checkpoint folder of the session, in a
+    fresh sub-folder per run.
+    """
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming.ingest import read_routes, start_ingest
+    root = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
+    envelopes.filter(F.col("value").isNotNull()).write.mode("overwrite").text(f"{root}/landing")
+    q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
+                     params=params, null_policy=null_policy, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_routes(spark, f"{root}/routed")
+
+
 def run_gold(spark: SparkSession, bronze: DataFrame, ref: DataFrame, params: Params, out_dir: str) -> DataFrame:
     """Write the eligibility table, then KPIs from the written table (computed once)."""
     write_table(gold.eligibility(bronze, ref, params), f"{out_dir}/eligibilite")

@@ -436,6 +436,11 @@ FROM fx_elig"""
     S["fn_truthy"] = ("SELECT id, COALESCE(sport_type, '') = '' AS sport_vide, COALESCE(distance_m, 0) = 0 AS distance_vide, "
                       "COALESCE(commentaire, '') = '' AS commentaire_vide FROM fx_dirty")
     S["stream_dedup"] = "SELECT DISTINCT id_salarie, date_debut, sport_type FROM fx_dirty"
+    S["stream_route"] = (
+        "SELECT DISTINCT id_salarie, date_debut, sport_type, "
+        f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ("
+        "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m "
+        f"FROM ({_cdc_decoded()}) WHERE op <> 'd')")
     S["stream_anomalies"] = f"SELECT id, {_alert_reasons(' | ')} AS anomalies FROM fx_dirty"
     S["stream_messages"] = f"SELECT * FROM ({_messages()}) WHERE type_message = 'message'"
     S["stream_alerts"] = f"SELECT * FROM ({_messages()}) WHERE type_message = 'alerte'"
