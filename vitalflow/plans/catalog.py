@@ -401,6 +401,22 @@ def q_stream_dedup(spark, sf):
     return dedup_stream(_flow(spark, sf).landing, watermark=None).select(*dedup.DEDUP_KEYS)
 
 
+_INGEST_RUNS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _ingested(spark, sf) -> DataFrame:
+    """The routed sink table of one availableNow ingest run, shared by the stream-sink keys of a session."""
+    from .medallion import run_stream_ingest_once
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INGEST_RUNS:
+        _INGEST_RUNS[key] = run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P)
+    return _INGEST_RUNS[key]
+
+
+def _stream_keys(df):
+    return df.select("id_salarie", ftime.utc_wall(F.col("date_debut")).alias("date_debut"), "sport_type", "route")
+
+
 @register("stream_route")
 def q_stream_route(spark, sf):
     """The real streaming ingest (one availableNow run) over the change events derived from the tables.
@@ -408,9 +424,42 @@ def q_stream_route(spark, sf):
     Which twin of a repeated key survives is arrival order, so the result is the
     surviving keys with their route (the route of twins is the same).
     """
-    from .medallion import run_stream_ingest_once
-    out = run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P)
-    return out.select("id_salarie", ftime.utc_wall(F.col("date_debut")).alias("date_debut"), "sport_type", "route")
+    return _stream_keys(_ingested(spark, sf))
+
+
+@register("sink_bronze_stream")
+def q_sink_bronze_stream(spark, sf):
+    """Valid rows of the streaming ingest sink (keys)."""
+    return _stream_keys(_ingested(spark, sf).filter(F.col("route") == "valid"))
+
+
+@register("sink_quarantine_stream")
+def q_sink_quarantine_stream(spark, sf):
+    """Quarantined rows of the streaming ingest sink (keys)."""
+    return _stream_keys(_ingested(spark, sf).filter(F.col("route") == "quarantine"))
+
+
+@register("sink_notify")
+def q_sink_notify(spark, sf):
+    """Messages written by the streaming notifier (availableNow) over the derived change events."""
+    from .medallion import run_stream_notifier_once
+    f = _flow(spark, sf)
+    out = run_stream_notifier_once(spark, f.fx.cdc(), notify.directory(f.hr), P.future_tolerance_s)
+    return out.drop("batch_id")
+
+
+@register("sink_overwrite")
+def q_sink_overwrite(spark, sf):
+    """The eligibility table written in overwrite mode and read back."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.tables import write_table
+    path = scratch_path(spark, f"sink-overwrite-{uuid.uuid4().hex}")
+    elig = _flow(spark, sf).eligibility
+    write_table(elig, path)
+    write_table(elig, path, mode="overwrite")  # a second run replaces, never appends
+    return read_table(spark, path)
 
 
 @register("stream_anomalies")

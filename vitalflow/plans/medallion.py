@@ -103,6 +103,23 @@ def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Pa
     return read_routes(spark, f"{root}/routed")
 
 
+def run_stream_notifier_once(spark: SparkSession, envelopes: DataFrame, directory: DataFrame | None,
+                             tolerance_s: int = 300) -> DataFrame:
+    """Land change events, run the streaming notifier to completion, return the messages table."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming.notifier import start_notifications
+    root = scratch_path(spark, f"stream-notify-{uuid.uuid4().hex}")
+    envelopes.filter(F.col("value").isNotNull()).write.mode("overwrite").text(f"{root}/landing")
+    q = start_notifications(spark, f"{root}/landing", directory, f"{root}/checkpoint",
+                            out_root=f"{root}/messages", available_now=True, tolerance_s=tolerance_s)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_table(spark, f"{root}/messages")
+
+
 def run_gold(spark: SparkSession, bronze: DataFrame, ref: DataFrame, params: Params, out_dir: str) -> DataFrame:
     """Write the eligibility table, then KPIs from the written table (computed once)."""
     write_table(gold.eligibility(bronze, ref, params), f"{out_dir}/eligibilite")

@@ -190,9 +190,15 @@ def _pick(templates: list[str], key: str = "id") -> str:
 
 
 DIRECTORY = "SELECT id_salarie AS _dir_id, max(concat_ws(' ', prenom, nom)) AS nom_complet FROM fx_hr GROUP BY id_salarie"
-NAMED = f"""
+
+
+def _named(source: str = "fx_dirty") -> str:
+    return f"""
   SELECT a.*, COALESCE(d.nom_complet, {q(notify.UNKNOWN_EMPLOYEE)} || COALESCE(CAST(a.id_salarie AS VARCHAR), 'None')) AS nom_affiche
-  FROM fx_dirty a LEFT JOIN ({DIRECTORY}) d ON a.id_salarie = d._dir_id"""
+  FROM ({source}) a LEFT JOIN ({DIRECTORY}) d ON a.id_salarie = d._dir_id"""
+
+
+NAMED = _named("SELECT * FROM fx_dirty")
 
 
 def _alert_reasons(sep: str) -> str:
@@ -218,14 +224,14 @@ def _praise() -> str:
             f"ELSE {filled} END")
 
 
-def _messages() -> str:
+def _messages(source: str = "SELECT * FROM fx_dirty") -> str:
     alert_tpl = q("\n".join(notify.ALERT_LINES))
     alert = _replace_all(alert_tpl, {"nom": "nom_affiche", "anomalies": "anomalies"})
     return f"""
   SELECT id, id_salarie,
     CASE WHEN anomalies <> '' THEN 'alerte' ELSE 'message' END AS type_message,
     CASE WHEN anomalies <> '' THEN {alert} ELSE {_praise()} END AS texte
-  FROM (SELECT *, {_alert_reasons(', ')} AS anomalies FROM ({NAMED}))"""
+  FROM (SELECT *, {_alert_reasons(', ')} AS anomalies FROM ({_named(source)}))"""
 
 
 def _check_desc() -> dict[str, str]:
@@ -436,11 +442,19 @@ FROM fx_elig"""
     S["fn_truthy"] = ("SELECT id, COALESCE(sport_type, '') = '' AS sport_vide, COALESCE(distance_m, 0) = 0 AS distance_vide, "
                       "COALESCE(commentaire, '') = '' AS commentaire_vide FROM fx_dirty")
     S["stream_dedup"] = "SELECT DISTINCT id_salarie, date_debut, sport_type FROM fx_dirty"
-    S["stream_route"] = (
+    stream_keys = (
         "SELECT DISTINCT id_salarie, date_debut, sport_type, "
         f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ("
         "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m "
         f"FROM ({_cdc_decoded()}) WHERE op <> 'd')")
+    S["stream_route"] = stream_keys
+    S["sink_bronze_stream"] = f"SELECT * FROM ({stream_keys}) WHERE route = 'valid'"
+    S["sink_quarantine_stream"] = f"SELECT * FROM ({stream_keys}) WHERE route = 'quarantine'"
+    S["sink_overwrite"] = "SELECT * FROM fx_elig"
+    S["sink_notify"] = _messages(source=(
+        "SELECT id, id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m, "
+        f"make_timestamp(date_fin) AS date_fin, commentaire FROM ({_cdc_decoded()}) "
+        "WHERE after_present AND COALESCE(op <> 'd', TRUE)"))
     S["stream_anomalies"] = f"SELECT id, {_alert_reasons(' | ')} AS anomalies FROM fx_dirty"
     S["stream_messages"] = f"SELECT * FROM ({_messages()}) WHERE type_message = 'message'"
     S["stream_alerts"] = f"SELECT * FROM ({_messages()}) WHERE type_message = 'alerte'"
