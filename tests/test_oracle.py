@@ -40,7 +40,7 @@ def test_entry_runs(spark):
 
 def test_every_survey_key_has_sql_or_is_documented():
     # keys without SQL get the weaker rows-only check; keep that list explicit
-    assert sorted(set(E.queries()) - set(SQL)) == ["src_cdc_stream"]
+    assert sorted(set(E.queries()) - set(SQL)) == []
 
 
 def test_expected_figures_sf001(spark):

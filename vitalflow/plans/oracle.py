@@ -336,6 +336,18 @@ def build() -> dict[str, str]:
     S: dict[str, str] = {}
     dec = f"SELECT {DEC_COLS}, op FROM ({_cdc_decoded()})"
     S["cdc_decode"] = dec
+    S["src_cdc_stream"] = """
+SELECT CASE WHEN id % 79 = 0 THEN NULL
+            WHEN id % 83 = 0 THEN '{not json'
+            WHEN id % 97 <> 0 AND id % 71 = 0 THEN '{"payload":{"after":null,"op":"c"}}'
+            ELSE CAST(to_json({'payload': {'before': CASE WHEN op = 'd' THEN img END,
+                                           'after': CASE WHEN op <> 'd' THEN img END,
+                                           'op': op}}) AS VARCHAR) END AS value
+FROM (SELECT id,
+        {'id': id, 'id_salarie': id_salarie, 'date_debut': epoch_us(date_debut), 'sport_type': sport_type,
+         'distance_m': distance_m, 'date_fin': epoch_us(date_fin), 'commentaire': commentaire} AS img,
+        CASE WHEN id % 97 = 0 THEN 'd' WHEN id % 61 = 0 THEN 'u' WHEN id % 67 = 0 THEN 'r' ELSE 'c' END AS op
+      FROM fx_dirty)"""
     S["cdc_drop_deletes"] = f"{dec} WHERE op <> 'd'"
     S["cdc_guard_empty"] = (f"SELECT {DEC_COLS}, op FROM ({_cdc_decoded()}) "
                             "WHERE after_present AND COALESCE(op <> 'd', TRUE)")

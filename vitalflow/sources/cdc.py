@@ -53,7 +53,10 @@ def envelope_json(op="c", ntz: bool = True) -> Column:
         F.when(op_col == "d", null_image).otherwise(image).alias("after"),
         op_col.alias("op"),
     )
-    return F.to_json(F.struct(payload.alias("payload")))
+    return F.to_json(F.struct(payload.alias("payload")), JSON_OPTIONS)
+
+
+JSON_OPTIONS = {"ignoreNullFields": "false"}  # explicit nulls, as on the CDC wire ("before": null)
 
 
 def encode_envelopes(df: DataFrame, op="c", ntz: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cdc import envelope_json
+from .cdc import JSON_OPTIONS, envelope_json
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,7 +129,7 @@ def cdc_envelopes(dirty_df: DataFrame) -> DataFrame:
     op = (F.when(i % 97 == 0, F.lit("d")).when(i % 61 == 0, F.lit("u"))
           .when(i % 67 == 0, F.lit("r")).otherwise(F.lit("c")))
     null_after = F.to_json(F.struct(F.struct(F.lit(None).cast("string").alias("after"),
-                                             F.lit("c").alias("op")).alias("payload")))
+                                             F.lit("c").alias("op")).alias("payload")), JSON_OPTIONS)
     value = (F.when(i % 79 == 0, F.lit(None).cast("string"))
              .when(i % 83 == 0, F.lit("{not json"))
              .when((i % 97 != 0) & (i % 71 == 0), null_after)
