@@ -54,3 +54,10 @@ def test_kpis_from_written_table_one_exchange(spark, tmp_dir):
 def test_dedup_is_an_aggregate_not_a_window(spark):
     text = plan(E.queries()["dedup_batch"](spark, SF))
     assert "Window" not in text and "partial_min" in text
+
+
+def test_gold_plan_skips_unused_sport_sheet(spark):
+    """The sport sheet is unique per employee, so the gold plan never scans orders."""
+    text = plan(E.queries()["kpis_by_bu"](spark, SF))
+    assert "orders.parquet" not in text
+    assert "orders.parquet" in plan(E.queries()["join_hr_sport"](spark, SF))

@@ -20,11 +20,21 @@ def standardise_hr(ref: DataFrame) -> DataFrame:
     return ref.select(*HR_STD_COLUMNS)
 
 
+def sport_per_employee(sport: DataFrame) -> DataFrame:
+    """The declared-sport sheet reduced to one row per id (the greatest value stands in for
+    "last row wins", since a table has no row order); partial aggregation absorbs repeats."""
+    return sport.groupBy("id_salarie").agg(F.max("pratique").alias("pratique"))
+
+
 def join_sport(hr: DataFrame, sport: DataFrame | None) -> DataFrame:
-    """HR left join the declared-sport sheet (fans out if the sheet repeats an id)."""
+    """HR left join the declared-sport sheet, one sheet row per employee.
+
+    Because the right side is unique per key, Catalyst removes the join (and
+    the sheet scan) from any plan that does not use ``pratique``, e.g. gold.
+    """
     if sport is None:
         return hr.withColumn("pratique", F.lit(None).cast("string"))
-    return hr.join(sport.select("id_salarie", "pratique"), "id_salarie", "left")
+    return hr.join(sport_per_employee(sport), "id_salarie", "left")
 
 
 def practice_flag(hr: DataFrame, sport: DataFrame | None) -> DataFrame:
@@ -36,7 +46,7 @@ def practice_flag(hr: DataFrame, sport: DataFrame | None) -> DataFrame:
     """
     if sport is None:
         return hr.withColumn("pratique_declaree", F.lit(False))
-    one = sport.groupBy("id_salarie").agg(F.max("pratique").alias("_pratique"))
+    one = sport_per_employee(sport).withColumnRenamed("pratique", "_pratique")
     return (hr.join(one, "id_salarie", "left")
             .withColumn("pratique_declaree", F.col("_pratique").isNotNull()).drop("_pratique"))
 

@@ -94,7 +94,9 @@ fx_quarantine AS (
   SELECT id, id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire, motifs
   FROM fx_routed WHERE regle IS NOT TRUE),
 fx_hr_sport AS (
-  SELECT h.*, s.pratique FROM fx_hr h LEFT JOIN fx_sport s ON h.id_salarie = s.id_salarie),
+  SELECT h.*, s.pratique FROM fx_hr h
+  LEFT JOIN (SELECT id_salarie, max(pratique) AS pratique FROM fx_sport GROUP BY id_salarie) s
+  ON h.id_salarie = s.id_salarie),
 fx_ref AS (
   SELECT h.id_salarie, h.prenom, h.nom, h.bu, h.salaire_brut, h.moyen_declare, h.adresse, h.pratique,
     CASE WHEN d.status = 'OK' THEN CAST(d.metres AS DOUBLE) / 1000 END AS distance_km,
