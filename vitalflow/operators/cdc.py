@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import clock, from_micros
 from ..schemas import ACTIVITY_COLUMNS
-from ..sources.cdc import decode_envelope
+from ..sources.cdc import decode_envelope, parse_envelope
 
 
 def drop_deletes(df: DataFrame) -> DataFrame:
@@ -19,9 +19,7 @@ def drop_deletes(df: DataFrame) -> DataFrame:
 
 def decode_with_guard_flag(df: DataFrame, value: str = "value") -> DataFrame:
     """Decoded envelope plus ``after_present`` (the change carries a row image)."""
-    from ..schemas import ENVELOPE_SCHEMA
-    env = F.from_json(F.col(value), ENVELOPE_SCHEMA)
-    return (df.select(env.alias("e"))
+    return (parse_envelope(df, value)
             .select(*[F.col(f"e.payload.after.{c}").alias(c) for c in ACTIVITY_COLUMNS],
                     F.col("e.payload.op").alias("op"),
                     F.col("e.payload.after").isNotNull().alias("after_present")))

@@ -75,7 +75,17 @@ def decode_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     envelopes without ``payload`` decode to all-NULL rows (op NULL); a field of
     the wrong type decodes to NULL alone.
     """
-    env = F.from_json(F.col(value), ENVELOPE_SCHEMA)
-    return (df.select(env.alias("e"))
+    return (parse_envelope(df, value)
             .select(*[F.col(f"e.payload.after.{c}").alias(c) for c in ACTIVITY_COLUMNS],
                     F.col("e.payload.op").alias("op")))
+
+
+def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
+    """One column ``e``: the parsed envelope struct, parsed exactly once per message.
+
+    The one-element ``explode`` is a barrier for predicate pushdown: without it
+    a later filter on ``op`` is pushed below the projection and ``from_json``
+    runs twice per message (once in the filter, once in the projection),
+    which measured twice as slow.
+    """
+    return df.select(F.explode(F.array(F.from_json(F.col(value), ENVELOPE_SCHEMA))).alias("e"))
