@@ -118,3 +118,14 @@ def test_time_types_ltz(spark):
     df = df.withColumn("date_debut", F.col("date_debut").cast("timestamp"))
     got = dict(with_route(df, Params(as_of=AS_OF)).select("id", "route").collect())
     assert got == {1: "valid", 2: "quarantine"}
+
+
+def test_clock_instant_ignores_session_zone(spark):
+    from vitalflow.functions.time import clock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        micros = spark.range(1).select(F.unix_micros(clock(AS_OF, "timestamp"))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert micros == 1706659200000000  # 2024-01-31T00:00:00Z

@@ -36,7 +36,10 @@ def clock(as_of: dt.datetime | None = None, dtype: T.DataType | str = "timestamp
     if as_of is None:
         c = F.current_timestamp()
         return c.cast("timestamp_ntz") if _is_ntz(dtype) else c
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(dtype)
+    if _is_ntz(dtype):
+        return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    # an instant: ``as_of`` read as UTC, independent of the session time zone
+    return F.timestamp_micros(F.lit(_utc_micros(as_of)))
 
 
 def window_start(as_of: dt.datetime | None, days: int, dtype: T.DataType | str = "timestamp_ntz") -> Column:
@@ -51,6 +54,12 @@ def duration_min(start, end) -> Column:
     return F.bround(micros / F.lit(60_000_000.0), 0).cast("long")
 
 
+def _utc_micros(t: dt.datetime) -> int:
+    if t.tzinfo is not None:
+        t = t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
