@@ -30,6 +30,7 @@ HEADLINE = [
     "stream_messages",      # notifier texts (directory join + formatting)
     "quarantine_stats",     # reject reasons per sport and day
     "cdc_timestamps",       # CDC decode path
+    "stream_route",         # streaming ingest: land, decode, watermark dedup, route, write (availableNow)
 ]
 
 

@@ -38,14 +38,21 @@ def join_counts(hr_std: DataFrame, counts: DataFrame) -> DataFrame:
 def eligibility(bronze: DataFrame, referential: DataFrame, params: Params) -> DataFrame:
     """One row per employee with both benefits decided (internal: carries the salary)."""
     p = params
-    out = (join_counts(standardise_hr(referential), count_activities(bronze, p))
-           .withColumn("mode_actif_declare", rules.active_mode())
-           .withColumn("distance_a_valider", rules.distance_pending())
-           .withColumn("eligible_prime", rules.bonus_eligible())
-           .withColumn("montant_prime", rules.bonus_amount(p.taux_prime))
-           .withColumn("eligible_bien_etre", rules.wellness(p.seuil_activites_bien_etre))
-           .withColumn("jours_bien_etre", rules.wellness_days(p.jours_bien_etre_accordes)))
-    return stamp(out, p)
+    joined = join_counts(standardise_hr(referential), count_activities(bronze, p))
+    # flags are built as expressions over the joined columns and added in one projection
+    mode = rules.active_mode()
+    bonus = rules.bonus_eligible(mode)
+    well = rules.wellness(p.seuil_activites_bien_etre)
+    return joined.select(
+        "*",
+        mode.alias("mode_actif_declare"),
+        rules.distance_pending(mode).alias("distance_a_valider"),
+        bonus.alias("eligible_prime"),
+        rules.bonus_amount(p.taux_prime, bonus).alias("montant_prime"),
+        well.alias("eligible_bien_etre"),
+        rules.wellness_days(p.jours_bien_etre_accordes, well).alias("jours_bien_etre"),
+        clock(p.as_of, "timestamp_ntz").alias("calcule_le"),
+    )
 
 
 def stamp(df: DataFrame, params: Params, col: str = "calcule_le") -> DataFrame:

@@ -69,10 +69,12 @@ def with_distance(hr: DataFrame, distances: DataFrame) -> DataFrame:
     """
     d = distances.select("id_salarie", "profile", "metres", "status", F.lit(True).alias("_row"))
     j = hr.join(d, ["id_salarie", "profile"], "left")
-    return (j.withColumn("measured", F.coalesce(F.col("_row"), F.lit(False)))
-            .withColumn("lookup_failed", F.col("measured") & (F.coalesce(F.col("status"), F.lit("")) != "OK"))
-            .withColumn("distance_km", F.when(F.col("status") == "OK", F.col("metres") / F.lit(1000.0)))
-            .drop("_row", "metres", "status"))
+    measured = F.coalesce(F.col("_row"), F.lit(False))
+    keep = [c for c in j.columns if c not in ("_row", "metres", "status")]
+    return j.select(*keep,
+                    measured.alias("measured"),
+                    (measured & (F.coalesce(F.col("status"), F.lit("")) != "OK")).alias("lookup_failed"),
+                    F.when(F.col("status") == "OK", F.col("metres") / F.lit(1000.0)).alias("distance_km"))
 
 
 def build_referential(spark: SparkSession, hr: DataFrame, distances: DataFrame,
@@ -82,9 +84,9 @@ def build_referential(spark: SparkSession, hr: DataFrame, distances: DataFrame,
     modes = modes if modes is not None else modes_table(spark)
     base = join_sport(hr, sport) if sport is not None else hr
     enriched = with_distance(with_mode_rules(base, modes), distances)
-    out = enriched.withColumn("distance_anormale", three_state_anomaly(failed_policy=failed_policy))
     keep = [c for c in base.columns if c not in ("distance_km", "distance_anormale")]
-    return out.select(*keep, "distance_km", "distance_anormale")
+    return enriched.select(*keep, "distance_km",
+                           three_state_anomaly(failed_policy=failed_policy).alias("distance_anormale"))
 
 
 def anomaly_count(ref: DataFrame) -> DataFrame:

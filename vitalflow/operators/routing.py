@@ -36,11 +36,10 @@ def with_route(df: DataFrame, params: Params, null_policy: str = "quarantine",
     tt = time_type(df)
     rule = is_valid(params.as_of, caps, time_type=tt)
     null_route = QUARANTINE if null_policy == "quarantine" else UNROUTED
-    out = df.withColumn("route", F.when(rule, F.lit(VALID)).when(~rule, F.lit(QUARANTINE))
-                        .otherwise(F.lit(null_route)))
+    cols = [F.when(rule, F.lit(VALID)).when(~rule, F.lit(QUARANTINE)).otherwise(F.lit(null_route)).alias("route")]
     if with_reasons:
-        out = out.withColumn("reasons", reasons(params.as_of, caps, time_type=tt))
-    return out
+        cols.append(reasons(params.as_of, caps, time_type=tt).alias("reasons"))
+    return df.select("*", *cols)
 
 
 def route(df: DataFrame, params: Params, null_policy: str = "quarantine",

@@ -401,16 +401,10 @@ def q_stream_dedup(spark, sf):
     return dedup_stream(_flow(spark, sf).landing, watermark=None).select(*dedup.DEDUP_KEYS)
 
 
-_INGEST_RUNS: dict[tuple[str, str], DataFrame] = {}
-
-
 def _ingested(spark, sf) -> DataFrame:
-    """The routed sink table of one availableNow ingest run, shared by the stream-sink keys of a session."""
+    """The routed sink table of one availableNow run of the streaming ingest."""
     from .medallion import run_stream_ingest_once
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _INGEST_RUNS:
-        _INGEST_RUNS[key] = run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P)
-    return _INGEST_RUNS[key]
+    return run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P)
 
 
 def _stream_keys(df):

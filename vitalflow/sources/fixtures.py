@@ -142,9 +142,15 @@ class Fixtures:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._hr: DataFrame | None = None
+        self._dirty: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        """One scan definition per table (the file listing is done once per Fixtures)."""
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def activities(self) -> DataFrame:
         return activities(self.table("events"))
@@ -153,13 +159,17 @@ class Fixtures:
         return faulty(self.activities())
 
     def dirty(self) -> DataFrame:
-        return dirty(self.faulty())
+        if self._dirty is None:
+            self._dirty = dirty(self.faulty())
+        return self._dirty
 
     def hr_sheet(self) -> DataFrame:
         return hr_sheet(self.table("customer"))
 
     def hr(self) -> DataFrame:
-        return hr(self.table("customer"))
+        if self._hr is None:
+            self._hr = hr(self.table("customer"))
+        return self._hr
 
     def distances(self) -> DataFrame:
         return distances(self.hr())
