@@ -7,7 +7,6 @@ row's route and its reasons can never disagree.
 from __future__ import annotations
 
 import datetime as dt
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,7 +18,8 @@ from .time import clock
 def caps_map(caps: dict[str, int] | None = None) -> Column:
     """The cap table as a literal map Column (evaluated inside codegen, no join)."""
     caps = DISTANCE_CAPS_M if caps is None else caps
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(int(v))) for k, v in sorted(caps.items())))
+    entries = ", ".join(f"'{k.replace(chr(39), chr(39) * 2)}', {int(v)}" for k, v in sorted(caps.items()))
+    return F.expr(f"map({entries})")
 
 
 def cap_for(sport="sport_type", caps: dict[str, int] | None = None, default: int = DEFAULT_CAP_M) -> Column:

@@ -59,7 +59,8 @@ def q_cdc_decode(spark, sf):
 
 @register("scan_bronze")
 def q_scan_bronze(spark, sf):
-    return fixtures.activities(read_table(spark, f"{sf}/events.parquet"))
+    from ..schemas import SOURCE_SCHEMAS
+    return fixtures.activities(read_table(spark, f"{sf}/events.parquet", schema=SOURCE_SCHEMAS["events"]))
 
 
 @register("src_hr")

@@ -67,6 +67,14 @@ PARAMS_SCHEMA = T.StructType([
     T.StructField("jours_bien_etre_accordes", T.IntegerType()),
 ])
 
+# Source tables the fixtures are derived from (declared, so no footer inference per read).
+SOURCE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+}
+
 # --- Fixed values (must equal the reference's business rules) ----------------
 # Distance caps in metres per sport label; any other label uses the default.
 DISTANCE_CAPS_M = {

@@ -11,11 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import SOURCE_SCHEMAS
 from .cdc import JSON_OPTIONS, envelope_json
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; the ones the fixtures use are read with their declared schema."""
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- Fixed values of the fixture formulas ------------------------------------
@@ -28,65 +33,63 @@ FAR_FUTURE = "2999-01-01 00:00:00"
 # --- end of fixed values ------------------------------------------------------
 
 
-def _case(col: Column, pairs, other) -> Column:
-    out = None
-    for k, v in pairs:
-        out = (F.when(col == k, F.lit(v)) if out is None else out.when(col == k, F.lit(v)))
-    return out.otherwise(F.lit(other))
+def sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
+def sql_case(expr: str, pairs, other) -> str:
+    """``CASE expr WHEN k THEN v ... ELSE other END`` as SQL text (a NULL ``expr`` takes ELSE)."""
+    whens = " ".join(f"WHEN {sql_str(k) if isinstance(k, str) else k} THEN {sql_str(v)}" for k, v in pairs)
+    return f"CASE {expr} {whens} ELSE {sql_str(other)} END"
+
+
+# The formulas are SQL expressions (as FIXTURES.md states them): one analysed
+# projection per step instead of hundreds of Column objects built in Python.
+
 def activities(events: DataFrame) -> DataFrame:
     """fx_activities: one clean activity per event."""
-    et = F.col("event_type")
-    return events.select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").cast("int").alias("id_salarie"),
-        F.col("ts").alias("date_debut"),
-        _case(et, SPORT_BY_EVENT_TYPE, SPORT_OTHER).alias("sport_type"),
-        F.when(et == "signup", F.lit(None).cast("int"))
-         .otherwise(F.floor(F.col("value") * 100).cast("int")).alias("distance_m"),
-        F.timestamp_add("MINUTE", F.get_json_object("props", "$.k").cast("int"), F.col("ts")).alias("date_fin"),
-        F.when(F.col("event_id") % 8 == 0, F.lit(COMMENT)).alias("commentaire"),
+    return events.selectExpr(
+        "event_id AS id",
+        "CAST(user_id AS INT) AS id_salarie",
+        "ts AS date_debut",
+        f"{sql_case('event_type', SPORT_BY_EVENT_TYPE, SPORT_OTHER)} AS sport_type",
+        "CASE WHEN event_type = 'signup' THEN CAST(NULL AS INT) ELSE CAST(floor(value * 100) AS INT) END AS distance_m",
+        "timestampadd(MINUTE, CAST(get_json_object(props, '$.k') AS INT), ts) AS date_fin",
+        f"CASE WHEN event_id % 8 = 0 THEN {sql_str(COMMENT)} END AS commentaire",
     )
 
 
 def faulty(act: DataFrame) -> DataFrame:
     """fx_faulty: planted faults, chosen by id residues."""
-    i = F.col("id")
-    null = F.lit(None)
-    return act.select(
-        i,
-        F.when(i % 113 == 0, null.cast("int")).when(i % 131 == 0, F.col("id_salarie") + 10000000)
-         .otherwise(F.col("id_salarie")).alias("id_salarie"),
-        F.when(i % 103 == 0, null.cast("timestamp_ntz"))
-         .when(i % 107 == 0, F.lit(FAR_FUTURE).cast("timestamp_ntz"))
-         .otherwise(F.col("date_debut")).alias("date_debut"),
-        F.when(i % 127 == 0, null.cast("string")).when(i % 137 == 0, F.lit("Curling"))
-         .otherwise(F.col("sport_type")).alias("sport_type"),
-        F.when(i % 101 == 0, F.lit(-1)).otherwise(F.col("distance_m")).alias("distance_m"),
-        F.when(i % 109 == 0, F.timestamp_add("HOUR", F.lit(-1), F.col("date_debut")))
-         .otherwise(F.col("date_fin")).alias("date_fin"),
-        F.col("commentaire"),
+    return act.selectExpr(
+        "id",
+        "CASE WHEN id % 113 = 0 THEN NULL WHEN id % 131 = 0 THEN id_salarie + 10000000 ELSE id_salarie END AS id_salarie",
+        f"CASE WHEN id % 103 = 0 THEN NULL WHEN id % 107 = 0 THEN TIMESTAMP_NTZ '{FAR_FUTURE}' "
+        "ELSE date_debut END AS date_debut",
+        "CASE WHEN id % 127 = 0 THEN NULL WHEN id % 137 = 0 THEN 'Curling' ELSE sport_type END AS sport_type",
+        "CASE WHEN id % 101 = 0 THEN -1 ELSE distance_m END AS distance_m",
+        "CASE WHEN id % 109 = 0 THEN timestampadd(HOUR, -1, date_debut) ELSE date_fin END AS date_fin",
+        "commentaire",
     )
 
 
 def dirty(flt: DataFrame) -> DataFrame:
     """fx_dirty: faults plus exact repeats of some rows under a new id."""
-    repeats = flt.filter(F.col("id") % 89 == 0).withColumn("id", F.col("id") + 1000000000)
+    repeats = flt.filter("id % 89 = 0").selectExpr("id + 1000000000 AS id", *flt.columns[1:])
     return flt.unionByName(repeats)
 
 
 def hr_sheet(customer: DataFrame) -> DataFrame:
     """HR sheet with its delivered headers, derived from ``customer``."""
-    mode = F.pmod(F.col("c_nationkey"), F.lit(4))
-    return customer.select(
-        F.col("c_custkey").cast("int").alias("ID salarié"),
-        F.lit(None).cast("string").alias("Prénom"),
-        F.col("c_name").alias("Nom"),
-        F.col("c_mktsegment").alias("BU"),
-        F.col("c_acctbal").alias("Salaire brut"),
-        _case(mode, list(enumerate(MODE_BY_NATION_MOD4[:3])), MODE_BY_NATION_MOD4[3]).alias("Moyen de déplacement"),
-        F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")).alias("Adresse du domicile"),
+    mode = sql_case("pmod(c_nationkey, 4)", list(enumerate(MODE_BY_NATION_MOD4[:3])), MODE_BY_NATION_MOD4[3])
+    return customer.selectExpr(
+        "CAST(c_custkey AS INT) AS `ID salarié`",
+        "CAST(NULL AS STRING) AS `Prénom`",
+        "c_name AS `Nom`",
+        "c_mktsegment AS `BU`",
+        "c_acctbal AS `Salaire brut`",
+        f"{mode} AS `Moyen de déplacement`",
+        "concat('Nation ', CAST(c_nationkey AS STRING)) AS `Adresse du domicile`",
     )
 
 
@@ -103,19 +106,17 @@ def hr_with_repeats(hr_df: DataFrame) -> DataFrame:
 
 def distances(hr_df: DataFrame) -> DataFrame:
     """fx_distance: measured commutes; no row = not measured, NOT_FOUND = failed look-up."""
-    i = F.col("id_salarie")
-    return (hr_df.filter(F.col("moyen_declare").isin("Marche/running", "Vélo/Trottinette/Autres") & (i % 11 != 0))
-            .select(i,
-                    F.when(F.col("moyen_declare") == "Marche/running", F.lit("walking"))
-                     .otherwise(F.lit("bicycling")).alias("profile"),
-                    (F.pmod(i.cast("long") * 37, F.lit(400)) * 100).cast("int").alias("metres"),
-                    F.when(i % 13 == 0, F.lit("NOT_FOUND")).otherwise(F.lit("OK")).alias("status")))
+    return (hr_df.filter("moyen_declare IN ('Marche/running', 'Vélo/Trottinette/Autres') AND id_salarie % 11 <> 0")
+            .selectExpr("id_salarie",
+                        "CASE WHEN moyen_declare = 'Marche/running' THEN 'walking' ELSE 'bicycling' END AS profile",
+                        "CAST(pmod(CAST(id_salarie AS BIGINT) * 37, 400) * 100 AS INT) AS metres",
+                        "CASE WHEN id_salarie % 13 = 0 THEN 'NOT_FOUND' ELSE 'OK' END AS status"))
 
 
 def sport_sheet(orders: DataFrame) -> DataFrame:
     """fx_sport: declared practice, one row per customer with an urgent fulfilled order."""
-    return (orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
-            .select(F.col("o_custkey").cast("int").alias("id_salarie"), F.lit("Tennis").alias("pratique"))
+    return (orders.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
+            .selectExpr("CAST(o_custkey AS INT) AS id_salarie", "'Tennis' AS pratique")
             .distinct())
 
 
