@@ -152,14 +152,50 @@ def check_gold(elig: DataFrame, params: Params, only: list[str] | None = None) -
     return finish(count_violations(elig, preds), params)
 
 
+def _unpivot(counts: DataFrame, names: list[str]) -> DataFrame:
+    pairs = [x for n in names for x in (F.lit(n), F.col(n).cast("long"))]
+    return counts.select(F.stack(F.lit(len(names)), *pairs).alias("check", "violations"))
+
+
+def bronze_and_integrity(bronze: DataFrame, hr: DataFrame, params: Params) -> DataFrame:
+    """The 5 bronze checks and the orphan check in ONE pass over the activities.
+
+    Activities are reduced per employee (partial aggregation: a very active
+    employee costs one row per map task) carrying the per-check counts; the
+    anti-join then runs on distinct employees only.
+    """
+    preds = bronze_predicates(params, time_type(bronze))
+    per_emp = bronze.groupBy("id_salarie").agg(F.count(F.lit(1)).alias("_n"),
+                                               *[F.count_if(p).alias(n) for n, p in preds.items()])
+    ids = hr.select(F.col("id_salarie").alias("_rh_id")).distinct().withColumn("_known", F.lit(True))
+    j = per_emp.join(ids, per_emp["id_salarie"].eqNullSafe(ids["_rh_id"]), "left")
+    counts = j.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in preds],
+                   F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+                   .alias("id_salarie_existe_dans_rh"))
+    return _unpivot(counts, [*preds, "id_salarie_existe_dans_rh"])
+
+
+def referential_checks(ref: DataFrame) -> DataFrame:
+    """Uniqueness, salary and distance checks in ONE pass (one row per id, then a global sum)."""
+    preds = referential_predicates()
+    per_id = ref.groupBy("id_salarie").agg(F.count(F.lit(1)).alias("_n"),
+                                           *[F.count_if(p).alias(n) for n, p in preds.items()])
+    counts = per_id.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("id_salarie_unique"),
+                        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in preds])
+    return _unpivot(counts, ["id_salarie_unique", *preds])
+
+
 def run_checks(bronze: DataFrame, ref: DataFrame, elig: DataFrame, params: Params) -> DataFrame:
-    """All 11 checks: 11 rows (ordre, check, description, statut, violations)."""
-    return reduce(DataFrame.unionByName, [
-        check_bronze(bronze, params),
-        check_referential(ref, params),
-        check_integrity(bronze, ref, params),
-        check_gold(elig, params),
+    """All 11 checks: 11 rows (ordre, check, description, statut, violations).
+
+    Three passes: activities (bronze checks + orphans), referential, gold.
+    """
+    counts = reduce(DataFrame.unionByName, [
+        bronze_and_integrity(bronze, ref, params),
+        referential_checks(ref),
+        count_violations(elig, gold_predicates(params)),
     ])
+    return finish(counts, params)
 
 
 def summary(checks: DataFrame) -> DataFrame:
