@@ -142,3 +142,17 @@ def test_notifier_stream(spark, tmp_dir):
     assert "Ada Lovelace" in msgs[30]["texte"] and "12.3 km" in msgs[30]["texte"]
     assert msgs[30]["texte"].endswith(' ("top")')
     assert msgs[31]["type_message"] == "alerte" and "distance négative (-5 m)" in msgs[31]["texte"]
+
+
+def test_salted_directory_join_equals_plain(spark):
+    """Beyond the broadcast bound the salted join gives the same names, hot key included."""
+    from vitalflow.operators.joins import salted_left_join
+    from vitalflow.operators.notify import with_name
+    ev = spark.createDataFrame([(i, 1 if i % 3 else i % 7) for i in range(3000)], "id long, id_salarie int")
+    directory = spark.createDataFrame([(k, f"N{k}") for k in range(5)], "id_salarie int, nom_complet string")
+    plain = sorted(tuple(r) for r in with_name(ev, directory).collect())
+    salted = sorted(tuple(r) for r in with_name(ev, directory, broadcast_max_rows=2, salt_buckets=8).collect())
+    bcast = sorted(tuple(r) for r in with_name(ev, directory, broadcast_max_rows=100).collect())
+    assert plain == salted == bcast
+    d = directory.withColumnRenamed("id_salarie", "k")
+    assert salted_left_join(ev, d, "id_salarie", "k", 4).count() == 3000

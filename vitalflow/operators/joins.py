@@ -1,0 +1,39 @@
+"""Join helpers for plans that get no adaptive execution (streaming micro-batches).
+
+Batch plans leave these decisions to AQE (runtime broadcast by measured size,
+skew-join splitting). A streaming micro-batch is planned without AQE, so a
+static side is broadcast only after its size is checked, and beyond the bound
+the join is salted so that one hot key is spread over many tasks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def fits(small: DataFrame, max_rows: int) -> bool:
+    """True when ``small`` has at most ``max_rows`` rows (stops counting after max_rows + 1)."""
+    return small.limit(max_rows + 1).count() <= max_rows
+
+
+def salted_left_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, buckets: int) -> DataFrame:
+    """``big`` LEFT JOIN ``small`` on one key, with each key split over ``buckets`` tasks.
+
+    The salt of a ``big`` row is a hash of the whole row (deterministic, so a
+    recomputed task routes rows identically); ``small`` is replicated once per
+    bucket. A key holding a third of ``big`` then lands in ``buckets`` tasks.
+    """
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)))
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    cond = (salted_big[big_key] == salted_small[small_key]) & (salted_big["_salt"] == salted_small["_salt"])
+    j = salted_big.join(salted_small, cond, "left")
+    return j.drop(salted_big["_salt"]).drop(salted_small["_salt"])
+
+
+def bounded_left_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
+                      broadcast_max_rows: int, salt_buckets: int) -> DataFrame:
+    """Broadcast ``small`` if its size is within the bound, else a salted shuffle join."""
+    if fits(small, broadcast_max_rows):
+        return big.join(F.broadcast(small), big[big_key] == small[small_key], "left")
+    return salted_left_join(big, small, big_key, small_key, salt_buckets)

@@ -18,10 +18,20 @@ from ..operators.notify import messages
 from ..sources.cdc import read_cdc_stream
 
 
-def notification_stream(raw: DataFrame, dir_df: DataFrame | None, tolerance_s: int = 300) -> DataFrame:
-    """value -> (id, id_salarie, type_message, texte), stateless."""
+# Directory rows broadcast to every micro-batch after a size check (about 100 bytes
+# per employee: 2M rows ~ 200 MB); beyond it the stream-static join is salted.
+DIRECTORY_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def notification_stream(raw: DataFrame, dir_df: DataFrame | None, tolerance_s: int = 300,
+                        broadcast_max_rows: int = DIRECTORY_BROADCAST_MAX_ROWS) -> DataFrame:
+    """value -> (id, id_salarie, type_message, texte), stateless.
+
+    Micro-batches are planned without AQE, so the directory join decides
+    broadcast vs. salted shuffle once, at query start, from the directory size.
+    """
     events = cast_times(guard_empty(decode_with_guard_flag(raw)), as_of=None, ntz=False).drop("ingested_at")
-    return messages(events, dir_df, as_of=None, tolerance_s=tolerance_s)
+    return messages(events, dir_df, as_of=None, tolerance_s=tolerance_s, broadcast_max_rows=broadcast_max_rows)
 
 
 def table_writer(out_root: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
@@ -33,9 +43,10 @@ def table_writer(out_root: str, fmt: str = "parquet") -> Callable[[DataFrame, in
 def start_notifications(spark: SparkSession, source: str, dir_df: DataFrame | None, checkpoint: str, *,
                         writer: Callable[[DataFrame, int], None] | None = None, out_root: str | None = None,
                         fmt: str = "text", topic: str | None = None, bootstrap: str | None = None,
-                        available_now: bool = False, tolerance_s: int = 300) -> StreamingQuery:
+                        available_now: bool = False, tolerance_s: int = 300,
+                        broadcast_max_rows: int = DIRECTORY_BROADCAST_MAX_ROWS) -> StreamingQuery:
     raw = read_cdc_stream(spark, source, fmt=fmt, topic=topic, bootstrap=bootstrap, starting="latest")
-    out = notification_stream(raw, dir_df, tolerance_s)
+    out = notification_stream(raw, dir_df, tolerance_s, broadcast_max_rows)
     sink = writer or table_writer(out_root)
     w = out.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
