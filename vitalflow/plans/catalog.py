@@ -422,6 +422,51 @@ def q_stream_route(spark, sf):
     return _stream_keys(_ingested(spark, sf))
 
 
+LATE_CUT = "2024-01-15 00:00:00"
+
+
+def _restart_runs(spark, sf):
+    """Three ingest runs on one checkpoint: rows from LATE_CUT on (and undated), the same rows
+    replayed after a restart, then the older rows after another restart."""
+    from ..sources.fixtures import cdc_envelopes
+    from .medallion import run_stream_restarts
+    d = _flow(spark, sf).landing
+    old = F.col("date_debut") < F.lit(LATE_CUT).cast("timestamp_ntz")
+    recent = cdc_envelopes(d.filter(~old | F.col("date_debut").isNull()))
+    return run_stream_restarts(spark, [recent, recent, cdc_envelopes(d.filter(old))], P)
+
+
+@register("stream_checkpoint")
+def q_stream_checkpoint(spark, sf):
+    """Sink keys after restart + replay + late rows: the replay adds nothing, the older rows are late."""
+    sink, _ = _restart_runs(spark, sf)
+    return _stream_keys(sink)
+
+
+@register("stream_late_drop")
+def q_stream_late_drop(spark, sf):
+    """Watermark reached by the first run and rows dropped as late by the last run (from query progress)."""
+    _, stats = _restart_runs(spark, sf)
+    row = [(stats[0]["watermark"], int(stats[-1]["late"]))]
+    df = spark.createDataFrame(row, "filigrane string, n_tardives_ignorees long")
+    return df.select(ftime.utc_wall(F.to_timestamp("filigrane")).alias("filigrane"), "n_tardives_ignorees")
+
+
+@register("stream_watermark")
+def q_stream_watermark(spark, sf):
+    """Event time used by the watermark: the start time, NULL when later than now + tolerance."""
+    from ..streaming.ingest import EVENT_TIME, with_watermark
+    land = _flow(spark, sf).landing
+    w = with_watermark(land, "2 hours", gate_future_s=P.future_tolerance_s)
+    return w.select("id", ftime.utc_wall(F.col(EVENT_TIME)).alias("temps_evenement"))
+
+
+@register("fn_now")
+def q_fn_now(spark, sf):
+    """The run clock stamped on every landed row (injected as_of)."""
+    return _flow(spark, sf).landing.select("id", ftime.clock(P.as_of).alias("horodatage"))
+
+
 @register("sink_bronze_stream")
 def q_sink_bronze_stream(spark, sf):
     """Valid rows of the streaming ingest sink (keys)."""

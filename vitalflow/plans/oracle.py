@@ -462,6 +462,21 @@ FROM fx_elig"""
         "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m "
         f"FROM ({_cdc_decoded()}) WHERE op <> 'd')")
     S["stream_route"] = stream_keys
+    normal = "id % 79 <> 0 AND id % 83 <> 0 AND id % 97 <> 0 AND id % 71 <> 0"
+    cut = "TIMESTAMP '2024-01-15 00:00:00'"
+    S["stream_checkpoint"] = (
+        "SELECT DISTINCT id_salarie, date_debut, sport_type, "
+        f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ("
+        "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m "
+        f"FROM ({_cdc_decoded()}) WHERE op <> 'd') WHERE date_debut IS NULL OR date_debut >= {cut}")
+    S["stream_late_drop"] = (
+        # the streaming watermark is kept in milliseconds: max event time truncated to ms, minus the delay
+        "SELECT (SELECT date_trunc('millisecond', max(date_debut)) - INTERVAL 2 HOUR FROM fx_dirty "
+        f"WHERE {normal} AND date_debut >= {cut} AND date_debut <= now()::TIMESTAMP + INTERVAL 300 SECOND) AS filigrane, "
+        f"(SELECT count(*) FROM fx_dirty WHERE {normal} AND date_debut < {cut}) AS n_tardives_ignorees")
+    S["stream_watermark"] = ("SELECT id, CASE WHEN date_debut > now()::TIMESTAMP + INTERVAL 300 SECOND THEN NULL "
+                             "ELSE date_debut END AS temps_evenement FROM fx_dirty")
+    S["fn_now"] = f"SELECT id, TIMESTAMP '{AS_OF}' AS horodatage FROM fx_dirty"
     S["sink_bronze_stream"] = f"SELECT * FROM ({stream_keys}) WHERE route = 'valid'"
     S["sink_quarantine_stream"] = f"SELECT * FROM ({stream_keys}) WHERE route = 'quarantine'"
     S["sink_overwrite"] = "SELECT * FROM fx_elig"
