@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitalflow.functions import text, time as ftime
 from vitalflow.operators import notify
-from vitalflow.params import Params, load_params
+from vitalflow.params import load_params
 from vitalflow.plans.medallion import Flow, read_route, run_bronze_batch, run_gold, run_quality
 from vitalflow.session import ensure_checkpoint_dir
 from vitalflow.sources.tables import preview, read_hr, read_table

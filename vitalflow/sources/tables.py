@@ -29,8 +29,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = LA
 
 
 def read_sheet(spark: SparkSession, path: str, schema, fmt: str | None = None) -> DataFrame:
-    """Read an exported sheet (CSV with header, or parquet) with a declared schema."""
-    fmt = fmt or ("csv" if path.endswith(".csv") else "parquet")
+    """Read an exported sheet (CSV with header, or parquet) with a declared schema.
+
+    Without ``fmt`` a path ending in ``.parquet`` is parquet, anything else CSV.
+    """
+    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     r = spark.read.schema(schema)
     if fmt == "csv":
         return r.option("header", True).option("mode", "PERMISSIVE").csv(path)
@@ -42,21 +45,21 @@ def rename_hr(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(HR_RENAMES.get(c, c)) for c in df.columns])
 
 
-def read_hr(spark: SparkSession, hr_path: str,
-            sport_path: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+def read_hr(spark: SparkSession, hr_path: str, sport_path: str | None = None,
+            fmt: str | None = None) -> tuple[DataFrame, DataFrame | None]:
     """HR sheet, and the optional declared-sport sheet (None when the path is missing)."""
-    hr = rename_hr(read_sheet(spark, hr_path, HR_SHEET_SCHEMA))
+    hr = rename_hr(read_sheet(spark, hr_path, HR_SHEET_SCHEMA, fmt))
     sport = None
     if sport_path:
         try:
-            sport = rename_hr(read_sheet(spark, sport_path, SPORT_SHEET_SCHEMA))
+            sport = rename_hr(read_sheet(spark, sport_path, SPORT_SHEET_SCHEMA, fmt))
         except AnalysisException:  # PATH_NOT_FOUND: the sheet is optional
             sport = None
     return hr, sport
 
 
-def read_distances(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Measured commute distances: (id_salarie, profile, metres, status)."""
+def read_distances(spark: SparkSession, path: str, fmt: str | None = LAKE_FORMAT) -> DataFrame:
+    """Measured commute distances: (id_salarie, profile, metres, status), a lake table by default."""
     return read_sheet(spark, path, DISTANCE_SCHEMA, fmt)
 
 
