@@ -61,3 +61,18 @@ def test_gold_plan_skips_unused_sport_sheet(spark):
     text = plan(E.queries()["kpis_by_bu"](spark, SF))
     assert "orders.parquet" not in text
     assert "orders.parquet" in plan(E.queries()["join_hr_sport"](spark, SF))
+
+
+def test_lookback_prunes_day_partitions(spark, tmp_dir):
+    """Bronze written by route and day: the look-back reads only the valid route and its days."""
+    from vitalflow.plans.medallion import read_route, run_bronze_batch
+    f = Flow(spark, SF)
+    run_bronze_batch(f.landing, f.params, tmp_dir)
+    bronze = read_route(spark, tmp_dir, "valid")
+    counts = gold.count_activities(bronze, f.params)
+    text = plan(counts)
+    assert "PartitionFilters: [isnotnull(route" in text and "(jour" in text and "2024-01-24" in text
+    expected = {r[0]: r[1] for r in gold.count_activities(f.bronze, f.params).collect()}
+    assert {r[0]: r[1] for r in counts.collect()} == expected
+    days = {r[0] for r in bronze.select("jour").distinct().collect()}
+    assert len(days) >= 30

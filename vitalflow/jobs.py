@@ -47,7 +47,7 @@ def _params(spark: SparkSession, args) -> Params:
 
 def _bronze(spark: SparkSession, path: str) -> DataFrame:
     """The valid route of the ingest sink (drops the sink's bookkeeping columns)."""
-    return read_routes(spark, path, "valid").drop("route", "batch_id", "reasons", "ingested_at")
+    return read_routes(spark, path, "valid").drop("route", "batch_id", "reasons", "ingested_at")  # keeps ``jour``
 
 
 def job_ingest(spark, args) -> None:

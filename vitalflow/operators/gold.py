@@ -15,18 +15,26 @@ NOMINATIVE = ["salaire_brut", "nom", "prenom", "adresse", "montant_prime"]
 
 
 def lookback(df: DataFrame, params: Params) -> DataFrame:
-    """Activities that started on or after midnight of ``as_of - lookback_days``."""
+    """Activities that started on or after midnight of ``as_of - lookback_days``.
+
+    On a table partitioned by day (``jour``) the same bound on the partition
+    column prunes whole days before any file is opened.
+    """
     start = window_start(params.as_of, params.lookback_days, time_type(df))
-    return df.filter(F.col("date_debut") >= start)
+    out = df.filter(F.col("date_debut") >= start)
+    if "jour" in df.columns:
+        out = out.filter(F.col("jour") >= window_start(params.as_of, params.lookback_days, "date"))
+    return out
 
 
 def count_activities(bronze: DataFrame, params: Params) -> DataFrame:
     """Per-employee number of activities inside the look-back window.
 
-    Only two columns are read and the date filter reaches the scan; the
-    partial aggregate absorbs a very active employee before the shuffle.
+    Only two columns are read and the date filter reaches the scan (and the
+    day partitions when present); the partial aggregate absorbs a very active
+    employee before the shuffle.
     """
-    return (lookback(bronze.select("id_salarie", "date_debut"), params)
+    return (lookback(bronze, params).select("id_salarie")
             .groupBy("id_salarie").agg(F.count(F.lit(1)).alias("nb_activites_12mois")))
 
 

@@ -42,6 +42,14 @@ def with_route(df: DataFrame, params: Params, null_policy: str = "quarantine",
     return df.select("*", *cols)
 
 
+DAY = "jour"
+
+
+def with_day(df: DataFrame, col: str = "date_debut") -> DataFrame:
+    """Add the day partition column of the bronze layout (NULL start -> default partition)."""
+    return df.withColumn(DAY, F.to_date(F.col(col)))
+
+
 def route(df: DataFrame, params: Params, null_policy: str = "quarantine",
           caps: dict[str, int] | None = None) -> Routed:
     """Split into the three routes; valid rows keep the input columns only."""

@@ -71,9 +71,14 @@ class Flow:
 # --- batch jobs writing tables ------------------------------------------------
 
 def run_bronze_batch(landing: DataFrame, params: Params, out_dir: str, null_policy: str = "quarantine") -> None:
-    """Deduplicate and route in one pass; one write partitioned by route."""
-    routed = routing.with_route(dedup.dedup_batch(landing), params, null_policy)
-    write_table(routed, f"{out_dir}/activities_routed", partition_by=["route"])
+    """Deduplicate and route in one pass; one write partitioned by route and day.
+
+    Rows are clustered by (route, day) before the write so each task writes few
+    files; the day partitions let a look-back read only its days.
+    """
+    routed = routing.with_day(routing.with_route(dedup.dedup_batch(landing), params, null_policy))
+    routed = routed.repartition("route", routing.DAY)
+    write_table(routed, f"{out_dir}/activities_routed", partition_by=["route", routing.DAY])
 
 
 def read_route(spark: SparkSession, out_dir: str, route: str) -> DataFrame:

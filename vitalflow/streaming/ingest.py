@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cdc import decode_changes
 from ..operators.dedup import DEDUP_KEYS
-from ..operators.routing import with_route
+from ..operators.routing import DAY, with_day, with_route
 from ..params import Params
 from ..sources.cdc import read_cdc_stream
 
@@ -59,10 +59,14 @@ def dedup_stream(df: DataFrame, keys: list[str] | None = None, watermark: str |
 
 def route_batch_writer(out_root: str, params: Params, null_policy: str = "quarantine",
                        fmt: str = "parquet"):
-    """foreachBatch function: route and write the micro-batch in one pass, idempotently."""
+    """foreachBatch function: route and write the micro-batch in one pass, idempotently.
+
+    Output layout ``batch_id=N/route=R/jour=D``: the route and day partitions
+    let readers prune (bronze = route valid; a look-back reads only its days).
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = with_route(batch, params, null_policy).withColumn("reasons", F.concat_ws(",", "reasons"))
-        (routed.write.format(fmt).mode("overwrite").partitionBy("route")
+        routed = with_day(with_route(batch, params, null_policy).withColumn("reasons", F.concat_ws(",", "reasons")))
+        (routed.write.format(fmt).mode("overwrite").partitionBy("route", DAY)
          .save(f"{out_root}/batch_id={batch_id}"))
     return write
 
