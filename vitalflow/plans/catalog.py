@@ -467,6 +467,16 @@ def q_fn_now(spark, sf):
     return _flow(spark, sf).landing.select("id", ftime.clock(P.as_of).alias("horodatage"))
 
 
+@register("stream_await")
+def q_stream_await(spark, sf):
+    """An availableNow ingest ends by itself (awaitTermination returns) after reading every landed message."""
+    from .medallion import run_stream_ingest_once
+    progress: list = []
+    run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P, progress=progress)
+    row = [(not progress[0]["active"], int(progress[0]["input_rows"]))]
+    return spark.createDataFrame(row, "termine boolean, n_messages_lus long")
+
+
 @register("sink_bronze_stream")
 def q_sink_bronze_stream(spark, sf):
     """Valid rows of the streaming ingest sink (keys)."""

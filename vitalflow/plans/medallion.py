@@ -87,7 +87,7 @@ def read_route(spark: SparkSession, out_dir: str, route: str) -> DataFrame:
 
 
 def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Params,
-                           null_policy: str = "quarantine") -> DataFrame:
+                           null_policy: str = "quarantine", progress: list | None = None) -> DataFrame:
     """Land change events as JSON lines, run the streaming ingest to completion (availableNow),
     and return the routed sink table.
 
@@ -105,6 +105,8 @@ def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Pa
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if progress is not None:
+        progress.append({"active": q.isActive, "input_rows": sum(p["numInputRows"] for p in q.recentProgress)})
     return read_routes(spark, f"{root}/routed")
 
 

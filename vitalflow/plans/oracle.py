@@ -474,6 +474,7 @@ FROM fx_elig"""
         "SELECT (SELECT date_trunc('millisecond', max(date_debut)) - INTERVAL 2 HOUR FROM fx_dirty "
         f"WHERE {normal} AND date_debut >= {cut} AND date_debut <= now()::TIMESTAMP + INTERVAL 300 SECOND) AS filigrane, "
         f"(SELECT count(*) FROM fx_dirty WHERE {normal} AND date_debut < {cut}) AS n_tardives_ignorees")
+    S["stream_await"] = "SELECT TRUE AS termine, count(*) FILTER (WHERE id % 79 <> 0) AS n_messages_lus FROM fx_dirty"
     S["stream_watermark"] = ("SELECT id, CASE WHEN date_debut > now()::TIMESTAMP + INTERVAL 300 SECOND THEN NULL "
                              "ELSE date_debut END AS temps_evenement FROM fx_dirty")
     S["fn_now"] = f"SELECT id, TIMESTAMP '{AS_OF}' AS horodatage FROM fx_dirty"
