@@ -16,8 +16,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from vitalflow.session import build_session
-    s = build_session("local[4]", app="vitalflow-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="vf-test-ckpt-")})
+    # spark.checkpoint.dir comes from the session's configuration; build_session
+    # sets a scratch folder only when it is unset
+    s = build_session("local[4]", app="vitalflow-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
