@@ -156,3 +156,15 @@ def test_salted_directory_join_equals_plain(spark):
     assert plain == salted == bcast
     d = directory.withColumnRenamed("id_salarie", "k")
     assert salted_left_join(ev, d, "id_salarie", "k", 4).count() == 3000
+
+
+def test_batch_writer_is_idempotent_on_retry(spark, tmp_dir):
+    """A micro-batch written twice (retry after a failure) replaces its folder instead of duplicating rows."""
+    from vitalflow.streaming.ingest import route_batch_writer
+    rows = decode_changes(spark.createDataFrame([(env(1, 1, T, "Tennis"),), (env(2, None, T, "Tennis"),)],
+                                                "value string"))
+    write = route_batch_writer(os.path.join(tmp_dir, "out"), Params(as_of=dt.datetime(2030, 1, 1)))
+    write(rows, 7)
+    write(rows, 7)
+    out = read_routes(spark, os.path.join(tmp_dir, "out")).collect()
+    assert sorted((r["id"], r["route"], r["batch_id"]) for r in out) == [(1, "valid", 7), (2, "quarantine", 7)]
