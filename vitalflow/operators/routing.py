@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import dataclasses
+import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +14,23 @@ from ..params import Params
 VALID, QUARANTINE, UNROUTED = "valid", "quarantine", "unrouted"
 
 
-@dataclasses.dataclass
 class Routed:
-    valid: DataFrame
-    quarantine: DataFrame
-    unrouted: DataFrame
+    """The three routes of one routed DataFrame, each built on first use."""
+
+    def __init__(self, routed: DataFrame, cols: list[str]):
+        self._routed, self._cols = routed, cols
+
+    @functools.cached_property
+    def valid(self) -> DataFrame:
+        return self._routed.filter(F.col("route") == VALID).select(*self._cols)
+
+    @functools.cached_property
+    def quarantine(self) -> DataFrame:
+        return self._routed.filter(F.col("route") == QUARANTINE).select(*self._cols, "reasons")
+
+    @functools.cached_property
+    def unrouted(self) -> DataFrame:
+        return self._routed.filter(F.col("route") == UNROUTED).select(*self._cols, "reasons")
 
 
 def time_type(df: DataFrame, col: str = "date_debut") -> str:
@@ -53,13 +65,7 @@ def with_day(df: DataFrame, col: str = "date_debut") -> DataFrame:
 def route(df: DataFrame, params: Params, null_policy: str = "quarantine",
           caps: dict[str, int] | None = None) -> Routed:
     """Split into the three routes; valid rows keep the input columns only."""
-    r = with_route(df, params, null_policy, caps, with_reasons=True)
-    cols = df.columns
-    return Routed(
-        valid=r.filter(F.col("route") == VALID).select(*cols),
-        quarantine=r.filter(F.col("route") == QUARANTINE).select(*cols, "reasons"),
-        unrouted=r.filter(F.col("route") == UNROUTED).select(*cols, "reasons"),
-    )
+    return Routed(with_route(df, params, null_policy, caps, with_reasons=True), df.columns)
 
 
 def split_check(dedup: DataFrame, routed: Routed) -> DataFrame:
