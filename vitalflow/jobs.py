@@ -26,7 +26,7 @@ from .operators import notify, quality, referential, whatif
 from .params import Params, load_params
 from .schemas import modes_table
 from .sources.tables import LAKE_FORMAT, preview, read_distances, read_hr, read_table, write_table
-from .streaming.ingest import read_routes, start_ingest
+from .streaming.ingest import await_end, read_routes, start_ingest
 from .streaming.notifier import start_notifications
 
 
@@ -55,7 +55,7 @@ def job_ingest(spark, args) -> None:
                      topic=args.topic, bootstrap=args.bootstrap, delay=args.watermark,
                      gate_future=not args.no_future_gate, null_policy=args.null_policy,
                      max_files_per_trigger=args.max_files_per_trigger, available_now=args.available_now)
-    q.awaitTermination()
+    await_end(q)
 
 
 def job_referential(spark, args) -> None:
@@ -95,7 +95,7 @@ def job_notify(spark, args) -> None:
         directory = notify.directory(read_table(spark, args.referential))
     q = start_notifications(spark, args.source, directory, args.checkpoint, out_root=args.out, fmt=args.format,
                             topic=args.topic, bootstrap=args.bootstrap, available_now=args.available_now)
-    q.awaitTermination()
+    await_end(q)
 
 
 def job_preview(spark, args) -> None:

@@ -97,14 +97,12 @@ def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Pa
     import uuid
 
     from ..session import scratch_path
-    from ..streaming.ingest import read_routes, start_ingest
+    from ..streaming.ingest import await_end, read_routes, start_ingest
     root = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
     envelopes.filter(F.col("value").isNotNull()).write.mode("overwrite").text(f"{root}/landing")
     q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
                      params=params, null_policy=null_policy, available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    await_end(q)
     if progress is not None:
         progress.append({"active": q.isActive, "input_rows": sum(p["numInputRows"] for p in q.recentProgress)})
     return read_routes(spark, f"{root}/routed")
@@ -121,16 +119,14 @@ def run_stream_restarts(spark: SparkSession, phases: list[DataFrame], params: Pa
     import uuid
 
     from ..session import scratch_path
-    from ..streaming.ingest import late_rows, read_routes, start_ingest
+    from ..streaming.ingest import await_end, late_rows, read_routes, start_ingest
     root = scratch_path(spark, f"stream-restarts-{uuid.uuid4().hex}")
     stats = []
     for envelopes in phases:
         envelopes.filter(F.col("value").isNotNull()).write.mode("append").text(f"{root}/landing")
         q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
                          params=params, null_policy=null_policy, available_now=True)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+        await_end(q)
         marks = [p["eventTime"].get("watermark") for p in q.recentProgress if p.get("eventTime")]
         stats.append({"watermark": marks[-1] if marks else None, "late": late_rows(q)})
     return read_routes(spark, f"{root}/routed"), stats
@@ -142,14 +138,13 @@ def run_stream_notifier_once(spark: SparkSession, envelopes: DataFrame, director
     import uuid
 
     from ..session import scratch_path
+    from ..streaming.ingest import await_end
     from ..streaming.notifier import start_notifications
     root = scratch_path(spark, f"stream-notify-{uuid.uuid4().hex}")
     envelopes.filter(F.col("value").isNotNull()).write.mode("overwrite").text(f"{root}/landing")
     q = start_notifications(spark, f"{root}/landing", directory, f"{root}/checkpoint",
                             out_root=f"{root}/messages", available_now=True, tolerance_s=tolerance_s)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    await_end(q)
     return read_table(spark, f"{root}/messages")
 
 

@@ -11,8 +11,6 @@ query gives every row exactly one route.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -109,9 +107,11 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 def await_end(query: StreamingQuery, timeout_s: float | None = None) -> bool:
-    """Block until the query ends (``availableNow``) or the timeout passes."""
-    return query.awaitTermination(timeout_s) if timeout_s is not None else (query.awaitTermination() or True)
-
+    """Block until the query ends (``availableNow``) or the timeout passes.
 
-def now_utc() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    Returns whether it ended; a failed query raises instead of returning.
+    """
+    ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"streaming query failed: {query.exception()}")
+    return True if ended is None else bool(ended)
