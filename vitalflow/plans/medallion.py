@@ -74,10 +74,11 @@ def run_bronze_batch(landing: DataFrame, params: Params, out_dir: str, null_poli
     """Deduplicate and route in one pass; one write partitioned by route and day.
 
     Rows are clustered by (route, day) before the write so each task writes few
-    files; the day partitions let a look-back read only its days.
+    files (``rebalance``: AQE splits a day that holds too many rows instead of
+    giving it to one task); the day partitions let a look-back read only its days.
     """
     routed = routing.with_day(routing.with_route(dedup.dedup_batch(landing), params, null_policy))
-    routed = routed.repartition("route", routing.DAY)
+    routed = routed.hint("rebalance", "route", routing.DAY)
     write_table(routed, f"{out_dir}/activities_routed", partition_by=["route", routing.DAY])
 
 

@@ -61,10 +61,12 @@ def route_batch_writer(out_root: str, params: Params, null_policy: str = "quaran
 
     Output layout ``batch_id=N/route=R/jour=D``: the route and day partitions
     let readers prune (bronze = route valid; a look-back reads only its days).
+    Rows are rebalanced by (route, day) first, so a batch spanning many days
+    writes one file per partition rather than one per task and partition.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         routed = with_day(with_route(batch, params, null_policy).withColumn("reasons", F.concat_ws(",", "reasons")))
-        (routed.write.format(fmt).mode("overwrite").partitionBy("route", DAY)
+        (routed.hint("rebalance", "route", DAY).write.format(fmt).mode("overwrite").partitionBy("route", DAY)
          .save(f"{out_root}/batch_id={batch_id}"))
     return write
 
