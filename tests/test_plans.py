@@ -76,3 +76,18 @@ def test_lookback_prunes_day_partitions(spark, tmp_dir):
     assert {r[0]: r[1] for r in counts.collect()} == expected
     days = {r[0] for r in bronze.select("jour").distinct().collect()}
     assert len(days) >= 30
+
+
+def test_orphan_join_reuses_employee_partitioning(spark):
+    """The NULL-safe orphan join is keyed by one column, so it adds no exchange of its own."""
+    from vitalflow.operators import quality
+    f = Flow(spark, SF)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(quality.bronze_and_integrity(f.bronze, f.hr, f.params), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin [_k" in text
+    assert "coalesce(id_salarie" not in text.split("SortMergeJoin")[1].split("\n")[0]
+    assert text.count("Exchange hashpartitioning(_k") <= 1

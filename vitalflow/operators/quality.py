@@ -84,28 +84,41 @@ def count_violations(df: DataFrame, predicates: dict[str, Column]) -> DataFrame:
     return counts.select(F.stack(F.lit(len(names)), *pairs).alias("check", "violations"))
 
 
+# NULL ids must match each other (pandas ``isin`` matches NaN with NaN). A NULL-safe
+# join (``<=>``) would be planned on (coalesce(id, 0), isnull(id)) and re-shuffle
+# both sides; keying both sides by one column that maps NULL to a value outside
+# the int range keeps the per-employee partitioning for the join.
+NULL_ID_KEY = -(2 ** 63)
+
+
+def id_key(col: str = "id_salarie"):
+    """Null-safe join key for an int employee id."""
+    return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID_KEY)).alias("_k")
+
+
+def _hr_ids(hr: DataFrame) -> DataFrame:
+    return hr.select(id_key()).distinct()
+
+
 def orphan_count(bronze: DataFrame, hr: DataFrame) -> DataFrame:
     """Activities whose employee is not in HR (NULL id included), one row.
 
     Activities are first reduced to one row per employee (partial aggregate),
     so the anti join shuffles distinct ids, not every activity.
     """
-    per_emp = bronze.groupBy("id_salarie").agg(F.count(F.lit(1)).alias("n"))
-    ids = hr.select(F.col("id_salarie").alias("_rh_id")).distinct()
-    orphans = per_emp.join(ids, per_emp["id_salarie"].eqNullSafe(ids["_rh_id"]), "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+    per_emp = bronze.groupBy(id_key()).agg(F.count(F.lit(1)).alias("n"))
+    orphans_ = per_emp.join(_hr_ids(hr), "_k", "left_anti")
+    return orphans_.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
 
 
 def orphans(bronze: DataFrame, hr: DataFrame) -> DataFrame:
     """The orphan activity rows themselves (left anti join, NULL-safe)."""
-    ids = hr.select(F.col("id_salarie").alias("_rh_id")).distinct()
-    return bronze.join(ids, bronze["id_salarie"].eqNullSafe(ids["_rh_id"]), "left_anti")
+    return bronze.select("*", id_key()).join(_hr_ids(hr), "_k", "left_anti").drop("_k")
 
 
 def known(bronze: DataFrame, hr: DataFrame) -> DataFrame:
     """Activities whose employee is in HR (left semi join, NULL-safe)."""
-    ids = hr.select(F.col("id_salarie").alias("_rh_id")).distinct()
-    return bronze.join(ids, bronze["id_salarie"].eqNullSafe(ids["_rh_id"]), "left_semi")
+    return bronze.select("*", id_key()).join(_hr_ids(hr), "_k", "left_semi").drop("_k")
 
 
 def finish(counts: DataFrame, params: Params) -> DataFrame:
@@ -165,10 +178,9 @@ def bronze_and_integrity(bronze: DataFrame, hr: DataFrame, params: Params) -> Da
     anti-join then runs on distinct employees only.
     """
     preds = bronze_predicates(params, time_type(bronze))
-    per_emp = bronze.groupBy("id_salarie").agg(F.count(F.lit(1)).alias("_n"),
-                                               *[F.count_if(p).alias(n) for n, p in preds.items()])
-    ids = hr.select(F.col("id_salarie").alias("_rh_id")).distinct().withColumn("_known", F.lit(True))
-    j = per_emp.join(ids, per_emp["id_salarie"].eqNullSafe(ids["_rh_id"]), "left")
+    per_emp = bronze.groupBy(id_key()).agg(F.count(F.lit(1)).alias("_n"),
+                                           *[F.count_if(p).alias(n) for n, p in preds.items()])
+    j = per_emp.join(_hr_ids(hr).withColumn("_known", F.lit(True)), "_k", "left")
     counts = j.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in preds],
                    F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0))
                    .alias("id_salarie_existe_dans_rh"))
