@@ -168,3 +168,16 @@ def test_batch_writer_is_idempotent_on_retry(spark, tmp_dir):
     write(rows, 7)
     out = read_routes(spark, os.path.join(tmp_dir, "out")).collect()
     assert sorted((r["id"], r["route"], r["batch_id"]) for r in out) == [(1, "valid", 7), (2, "quarantine", 7)]
+
+
+def test_updates_are_appended_not_applied(spark, tmp_dir):
+    """SURVEY 2.L-4: an update with the same (employee, start, sport) is a repeat; a changed sport is a new row."""
+    src, out, ck = (os.path.join(tmp_dir, n) for n in ("src", "out", "ck"))
+    write_files(src, [[env(1, 1, T, "Tennis", None)],
+                      [env(1, 1, T, "Tennis", 500, op="u"), env(1, 1, T, "Vélo", 500, op="u"),
+                       env(1, 1, T, "Tennis", None, op="d")]])
+    q = start_ingest(spark, src, out, ck, params=Params(as_of=dt.datetime(2030, 1, 1)), available_now=True,
+                     max_files_per_trigger=1)
+    q.awaitTermination(180)
+    got = sorted((r["sport_type"], r["distance_m"]) for r in read_routes(spark, out).collect())
+    assert got == [("Tennis", None), ("Vélo", 500)]
