@@ -40,7 +40,11 @@ def test_jobs_end_to_end(spark, tmp_dir):
     jobs.main(["referential", "--hr", d["hr"], "--sport", d["sport"], "--distances", d["dist"],
                "--out", d["ref"]], spark)
     jobs.main(["gold", "--bronze", d["sink"], "--referential", d["ref"], "--out", d["gold"], *clock], spark)
-    jobs.main(["whatif", "--gold", d["gold"], "--out", d["whatif"], *clock], spark)
+    scen = os.path.join(tmp_dir, "scenarios.json")
+    with open(scen, "w") as fh:
+        json.dump([{"scenario": "a", "taux_prime": 0.05, "seuil": 15, "jours": 5},
+                   {"scenario": "b", "taux_prime": 0.06, "seuil": 40, "jours": 2}], fh)
+    jobs.main(["whatif", "--gold", d["gold"], "--out", d["whatif"], "--scenarios", scen, *clock], spark)
     jobs.main(["quality", "--bronze", d["sink"], "--referential", d["ref"], "--gold", d["gold"],
                "--out", d["quality"], *clock], spark)
     jobs.main(["notify", "--source", d["landing"], "--out", d["msgs"], "--checkpoint", d["ck2"],
@@ -58,5 +62,8 @@ def test_jobs_end_to_end(spark, tmp_dir):
     got = {r["bu"]: tuple(r)[1:7] for r in spark.read.parquet(d["gold"] + "/kpis_par_bu").collect()}
     assert got == expected and len(got) == 5
     assert spark.read.parquet(d["quality"] + "/quality_checks").count() == 11
-    assert spark.read.parquet(d["whatif"]).count() == 5 * 31
+    assert spark.read.parquet(d["whatif"] + "/seuils").count() == 5 * 31
+    scen_a = {r["bu"]: (r["nb_eligibles_bien_etre"], r["total_jours_bien_etre"])
+              for r in spark.read.parquet(d["whatif"] + "/scenarios").filter("scenario = 'a'").collect()}
+    assert scen_a == {bu: (v[3], v[4]) for bu, v in expected.items()}
     assert spark.read.parquet(d["msgs"]).count() > 900

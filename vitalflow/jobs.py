@@ -76,8 +76,14 @@ def job_gold(spark, args) -> None:
 
 
 def job_whatif(spark, args) -> None:
+    """Threshold grid; with ``--scenarios`` also KPIs per named (rate, threshold, days) scenario."""
     elig = read_table(spark, f"{args.gold}/eligibilite")
-    write_table(whatif.threshold_grid(elig, args.max_threshold, params=_params(spark, args)), args.out)
+    write_table(whatif.threshold_grid(elig, args.max_threshold, params=_params(spark, args)), f"{args.out}/seuils")
+    if args.scenarios:
+        scen = (spark.read.schema("scenario string, taux_prime double, seuil int, jours int")
+                .option("multiLine", True).json(args.scenarios))
+        max_t = max(args.max_threshold, scen.agg(F.max("seuil")).first()[0] or 0)
+        write_table(whatif.scenario_kpis(elig, scen, max_t), f"{args.out}/scenarios")
 
 
 def job_quality(spark, args) -> None:
@@ -154,6 +160,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--gold", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--max-threshold", type=int, default=30)
+    p.add_argument("--scenarios", help="JSON list of {scenario, taux_prime, seuil, jours}")
     param_args(p)
 
     p = sub.add_parser("quality")
