@@ -16,6 +16,10 @@ from .conftest import SF_SMALL  # noqa: E402
 
 SQL = E.oracle_sql()
 KEYS = sorted(E.queries())
+SPARK_TYPES = {"int": "int32", "bigint": "int64", "double": "double", "string": "string", "boolean": "bool",
+               "timestamp_ntz": "ts", "timestamp": "ts", "date": "date"}
+DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "bool",
+              "TIMESTAMP": "ts", "DATE": "date"}
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -25,10 +29,13 @@ def test_query_matches_oracle(spark, duck, key):
     if key not in SQL:
         assert len(rows) > 0
         return
-    res = duck.execute(SQL[key])
-    ocols = [d[0] for d in res.description]
+    rel = duck.sql(SQL[key])
+    ocols = rel.columns
     assert sorted(cols) == sorted(ocols)
-    assert canon(cols, rows) == canon(ocols, res.fetchall())
+    types = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    otypes = {n: DUCK_TYPES.get(str(t), str(t)) for n, t in zip(ocols, rel.types)}
+    assert types == otypes
+    assert canon(cols, rows) == canon(ocols, rel.fetchall())
 
 
 def test_entry_runs(spark):
