@@ -4,7 +4,7 @@ Runs each query at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS] (default 4); each run builds the DataFrame and executes
 the whole plan into the ``noop`` sink (nothing collected). Every query gets one
 untimed warm-up run (JIT and code generation for its plan shape), then the
-median of $BENCH_REPEATS timed runs (default 3) is reported. Prints ONE JSON line.
+median of $BENCH_REPEATS timed runs (default 5) is reported. Prints ONE JSON line.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     spark = build_session(f"local[{cpus}]", app="vitalflow-bench", shuffle_partitions=max(cpus, 4),
                           extra={"spark.driver.memory": "8g"})
     timings = {}
