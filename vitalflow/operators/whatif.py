@@ -1,14 +1,14 @@
 """What-if tables for the dashboard sliders: every wellness threshold, and named scenarios.
 
 No cross join with the employee table: employees are reduced to a histogram
-of capped activity counts per BU (partial aggregation), the threshold grid is
-generated per BU from that histogram (BU x (max_t + 1) rows), and the
-"count >= t" figure is a reverse running sum over at most max_t + 1 rows per BU.
+of capped activity counts per BU (partial aggregation); every histogram row is
+expanded to the max_t + 1 thresholds and one grouped sum gives "count >= t"
+per (BU, threshold). Everything after the histogram is bounded by BU x (max_t + 1)^2.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import Params
@@ -25,23 +25,23 @@ def _histogram(elig: DataFrame, max_t: int) -> DataFrame:
 def threshold_grid(elig: DataFrame, max_t: int = 30, days: int | None = None,
                    params: Params | None = None) -> DataFrame:
     """Per (bu, seuil in 0..max_t): staff, wellness-eligible staff (count >= seuil), days granted,
-    bonus-eligible staff and their salary mass (cost = rate x mass, linear in the rate)."""
+    bonus-eligible staff and their salary mass (cost = rate x mass, linear in the rate).
+
+    Each histogram row (bu, capped count b, k employees) is expanded to every
+    threshold t and contributes k where b >= t; one small grouped sum then
+    gives the whole grid (at most BU x (max_t + 1)^2 rows in flight).
+    """
     days = days if days is not None else (params.jours_bien_etre_accordes if params else 5)
     hist = _histogram(elig, max_t)
-    per_bu = Window.partitionBy("bu")
-    grid = (hist.select("bu").distinct()
-            .select("bu", F.explode(F.sequence(F.lit(0), F.lit(max_t))).alias("seuil")))
-    h = hist.withColumnRenamed("bu", "_bu").withColumnRenamed("seuil", "_seuil")
-    j = grid.join(h, grid["bu"].eqNullSafe(h["_bu"]) & (grid["seuil"] == h["_seuil"]), "left")
-    down = per_bu.orderBy(F.col("seuil").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = j.select(
-        "bu", "seuil",
-        F.sum(F.coalesce(F.col("k"), F.lit(0))).over(per_bu).cast("long").alias("nb_salaries"),
-        F.sum(F.coalesce(F.col("k"), F.lit(0))).over(down).cast("long").alias("nb_eligibles_bien_etre"),
-        F.sum(F.coalesce(F.col("k_prime"), F.lit(0))).over(per_bu).cast("long").alias("nb_eligibles_prime"),
-        F.sum(F.col("masse_prime")).over(per_bu).alias("masse_salariale_prime"),
-    )
-    return out.withColumn("total_jours_bien_etre", F.col("nb_eligibles_bien_etre") * F.lit(int(days)))
+    t = F.col("t")
+    grid = (hist.select("*", F.explode(F.sequence(F.lit(0), F.lit(max_t))).alias("t"))
+            .groupBy("bu", t.alias("seuil"))
+            .agg(F.sum("k").cast("long").alias("nb_salaries"),
+                 F.sum(F.when(F.col("seuil") >= t, F.col("k")).otherwise(F.lit(0))).cast("long")
+                 .alias("nb_eligibles_bien_etre"),
+                 F.sum("k_prime").cast("long").alias("nb_eligibles_prime"),
+                 F.sum("masse_prime").alias("masse_salariale_prime")))
+    return grid.withColumn("total_jours_bien_etre", F.col("nb_eligibles_bien_etre") * F.lit(int(days)))
 
 
 def scenarios_table(spark: SparkSession, scenarios: list[tuple[str, float, int, int]]) -> DataFrame:
