@@ -74,9 +74,15 @@ def faulty(act: DataFrame) -> DataFrame:
 
 
 def dirty(flt: DataFrame) -> DataFrame:
-    """fx_dirty: faults plus exact repeats of some rows under a new id."""
-    repeats = flt.filter("id % 89 = 0").selectExpr("id + 1000000000 AS id", *flt.columns[1:])
-    return flt.unionByName(repeats)
+    """fx_dirty: faults plus exact repeats of some rows under a new id.
+
+    One scan: each row is emitted once, or twice (second copy under id + 10^9)
+    when planted as a repeat, by exploding its id offsets; same rows as a
+    UNION ALL of the table with its repeats, without reading the source twice.
+    """
+    offsets = "explode(CASE WHEN id % 89 = 0 THEN array(0L, 1000000000L) ELSE array(0L) END) AS _off"
+    return (flt.selectExpr("*", offsets)
+            .selectExpr("id + _off AS id", *flt.columns[1:]))
 
 
 def hr_sheet(customer: DataFrame) -> DataFrame:
