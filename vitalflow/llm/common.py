@@ -62,3 +62,8 @@ def digest(spans_col: Column) -> Column:
     """``kind:start:end`` of struct(start, rank, kind, end) spans, by start, then rank, comma-joined."""
     return F.array_join(F.transform(F.array_sort(spans_col), lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def count_kind(found: str, kind: str) -> Column:
+    """How many spans of a kind, as ``n_<kind>``."""
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup
+from . import line_dedup, personal, secrets
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lambda spark, sf: line_dedup.dedup_lines(read(spark, sf, "documents")),
+    "op6_secret_scan": lambda spark, sf: secrets.report(secrets.scan(read(spark, sf, "documents"))),
+    "op10_personal_data": lambda spark, sf: personal.report(personal.find_personal(read(spark, sf, "documents"))),
 }
 
 ORACLE: dict[str, str] = {
