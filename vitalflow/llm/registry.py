@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, personal, secrets
+from . import decontaminate, fingerprint, line_dedup, personal, secrets
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lambda spark, sf: line_dedup.dedup_lines(read(spark, sf, "documents")),
+    "op4_fingerprint": lambda spark, sf: fingerprint.report(fingerprint.fingerprints(read(spark, sf, "documents"))),
     "op6_secret_scan": lambda spark, sf: secrets.report(secrets.scan(read(spark, sf, "documents"))),
+    "op8_decontaminate": lambda spark, sf: decontaminate.flag(
+        read(spark, sf, "documents"), read(spark, sf, "benchmark")).drop("k"),
     "op10_personal_data": lambda spark, sf: personal.report(personal.find_personal(read(spark, sf, "documents"))),
 }
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op8_decontaminate": decontaminate.ORACLE,
 }
