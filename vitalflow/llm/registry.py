@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, line_dedup, personal, secrets
+from . import decontaminate, fingerprint, language, line_dedup, personal, secrets, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lambda spark, sf: line_dedup.dedup_lines(read(spark, sf, "documents")),
+    "op2_toxicity": lambda spark, sf: toxicity.query(read(spark, sf, "documents"), read(spark, sf, "labels")),
+    "op3_language": lambda spark, sf: language.query(read(spark, sf, "documents")),
     "op4_fingerprint": lambda spark, sf: fingerprint.report(fingerprint.fingerprints(read(spark, sf, "documents"))),
     "op6_secret_scan": lambda spark, sf: secrets.report(secrets.scan(read(spark, sf, "documents"))),
     "op8_decontaminate": lambda spark, sf: decontaminate.flag(
