@@ -40,8 +40,12 @@ def _hashes(df: DataFrame) -> DataFrame:
 
 
 def _seeds(df: DataFrame, *keys: str) -> DataFrame:
-    """Keys, h, pos, seed: all windows under all masks. ``posexplode`` keeps the walk in generated code."""
-    at = df.select(*keys, "h", F.posexplode("h").alias("pos", "first")).where(F.col("pos") + SPAN <= F.size("h"))
+    """Keys, h, pos, seed: all windows under all masks.
+
+    ``posexplode`` keeps the walk in generated code; the outer form, as the plain one would compute
+    the hashes once more to test for empty arrays.
+    """
+    at = df.select(*keys, "h", F.posexplode_outer("h").alias("pos", "first")).where(F.col("pos") + SPAN <= F.size("h"))
     of = [F.xxhash64(F.lit(m), *[F.get("h", F.col("pos") + i) for i, c in enumerate(mask) if c == "1"])
           for m, mask in enumerate(MASKS)]
     return at.select(*keys, "h", "pos", F.explode(F.array(*of)).alias("seed"))
@@ -52,14 +56,11 @@ def _window_before() -> Column:
     return F.when(F.col("pos") > 0, F.slice("h", F.greatest(F.col("pos"), F.lit(1)), F.lit(SPAN)))
 
 
-def _best_window(item: Column, text: Column, at: Column) -> Column:
-    """Most agreeing tokens in a window of the item, laid over the text from token ``at``."""
-    low = F.greatest(F.lit(0), -at)
-    n = F.least(F.size(item), F.size(text) - at) - low
-    same = F.zip_with(F.slice(item, low + 1, n), F.slice(text, at + low + 1, n),
-                      lambda a, b: F.when(a == b, 1).otherwise(0))
-    width = F.least(F.lit(WINDOW), F.size(item))
-    sums = F.transform(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))),
+def _best_window(item: Column, text: Column) -> Column:
+    """Most agreeing tokens in a window, of the item's and the text's aligned tokens."""
+    same = F.zip_with(item, text, lambda a, b: F.when(a == b, 1).otherwise(0))
+    width = F.least(F.lit(WINDOW), F.col("item_size"))
+    sums = F.transform(F.sequence(F.lit(0), F.greatest(F.size(item) - width, F.lit(0))),
                        lambda i: F.aggregate(F.slice(same, i + 1, width), F.lit(0), lambda a, x: a + x))
     return F.array_max(sums)
 
@@ -81,11 +82,18 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
         part = seeds.where(F.pmod(F.xxhash64("seed", F.lit(7)), F.lit(blocks)) == block).withColumnRenamed("seed", "t_seed")
         again = F.coalesce(_window_before() == F.col("item_before"), F.lit(False))
         met = own.join(F.broadcast(part), (F.col("seed") == F.col("t_seed")) & ~again)
-        agree = _best_window(F.col("item_h"), F.col("h"), F.col("pos") - F.col("item_pos"))
-        return met.select("k", "item_id", F.least(F.lit(WINDOW), F.size("item_h")).alias("width"), agree.alias("agree"))
-
-    found = reduce(DataFrame.unionByName, [hits(b) for b in range(blocks)])
-    return (found.where(F.col("agree") * 4 >= F.col("width") * 3)
+        at = F.col("pos") - F.col("item_pos")
+        low = F.greatest(F.lit(0), -at)
+        n = F.least(F.size("item_h"), F.size("h") - at) - low
+        return met.select("k", "item_id", F.size("item_h").alias("item_size"), F.slice("item_h", low + 1, n).alias("item"),
+                          F.slice("h", at + low + 1, n).alias("own"))
+
+    # written, so that the comparison is not drawn into the join, which then would leave generated
+    # code and copy a text's hashes for each of its windows
+    found = staged(reduce(DataFrame.unionByName, [hits(b) for b in range(blocks)]), "seed-hits")
+    found = found.withColumn("agree", _best_window(F.col("item"), F.col("own")))
+    width = F.least(F.lit(WINDOW), F.col("item_size"))
+    return (found.where(F.col("agree") * 4 >= width * 3)
             .groupBy("k", "item_id").agg(F.max("agree").alias("agree")))
 
 

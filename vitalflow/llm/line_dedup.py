@@ -28,7 +28,7 @@ def _windows(rows: DataFrame) -> DataFrame:
         F.transform(lines, lambda x: F.xxhash64(x)).alias("a"),
         F.transform(lines, lambda x: F.xxhash64(x, F.lit(1))).alias("b"),
         F.transform(lines, lambda x: F.trim(x) == "").alias("blank"))
-    at = hashed.select("doc_id", "k", "a", "b", "blank", F.posexplode("a").alias("pos", "first"))
+    at = hashed.select("doc_id", "k", "a", "b", "blank", F.posexplode_outer("a").alias("pos", "first"))
     three = lambda c: [F.get(c, F.col("pos") + i) for i in range(3)]
     blank = three("blank")
     return (at.where(F.col("pos") + 2 < F.size("a")).where(~(blank[0] & blank[1] & blank[2]))

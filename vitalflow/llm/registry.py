@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, language, line_dedup, personal, secrets, toxicity
+from . import decontaminate, fingerprint, language, line_dedup, mixing, personal, secrets, token_output, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": lambda spark, sf: toxicity.query(read(spark, sf, "documents"), read(spark, sf, "labels")),
     "op3_language": lambda spark, sf: language.query(read(spark, sf, "documents")),
     "op4_fingerprint": lambda spark, sf: fingerprint.report(fingerprint.fingerprints(read(spark, sf, "documents"))),
+    "op5_mixing": lambda spark, sf: mixing.query(read(spark, sf, "documents")),
     "op6_secret_scan": lambda spark, sf: secrets.report(secrets.scan(read(spark, sf, "documents"))),
     "op8_decontaminate": lambda spark, sf: decontaminate.flag(
         read(spark, sf, "documents"), read(spark, sf, "benchmark")).drop("k"),
+    "op9_token_output": lambda spark, sf: token_output.query(read(spark, sf, "documents")),
     "op10_personal_data": lambda spark, sf: personal.report(personal.find_personal(read(spark, sf, "documents"))),
 }
 
