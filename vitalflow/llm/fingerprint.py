@@ -50,17 +50,16 @@ def first_change(paragraphs_a: Column, paragraphs_b: Column) -> Column:
 
 
 def _cycle(rows: DataFrame) -> DataFrame:
-    """doc_id, k and the document before it in descending doc_id order (before_*).
+    """o_k, o_k2 and the document before it in descending doc_id order (before: k, k2, n_chars).
 
     Small rows only: range-partitioned by doc_id, a window in each range, and the ranges' last
     rows (one for each partition) joined to the ranges that follow.
     """
-    spark = rows.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("k")]
-    ids = rows.select("doc_id", "k", "n_chars").distinct()
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("k"), F.col("k2")]
+    ids = rows.select("doc_id", "k", "k2", F.length("text").cast("bigint").alias("n_chars")).distinct()
     at = staged(ids.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "doc-ranges")
-    own = F.struct("doc_id", "k", "n_chars")
+    own = F.struct("k", "k2", "n_chars")
     inside = Window.partitionBy("range").orderBy(*order)
     seen = at.withColumn("at", F.row_number().over(inside)).withColumn("before", F.lag(own).over(inside))
     lasts = staged(seen.groupBy("range").agg(F.max_by(own, "at").alias("last")), "doc-range-ends")
@@ -70,23 +69,26 @@ def _cycle(rows: DataFrame) -> DataFrame:
         F.last("last").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("edge"))
     # one row for each range: bounded by the partition count
     return seen.join(F.broadcast(edges), F.col("range") == F.col("e_range")).select(
-        F.col("doc_id").alias("o_id"), F.col("k").alias("o_k"), F.coalesce("before", "edge").alias("before"))
+        F.col("k").alias("o_k"), F.col("k2").alias("o_k2"), F.coalesce("before", "edge").alias("before"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's tree, its edited text's tree and the likenesses: see ``report`` for the columns."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), F.length("text").cast("bigint").alias("n_chars"), "text")
+    # k and k2 name a document (id and text); the same columns go into both joins below, which
+    # then share one exchange of the texts
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("k"),
+                       F.xxhash64("text", "doc_id", F.lit(1)).alias("k2"), "text")
     cycle = staged(_cycle(rows), "doc-order")
     # what the document before needs of this one: its first code points and its tree's root and sketch
-    same = lambda a, b, c, d: F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
     third = F.floor(F.col("before.n_chars") / 3).cast("int")
-    heads = rows.join(cycle, same("doc_id", "o_id", "k", "o_k")).select(
-        F.col("before.doc_id").alias("h_id"), F.col("before.k").alias("h_k"),
+    heads = rows.join(cycle, (F.col("k") == F.col("o_k")) & (F.col("k2") == F.col("o_k2"))).select(
+        F.col("before.k").alias("h_k"), F.col("before.k2").alias("h_k2"),
         F.substr("text", F.lit(1), third).alias("head"), tree(F.col("text")).alias("next"))
-    heads = heads.select("h_id", "h_k", "head", F.col("next.root").alias("next_root"), F.col("next.sketch").alias("next_sketch"))
-    heads = heads.dropDuplicates(["h_id", "h_k"])
-    joined = rows.join(heads, same("doc_id", "h_id", "k", "h_k"))
+    heads = heads.select("h_k", "h_k2", "head", F.col("next.root").alias("next_root"), F.col("next.sketch").alias("next_sketch"))
+    heads = heads.dropDuplicates(["h_k", "h_k2"])  # the next document may stand in several equal rows
+    joined = rows.join(heads, (F.col("k") == F.col("h_k")) & (F.col("k2") == F.col("h_k2")))
+    joined = joined.withColumn("n_chars", F.length("text").cast("bigint"))
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
     edited = joined.withColumn("edited", F.concat(F.substr("text", F.lit(1), kept), F.col("head")))
     return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), tree(F.col("text")).alias("tree"),
