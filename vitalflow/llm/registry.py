@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, language, line_dedup, mixing, personal, secrets, token_output, toxicity
+from . import decontaminate, fingerprint, language, line_dedup, mixing, ngram_join, personal, secrets, token_output, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprint": lambda spark, sf: fingerprint.report(fingerprint.fingerprints(read(spark, sf, "documents"))),
     "op5_mixing": lambda spark, sf: mixing.query(read(spark, sf, "documents")),
     "op6_secret_scan": lambda spark, sf: secrets.report(secrets.scan(read(spark, sf, "documents"))),
+    "op7_ngram_join": lambda spark, sf: ngram_join.query(read(spark, sf, "documents")),
     "op8_decontaminate": lambda spark, sf: decontaminate.flag(
         read(spark, sf, "documents"), read(spark, sf, "benchmark")).drop("k"),
     "op9_token_output": lambda spark, sf: token_output.query(read(spark, sf, "documents")),
@@ -24,5 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op7_ngram_join": lambda spark, sf: ngram_join.query(read(spark, sf, "documents")),
     "op8_decontaminate": decontaminate.ORACLE,
 }
