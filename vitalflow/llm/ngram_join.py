@@ -219,11 +219,11 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return 100 * both >= percent * (size[:, None] + size[None, :] - both)
 
 
-def _connect(percent: int):
+def _connect(words: int, percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         """The links that connect the sets of one comparison: each set with the least one it reaches."""
         names = group["d"].to_numpy(np.int64)
-        link = linked([np.frombuffer(s, "<u8") for s in group["set"]], percent)
+        link = linked(shingle_sets(group["text"].tolist(), words), percent)
         if group["j"].iloc[0] < 0:  # visitors meet residents, not each other
             guest = group["guest"].to_numpy(bool)
             link &= guest[:, None] != guest[None, :]
@@ -241,30 +241,32 @@ def _connect(percent: int):
     return run
 
 
-def _sets_of(rows: DataFrame, classes: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """d, set (uint64, ascending): one text of each needed class, hashed anew."""
-    wanted = staged(classes.join(needed, "d", "left_semi").select(F.col("rep_k").alias("w_k"), F.col("d").alias("w_d")), "needed-sets")
-    some = rows.select("k", "text").join(wanted, F.col("k") == F.col("w_k"))
-
+def _verify(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.astype("<u8").tobytes() for s in shingle_sets(batch.column("text").to_pylist(), words)]
-            yield pa.RecordBatch.from_arrays([batch.column("w_d"), pa.array(sets, pa.binary())], ["d", "set"])
+            left = shingle_sets(batch.column("text_u").to_pylist(), words)
+            right = shingle_sets(batch.column("text_v").to_pylist(), words)
+            both = np.array([len(a) + len(b) - len(np.union1d(a, b)) for a, b in zip(left, right)], np.int64)
+            size = np.array([len(a) + len(b) for a, b in zip(left, right)], np.int64)
+            keep = pa.array(100 * both >= percent * (size - both))
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(keep)
 
-    return staged(some.select("w_d", "text").mapInArrow(run, "d bigint, set binary").dropDuplicates(["d"]), "sets")
+    return run
 
 
-def _verify(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("set_u").to_pylist(), batch.column("set_v").to_pylist()):
-                a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                both = len(a) + len(b) - len(np.union1d(a, b))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep))
+BROADCAST_ROWS = 1_000_000   # keys that are broadcast at most; beyond it the texts are shuffled
 
-    return run
+
+def _checked(keys: DataFrame) -> DataFrame:
+    """A written table of keys, broadcast if it has few rows."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def _texts_of(rows: DataFrame, classes: DataFrame, needed: DataFrame) -> DataFrame:
+    """d, text: one text of each needed class. Texts move, not their shingles, which are larger."""
+    wanted = staged(classes.join(needed, "d", "left_semi").select(F.col("rep_k").alias("w_k"), "d"), "needed-texts")
+    some = rows.select("k", "text").join(_checked(wanted), F.col("k") == F.col("w_k"))
+    return staged(some.dropDuplicates(["k"]).select("d", "text"), "texts")
 
 
 def join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,13 +287,13 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     residents, visitors = _homes(lists.where(F.col("c") > LIST))
     needed = (pairs.select(F.col("u").alias("d")).unionByName(pairs.select(F.col("v").alias("d")))
               .unionByName(residents.select("d")).unionByName(visitors.select("d")).distinct())
-    sets = _sets_of(rows, classes, needed, words)
+    texts = _texts_of(rows, classes, needed)
 
-    both = pairs.join(sets.select(F.col("d").alias("u"), F.col("set").alias("set_u")), "u")
-    both = both.join(sets.select(F.col("d").alias("v"), F.col("set").alias("set_v")), "v").select("u", "v", "set_u", "set_v")
-    cold = both.mapInArrow(_verify(percent), "u bigint, v bigint")
-    blocks = _block_rows(residents, visitors).join(sets, "d")
-    hot = blocks.groupBy("home", "i", "j").applyInPandas(_connect(percent), "u bigint, v bigint")
+    both = pairs.join(texts.select(F.col("d").alias("u"), F.col("text").alias("text_u")), "u")
+    both = both.join(texts.select(F.col("d").alias("v"), F.col("text").alias("text_v")), "v").select("u", "v", "text_u", "text_v")
+    cold = both.mapInArrow(_verify(words, percent), "u bigint, v bigint")
+    blocks = _block_rows(residents, visitors).join(texts, "d")
+    hot = blocks.groupBy("home", "i", "j").applyInPandas(_connect(words, percent), "u bigint, v bigint")
     found = components(cold.unionByName(hot))
 
     roots = classes.join(found.select(F.col("u").alias("d"), "root"), "d", "left").withColumn("root", F.coalesce("root", "d"))
@@ -311,13 +313,17 @@ def query(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all their columns, with one document of each group: that of the least doc_id."""
     names = docs.columns
-    found = join(docs, words, percent)
-    first = found.where("root IS NOT NULL").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k")).alias("first")).select(F.col("first.k").alias("f_k"))
-    alone = found.where("root IS NULL").select(F.col("k").alias("f_k"))
-    keep = staged(first.unionByName(alone).distinct(), "kept-rows")
+    found = staged(join(docs, words, percent), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
+    first = staged(found.where("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("root").alias("f_root"), F.col("first.k").alias("f_k")), "group-firsts")
+    # the rows to drop are the few; both sides of this join are plain scans, so a hot group is split
+    drop = found.where("root IS NOT NULL").join(first, (F.col("root") == F.col("f_root")) & (F.col("k") != F.col("f_k")))
+    drop = staged(drop.select(F.col("k").alias("d_k")).distinct(), "dropped-rows")
+    again = found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key = F.xxhash64(f"c{names.index('doc_id')}", f"c{names.index('text')}")
-    kept = plain.withColumn("k", key).join(keep, F.col("k") == F.col("f_k"), "left_semi")
-    # equal rows are one document; rows without a word link with nothing, equal or not
-    return kept.dropDuplicates(["k"]).select(*plain.columns).toDF(*names)
+    kept = plain.withColumn("k", key).join(_checked(drop), F.col("k") == F.col("d_k"), "left_anti")
+    if again:  # equal rows are one document
+        kept = kept.dropDuplicates(["k"])
+    return kept.select(*plain.columns).toDF(*names)
