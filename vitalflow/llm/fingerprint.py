@@ -83,16 +83,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # what the document before needs of this one: its first code points and its tree's root and sketch
     third = F.floor(F.col("before.n_chars") / 3).cast("int")
     heads = rows.join(cycle, (F.col("k") == F.col("o_k")) & (F.col("k2") == F.col("o_k2"))).select(
-        F.col("before.k").alias("h_k"), F.col("before.k2").alias("h_k2"),
+        F.col("before.k").alias("h_k"), F.col("before.k2").alias("h_k2"), F.col("doc_id").alias("next_doc_id"),
         F.substr("text", F.lit(1), third).alias("head"), tree(F.col("text")).alias("next"))
-    heads = heads.select("h_k", "h_k2", "head", F.col("next.root").alias("next_root"), F.col("next.sketch").alias("next_sketch"))
+    heads = heads.select("h_k", "h_k2", "next_doc_id", "head", F.col("next.root").alias("next_root"), F.col("next.sketch").alias("next_sketch"))
     heads = heads.dropDuplicates(["h_k", "h_k2"])  # the next document may stand in several equal rows
     joined = rows.join(heads, (F.col("k") == F.col("h_k")) & (F.col("k2") == F.col("h_k2")))
     joined = joined.withColumn("n_chars", F.length("text").cast("bigint"))
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
     edited = joined.withColumn("edited", F.concat(F.substr("text", F.lit(1), kept), F.col("head")))
     return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), tree(F.col("text")).alias("tree"),
-                         tree(F.col("edited")).alias("edited_tree"), "next_root", "next_sketch")
+                         tree(F.col("edited")).alias("edited_tree"), "next_doc_id", "next_root", "next_sketch")
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -101,5 +101,5 @@ def report(found: DataFrame) -> DataFrame:
         F.col("edited_tree.root").alias("edited_fingerprint"),
         likeness(F.col("tree.root"), F.col("tree.sketch"), F.col("edited_tree.root"), F.col("edited_tree.sketch")).alias("near_edited"),
         likeness(F.col("tree.root"), F.col("tree.sketch"), F.col("next_root"), F.col("next_sketch")).alias("near_next"),
-        F.size("tree.sections").alias("n_sections"), F.size("tree.paragraphs").alias("n_paragraphs"),
+        "next_doc_id", F.size("tree.sections").alias("n_sections"), F.size("tree.paragraphs").alias("n_paragraphs"),
         first_change(F.col("tree.paragraphs"), F.col("edited_tree.paragraphs")).alias("first_changed_paragraph"))
