@@ -23,8 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal_data": lambda spark, sf: personal.report(personal.find_personal(read(spark, sf, "documents"))),
 }
 
-ORACLE: dict[str, str] = {
+ORACLE: dict[str, str] = {  # the others are tested against brute force, exact round trips or held-out rows
     "op1_line_dedup": line_dedup.ORACLE,
-    "op7_ngram_join": lambda spark, sf: ngram_join.query(read(spark, sf, "documents")),
     "op8_decontaminate": decontaminate.ORACLE,
 }
