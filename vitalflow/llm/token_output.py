@@ -191,6 +191,8 @@ def decode(block: bytes, freq: Frequencies, slots: np.ndarray, from_mark: int =
         x[need] = (x[need] << np.uint64(32)) | code[pos:pos + len(need)]
         pos += len(need)
         state[:m] = x
+    if pos != len(code) or (state != LOWEST).any():  # where every coder began
+        raise ValueError("a block of token ids is damaged")
     ids = freq.ids[got.reshape(-1)[: n - low * lanes]]
     if not from_mark and zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("a block of token ids is damaged")
