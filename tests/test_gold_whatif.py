@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitalflow.operators import gold, referential, whatif
@@ -43,7 +44,7 @@ def test_figures_sf0001(spark):
     bike = {r[0]: r[1] for r in ref.filter(F.col("moyen_declare") == "Vélo/Trottinette/Autres")
             .groupBy("distance_anormale").count().collect()}
     assert bike == {False: 19, True: 13, None: 5}
-    assert f.fx.sport().count() == 71
+    assert f.fx.sport().filter("pratique = 'Tennis'").count() == 71
 
 
 def test_eligibility_rules(spark):
@@ -68,7 +69,7 @@ def test_eligibility_rules(spark):
     assert set(k) == {"A", "B", None}
     assert k[None]["nb_eligibles_prime"] == 0 and k[None]["nb_salaries"] == 2
     shared = gold.shareable(gold.eligibility(act, ref, p))
-    assert "salaire_brut" not in shared.columns and "montant_prime" not in shared.columns
+    assert not {"id_salarie", "distance_km", "moyen_declare", "salaire_brut", "montant_prime"} & set(shared.columns)
 
 
 def test_whatif_equals_naive_cross_join(spark):
@@ -85,7 +86,7 @@ def test_whatif_equals_naive_cross_join(spark):
 def test_scenarios_match_direct_recompute(spark):
     f = Flow(spark, SF)
     s = whatif.scenarios_table(spark, [("x", 0.07, 3, 2)])
-    got = {r["bu"]: r for r in whatif.scenario_kpis(f.eligibility, s, 30).collect()}
+    got = {r["bu"]: r for r in whatif.scenario_kpis(f.eligibility, s).collect()}
     p2 = f.params.replace(taux_prime=0.07, seuil_activites_bien_etre=3, jours_bien_etre_accordes=2)
     direct = {r["bu"]: r for r in gold.kpis(gold.eligibility(f.bronze, f.referential, p2), p2).collect()}
     for bu, r in direct.items():
@@ -94,6 +95,16 @@ def test_scenarios_match_direct_recompute(spark):
         assert abs(got[bu]["cout_total_prime"] - r["cout_total_prime"]) < 1e-3
 
 
+def test_scenario_thresholds_are_taken_as_given(spark):
+    elig = spark.createDataFrame([("A", n, True, 10.0) for n in (0, 5, 40, 150)],
+                                 "bu string, nb_activites_12mois long, eligible_prime boolean, salaire_brut double")
+    s = whatif.scenarios_table(spark, [("none", 0.1, 151, 1), ("far", 0.1, 100, 1), ("mid", 0.1, 5, 1), ("all", 0.1, -3, 1)])
+    got = {r["scenario"]: r["nb_eligibles_bien_etre"] for r in whatif.scenario_kpis(elig, s).collect()}
+    assert got == {"none": 0, "far": 1, "mid": 3, "all": 4}
+    with pytest.raises(ValueError):
+        whatif.scenario_kpis(elig, whatif.scenarios_table(spark, [("x", 0.1, None, 1)]))
+
+
 def test_modes_table(spark):
     m = {r["moyen_declare"]: (r["seuil_km"], r["profile"]) for r in modes_table(spark).collect()}
     assert m == {"Marche/running": (15, "walking"), "Vélo/Trottinette/Autres": (25, "bicycling")}

@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitalflow.functions import text, time as ftime
@@ -62,6 +63,50 @@ def test_read_hr_sheet_with_optional_sport(spark, tmp_dir):
     assert names == {1: "Ada Lovelace", 2: "Alan Turing"}
 
 
+def test_sheets_are_read_by_header_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "rh.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("Remarque,BU,Nom,Prénom,ID salarié,Moyen de déplacement,Salaire brut,Adresse du domicile\n")
+        fh.write("x,R&D,Lovelace,Ada,1,Marche/running,30000,1 rue A\n")
+    r = read_hr(spark, path)[0].first()
+    assert (r["id_salarie"], r["nom"], r["bu"], r["salaire_brut"]) == (1, "Lovelace", "R&D", 30000.0)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("ID salarié,Nom\n1,Lovelace\n")
+    with pytest.raises(ValueError, match="Salaire brut"):
+        read_hr(spark, path)
+
+
+def test_referential_keeps_one_row_per_employee(spark):
+    """Two sports and two measurements of one employee: all sports told, the latest distance counts."""
+    from vitalflow.operators import referential
+    hr = spark.createDataFrame([(1, "A", "Marche/running")], "id_salarie int, bu string, moyen_declare string")
+    sport = spark.createDataFrame([(1, "Tennis", 1), (1, "Judo", 2), (1, None, 3)], "id_salarie int, pratique string, n int")
+    old, new = dt.datetime(2022, 1, 1), dt.datetime(2023, 1, 1)
+    dist = spark.createDataFrame([(1, "walking", 2000, "OK", new), (1, "walking", 90000, "OK", old)],
+                                 "id_salarie int, profile string, metres int, status string, measured_at timestamp_ntz")
+    r = referential.build_referential(spark, hr, dist, sport).collect()
+    assert [(x["pratique"], x["distance_km"], x["distance_anormale"]) for x in r] == [("Judo, Tennis", 2.0, False)]
+    assert referential.join_sport(hr, sport).count() == 3  # a row for each declaration
+    assert [x["pratique_declaree"] for x in referential.practice_flag(hr, sport, order="n").collect()] == [False]
+    assert [x["pratique_declaree"] for x in referential.practice_flag(hr, sport).collect()] == [True]
+    without = referential.build_referential(spark, hr, None).first()
+    assert without["distance_km"] is None and without["distance_anormale"] is None
+
+
+def test_placeholders_inside_values_stay(spark):
+    out = spark.range(1).select(text.fill_template(F.lit("{nom} : {sport} !"), {"nom": F.lit("{sport}"), "sport": F.lit("{duree}")}))
+    assert out.first()[0] == "{sport} : {duree} !"
+
+
+def test_fixed_values_are_the_agreed_ones():
+    """Written out here, so that a changed rule table shows."""
+    from vitalflow import schemas
+    assert schemas.DEFAULT_CAP_M == 10000 and schemas.DISTANCE_CAPS_M["Vélo"] == 150000
+    assert schemas.DISTANCE_CAPS_M["Course à pied"] == 42000 and schemas.DISTANCE_CAPS_M["Marche"] == 25000
+    assert schemas.ACTIVE_MODES == {"Marche/running": (15, "walking"), "Vélo/Trottinette/Autres": (25, "bicycling")}
+    assert len(schemas.KNOWN_SPORTS) == 16 and schemas.DEFAULT_PARAMS["taux_prime"] == 0.05
+
+
 def test_text_helpers(spark):
     df = spark.createDataFrame([(0,), (49,), (50,), (12345,), (12350,), (150000,)], "m int")
     got = [r[0] for r in df.select(text.km_text("m")).collect()]

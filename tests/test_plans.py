@@ -11,6 +11,7 @@ import pytest
 import __spark_entry__ as E
 from vitalflow.operators import gold
 from vitalflow.params import Params
+from vitalflow.plans.catalog import QUERIES
 from vitalflow.plans.medallion import Flow
 from vitalflow.sources.tables import read_table, write_table
 
@@ -25,7 +26,7 @@ def plan(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k != "stream_route"))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k != "stream_route"))
 def test_no_python_in_plans(spark, key):
     text = plan(E.queries()[key](spark, SF), "extended")
     assert not any(n in text for n in PY_NODES), key
@@ -91,3 +92,40 @@ def test_orphan_join_reuses_employee_partitioning(spark):
     assert "SortMergeJoin [_k" in text
     assert "coalesce(id_salarie" not in text.split("SortMergeJoin")[1].split("\n")[0]
     assert text.count("Exchange hashpartitioning(_k") <= 1
+
+
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "8"}
+
+
+@pytest.mark.parametrize("name", ["with_name", "orphans", "known"])
+def test_hot_employee_is_split(spark, name):
+    """70 % of the activities belong to one employee: the join's hot partition is split."""
+    from pyspark.sql import functions as F
+    from vitalflow.operators import notify, quality
+    from vitalflow.sources.tables import stored
+    old = {k: spark.conf.get(k) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    try:
+        hr = spark.range(3000).select(F.col("id").cast("int").alias("id_salarie"), F.lit("Ada").alias("prenom"), F.lit("L").alias("nom"))
+        ev = spark.range(0, 60000, 1, 8).select("id", F.when(F.col("id") % 10 < 7, 5).otherwise(F.col("id") % 4000).cast("int").alias("id_salarie"))
+        if name == "with_name":
+            out = notify.with_name(ev, stored(notify.directory(hr), "directory"))
+        else:
+            out = getattr(quality, name)(ev, hr)
+        rows = len(out.collect())
+        assert rows == {"with_name": 60000, "orphans": 4500, "known": 55500}[name]
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_checks_scan_the_activities_once(spark):
+    """The eleven checks and the look-back count read one written bronze table."""
+    text = plan(QUERIES["violation_counts"](spark, SF), "simple")
+    assert "events.parquet" not in text
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert sum("/bronze-" in line for line in scans) == 1

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vitalflow.operators.cdc import decode_changes
 from vitalflow.params import Params
 from vitalflow.sources.cdc import read_cdc_stream
-from vitalflow.streaming.ingest import dedup_stream, late_rows, read_routes, start_ingest
+from vitalflow.streaming.ingest import Totals, await_end, compact, dedup_stream, read_routes, start_ingest
 from vitalflow.streaming.notifier import start_notifications
 
 T = 1_700_000_000_000_000  # 2023-11-14 22:13:20 UTC
@@ -57,22 +57,23 @@ def run_dedup(spark, tmp_dir, gate):
     def collect(df, batch_id):
         seen.append((batch_id, sorted(r["id"] for r in df.select("id").collect())))
 
-    q = (out.writeStream.foreachBatch(collect).option("checkpointLocation", os.path.join(tmp_dir, "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination(180)
-    return seen, q
+    with Totals(spark) as totals:
+        q = (out.writeStream.foreachBatch(collect).option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+             .trigger(availableNow=True).start())
+        await_end(q)
+        return seen, totals.of(q)
 
 
 def test_watermark_dedup_reference_form(spark, tmp_dir):
-    seen, q = run_dedup(spark, tmp_dir, gate=False)
+    seen, totals = run_dedup(spark, tmp_dir, gate=False)
     ids = [i for _, b in seen for i in b]
     by_batch = dict(seen)
     assert len([i for i in by_batch[0] if i in (1, 2)]) == 1 and 3 in by_batch[0]
-    assert len([i for i in by_batch[0] if i in (20, 21)]) == 1
-    assert sorted(by_batch[1]) == [4, 5]          # late filter lags one batch
+    assert {20, 21} < set(by_batch[0])             # undated rows pass by the state
+    assert sorted(by_batch[1]) == [4, 5, 22]      # late filter lags one batch
     assert by_batch[2] == [7] and by_batch[3] == [8]
     assert 9 not in ids                            # poisoned watermark: T+11h dropped as late
-    assert late_rows(q) >= 1
+    assert totals["late"] >= 1
 
 
 def test_future_gate_keeps_later_rows(spark, tmp_dir):
@@ -120,8 +121,8 @@ def test_ingest_batch_equals_batch_twin(spark, tmp_dir):
     q.awaitTermination(300)
     keys = ["id_salarie", "date_debut", "sport_type", "route"]
     streamed = read_routes(spark, out).withColumn("date_debut", F.col("date_debut").cast("timestamp_ntz"))
-    twin = with_route(decode_changes(read_cdc_stream(spark, src, stream=False), ntz=True)
-                      .dropDuplicates(["id_salarie", "date_debut", "sport_type"]), p)
+    rows = decode_changes(read_cdc_stream(spark, src, stream=False), ntz=True)
+    twin = with_route(rows.dropDuplicates([c for c in rows.columns if c not in ("id", "ingested_at")]), p)
     a = sorted(tuple(map(str, r)) for r in streamed.select(keys).collect())
     b = sorted(tuple(map(str, r)) for r in twin.select(keys).collect())
     assert a == b and len(a) > 900
@@ -144,20 +145,6 @@ def test_notifier_stream(spark, tmp_dir):
     assert msgs[31]["type_message"] == "alerte" and "distance négative (-5 m)" in msgs[31]["texte"]
 
 
-def test_salted_directory_join_equals_plain(spark):
-    """Beyond the broadcast bound the salted join gives the same names, hot key included."""
-    from vitalflow.operators.joins import salted_left_join
-    from vitalflow.operators.notify import with_name
-    ev = spark.createDataFrame([(i, 1 if i % 3 else i % 7) for i in range(3000)], "id long, id_salarie int")
-    directory = spark.createDataFrame([(k, f"N{k}") for k in range(5)], "id_salarie int, nom_complet string")
-    plain = sorted(tuple(r) for r in with_name(ev, directory).collect())
-    salted = sorted(tuple(r) for r in with_name(ev, directory, broadcast_max_rows=2, salt_buckets=8).collect())
-    bcast = sorted(tuple(r) for r in with_name(ev, directory, broadcast_max_rows=100).collect())
-    assert plain == salted == bcast
-    d = directory.withColumnRenamed("id_salarie", "k")
-    assert salted_left_join(ev, d, "id_salarie", "k", 4).count() == 3000
-
-
 def test_batch_writer_is_idempotent_on_retry(spark, tmp_dir):
     """A micro-batch written twice (retry after a failure) replaces its folder instead of duplicating rows."""
     from vitalflow.streaming.ingest import route_batch_writer
@@ -181,3 +168,95 @@ def test_updates_are_appended_not_applied(spark, tmp_dir):
     q.awaitTermination(180)
     got = sorted((r["sport_type"], r["distance_m"]) for r in read_routes(spark, out).collect())
     assert got == [("Tennis", None), ("Vélo", 500)]
+
+
+def test_new_checkpoint_keeps_earlier_rows(spark, tmp_dir):
+    """A second run with a checkpoint of its own adds to the sink; a restart on the first adds nothing."""
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    p = Params(as_of=dt.datetime(2030, 1, 1))
+    write_files(src + "1", [[env(1, 1, T, "Tennis")]])
+    write_files(src + "2", [[env(2, 2, T, "Tennis")]])
+    for n in ("1", "2", "1"):
+        await_end(start_ingest(spark, src + n, out, os.path.join(tmp_dir, "ck" + n), params=p, available_now=True))
+    rows = read_routes(spark, out).collect()
+    assert sorted(r["id"] for r in rows) == [1, 2] and len({r["query"] for r in rows}) == 2
+    compact(spark, out, os.path.join(tmp_dir, "compact"))
+    one = spark.read.parquet(os.path.join(tmp_dir, "compact"))
+    assert sorted(r["id"] for r in one.collect()) == [1, 2] and "query" not in one.columns
+
+
+def test_sink_without_rows_is_an_empty_table(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    write_files(src, [["{not json"]])
+    await_end(start_ingest(spark, src, out, os.path.join(tmp_dir, "ck"), available_now=True))
+    empty = read_routes(spark, out, "valid")
+    assert empty.count() == 0 and {"id", "jour", "route"} <= set(empty.columns)
+
+
+def test_totals_count_every_batch(spark, tmp_dir):
+    """More batches than the progress keeps: input and late rows of all of them are counted."""
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[env(1, 1, T)]] + [[env(10 + n, 1, T - (100 + n) * H)] for n in range(8)])
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        with Totals(spark) as totals:
+            q = start_ingest(spark, src, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
+                             available_now=True, max_files_per_trigger=1)
+            await_end(q)
+            got = totals.of(q)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert (got["input_rows"], got["batches"] >= 9) == (9, True)
+    assert got["late"] == 7  # the first old row comes before the watermark has moved
+    assert len(q.recentProgress) <= 2
+
+
+def test_undated_rows_leave_no_state(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    write_files(src, [[env(1, 1, None), env(2, 1, None), env(3, 1, Y3000), env(4, 1, None, "Judo")]])
+    with Totals(spark) as totals:
+        q = start_ingest(spark, src, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"), available_now=True)
+        await_end(q)
+        assert totals.of(q)["state_rows"] == 0
+    rows = read_routes(spark, os.path.join(tmp_dir, "out")).collect()
+    assert len(rows) == 3 and all(r["route"] == "quarantine" for r in rows)  # 1 and 2 repeat each other
+
+
+def test_files_of_a_day_are_bounded(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    write_files(src, [[env(n, n, T, "Tennis") for n in range(200)]])
+    await_end(start_ingest(spark, src, out, os.path.join(tmp_dir, "ck"), params=Params(as_of=dt.datetime(2030, 1, 1)),
+                           available_now=True, files=2))
+    files = [f for d, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    assert 1 <= len(files) <= 2 and read_routes(spark, out, "valid").count() == 200
+
+
+def test_notifier_survives_huge_distance_and_directory_changes(spark, tmp_dir):
+    """An absurd distance is an alert; the directory is read anew for each batch; none at all is a warning."""
+    src, ref, out = (os.path.join(tmp_dir, n) for n in ("src", "ref", "out"))
+    write_files(src, [[env(1, 5, T, "Tennis", 2147483640)], [env(2, 5, T, "Tennis", 1000)]])
+    hr = lambda name: spark.createDataFrame([(5, "Ada", name)], "id_salarie int, prenom string, nom string")
+    hr("Byron").write.mode("overwrite").parquet(ref)
+    got = []
+
+    def writer(df, batch_id):
+        got.extend(df.collect())
+        hr("Lovelace").write.mode("overwrite").parquet(ref)
+
+    await_end(start_notifications(spark, src, ref, os.path.join(tmp_dir, "ck"), writer=writer,
+                                  available_now=True, max_files_per_trigger=1))
+    text = {r["id"]: r["texte"] for r in got}
+    assert "Ada Byron" in text[1] and "2147483.6 km déclarés" in text[1] and "Ada Lovelace" in text[2]
+    for n in ("a", "b"):  # a new checkpoint adds its messages
+        await_end(start_notifications(spark, src, os.path.join(tmp_dir, "missing"), os.path.join(tmp_dir, "ck" + n),
+                                      out_root=out, available_now=True))
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r["id"] for r in rows) == [1, 1, 2, 2] and all("Salarié #5" in r["texte"] for r in rows)
+
+
+def test_latest_offsets_skip_the_history():
+    from vitalflow.sources.cdc import kafka_options
+    got = kafka_options("t", "b:1", "latest", 500)
+    assert got == {"kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "latest", "maxOffsetsPerTrigger": "500"}
+    assert "startingOffsets" not in kafka_options("t", "b:1", "latest", None, stream=False)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def km_tenths(metres) -> Column:
     """Metres -> tenths of km, half-up on integer metres: ``floor((m + 50) / 100)``."""
-    return F.floor((_c(metres) + F.lit(50)) / F.lit(100))
+    return F.floor((_c(metres).cast("bigint") + F.lit(50)) / F.lit(100))
 
 
 def km(metres) -> Column:
@@ -35,12 +35,15 @@ def full_name(first, last) -> Column:
 def fill_template(template: Column, values: dict[str, Column]) -> Column:
     """Replace each ``{key}`` placeholder of a template Column by a string Column.
 
-    A NULL value prints as ``None``, as Python's ``str.format`` would.
+    The template is split at its placeholders once and its parts are joined, so a brace inside a
+    value stays as it is. A NULL value prints as ``None``, as Python's ``str.format`` would.
     """
-    out = template
-    for key, value in values.items():
-        out = F.replace(out, F.lit("{" + key + "}"), F.coalesce(value.cast("string"), F.lit("None")))
-    return out
+    known = F.create_map(*[x for key, value in values.items()
+                           for x in (F.lit(key), F.coalesce(value.cast("string"), F.lit("None")))])
+    parts = F.split(template, "(?=\\{[a-z]+\\})|(?<=\\})")  # a part is a placeholder or plain text
+    name = lambda p: F.regexp_extract(p, "^\\{([a-z]+)\\}$", 1)
+    return F.array_join(F.transform(parts, lambda p: F.coalesce(F.get(F.map_values(
+        F.map_filter(known, lambda k, _: k == name(p))), F.lit(0)), p)), "")
 
 
 def pick(templates: list[str], key) -> Column:

@@ -1,6 +1,7 @@
 """Command-line jobs: the pipeline's runs as ``spark-submit`` / ``python -m vitalflow.jobs <job>``.
 
     ingest       CDC change stream -> bronze / quarantine sink (one streaming query)
+    compact      a sink's batch folders -> one folder per route and day
     referential  HR sheet (+ sport sheet) + measured distances -> referential table
     gold         bronze + referential + parameters -> eligibility and KPI tables
     whatif       eligibility -> threshold grid table (dashboard sliders)
@@ -22,11 +23,11 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import notify, quality, referential, whatif
+from .operators import quality, referential, whatif
 from .params import Params, load_params
 from .schemas import modes_table
 from .sources.tables import LAKE_FORMAT, preview, read_distances, read_hr, read_table, write_table
-from .streaming.ingest import await_end, read_routes, start_ingest
+from .streaming.ingest import SINK_KEYS, await_end, compact, read_routes, start_ingest
 from .streaming.notifier import start_notifications
 
 
@@ -47,20 +48,26 @@ def _params(spark: SparkSession, args) -> Params:
 
 def _bronze(spark: SparkSession, path: str) -> DataFrame:
     """The valid route of the ingest sink (drops the sink's bookkeeping columns)."""
-    return read_routes(spark, path, "valid").drop("route", "batch_id", "reasons", "ingested_at")  # keeps ``jour``
+    return read_routes(spark, path, "valid").drop("route", *SINK_KEYS, "reasons", "ingested_at")  # keeps ``jour``
 
 
 def job_ingest(spark, args) -> None:
     q = start_ingest(spark, args.source, args.out, args.checkpoint, params=_params(spark, args), fmt=args.format,
                      topic=args.topic, bootstrap=args.bootstrap, delay=args.watermark,
                      gate_future=not args.no_future_gate, null_policy=args.null_policy,
-                     max_files_per_trigger=args.max_files_per_trigger, available_now=args.available_now)
+                     max_files_per_trigger=args.max_files_per_trigger,
+                     max_offsets_per_trigger=args.max_offsets_per_trigger, available_now=args.available_now)
     await_end(q)
 
 
+def job_compact(spark, args) -> None:
+    compact(spark, args.sink, args.out)
+
+
 def job_referential(spark, args) -> None:
     hr, sport = read_hr(spark, args.hr, args.sport, args.sheet_format)
-    ref = referential.build_referential(spark, hr, read_distances(spark, args.distances), sport=sport,
+    distances = read_distances(spark, args.distances) if args.distances else None
+    ref = referential.build_referential(spark, hr, distances, sport=sport,
                                         modes=modes_table(spark), failed_policy=args.failed_policy)
     write_table(ref, args.out)
     written = read_table(spark, args.out)
@@ -82,8 +89,7 @@ def job_whatif(spark, args) -> None:
     if args.scenarios:
         scen = (spark.read.schema("scenario string, taux_prime double, seuil int, jours int")
                 .option("multiLine", True).json(args.scenarios))
-        max_t = max(args.max_threshold, scen.agg(F.max("seuil")).first()[0] or 0)
-        write_table(whatif.scenario_kpis(elig, scen, max_t), f"{args.out}/scenarios")
+        write_table(whatif.scenario_kpis(elig, scen), f"{args.out}/scenarios")
 
 
 def job_quality(spark, args) -> None:
@@ -96,11 +102,9 @@ def job_quality(spark, args) -> None:
 
 
 def job_notify(spark, args) -> None:
-    directory = None
-    if args.referential:
-        directory = notify.directory(read_table(spark, args.referential))
-    q = start_notifications(spark, args.source, directory, args.checkpoint, out_root=args.out, fmt=args.format,
-                            topic=args.topic, bootstrap=args.bootstrap, available_now=args.available_now)
+    q = start_notifications(spark, args.source, args.referential, args.checkpoint, out_root=args.out, fmt=args.format,
+                            topic=args.topic, bootstrap=args.bootstrap, available_now=args.available_now,
+                            max_offsets_per_trigger=args.max_offsets_per_trigger)
     await_end(q)
 
 
@@ -110,7 +114,7 @@ def job_preview(spark, args) -> None:
     print(f"total rows: {df.agg(F.count(F.lit(1))).first()[0]}")
 
 
-JOBS = {"ingest": job_ingest, "referential": job_referential, "gold": job_gold, "whatif": job_whatif,
+JOBS = {"ingest": job_ingest, "compact": job_compact, "referential": job_referential, "gold": job_gold, "whatif": job_whatif,
         "quality": job_quality, "notify": job_notify, "preview": job_preview}
 
 
@@ -127,6 +131,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--bootstrap")
         p.add_argument("--out", required=True)
         p.add_argument("--checkpoint", required=True)
+        p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound of a micro-batch")
         p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
 
     def param_args(p):
@@ -142,11 +147,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--null-policy", default="quarantine", choices=["quarantine", "drop"])
     p.add_argument("--max-files-per-trigger", type=int)
 
+    p = sub.add_parser("compact")
+    p.add_argument("--sink", required=True, help="ingest sink folder")
+    p.add_argument("--out", required=True, help="folder of the compacted copy")
+
     p = sub.add_parser("referential")
     p.add_argument("--hr", required=True)
     p.add_argument("--sport")
     p.add_argument("--sheet-format", choices=["csv", "parquet"], help="default: by extension, else csv")
-    p.add_argument("--distances", required=True, help="measured distances table (parquet)")
+    p.add_argument("--distances", help="measured distances table (parquet); without it active modes are pending")
     p.add_argument("--failed-policy", default="pending", choices=["pending", "accept"])
     p.add_argument("--out", required=True)
 

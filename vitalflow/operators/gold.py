@@ -11,7 +11,7 @@ from ..params import Params
 from .referential import standardise_hr
 from .routing import time_type
 
-NOMINATIVE = ["salaire_brut", "nom", "prenom", "adresse", "montant_prime"]
+NOMINATIVE = ["id_salarie", "salaire_brut", "nom", "prenom", "adresse", "moyen_declare", "distance_km", "montant_prime"]
 
 
 def lookback(df: DataFrame, params: Params) -> DataFrame:
@@ -105,5 +105,6 @@ def kpis_total(elig: DataFrame, money_scale: int | None = 4) -> DataFrame:
 
 
 def shareable(df: DataFrame) -> DataFrame:
-    """Drop every nominative column (salary, names, address, individual amount)."""
+    """Drop every column that names or singles out an employee (id, salary, names, address, commute,
+    individual amount); what leaves the company are the KPI tables."""
     return df.drop(*[c for c in NOMINATIVE if c in df.columns])

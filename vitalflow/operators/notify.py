@@ -18,7 +18,6 @@ from ..functions.rules import cap_for
 from ..functions.text import fill_template, full_name, km_text, pick, whole_km_text, with_comment
 from ..functions.time import clock, duration_min
 from ..schemas import DEFAULT_CAP_M
-from .joins import bounded_left_join
 from .routing import time_type
 
 # --- Fixed values: message texts ----------------------------------------------
@@ -54,23 +53,19 @@ def directory(hr: DataFrame) -> DataFrame:
     return hr.groupBy("id_salarie").agg(F.max(full_name("prenom", "nom")).alias("nom_complet"))
 
 
-def with_name(events: DataFrame, dir_df: DataFrame | None, broadcast_max_rows: int | None = None,
-              salt_buckets: int = 32) -> DataFrame:
+def with_name(events: DataFrame, dir_df: DataFrame | None) -> DataFrame:
     """Add ``nom_affiche``; unknown id (or no directory at all) -> ``Salarié #<id>``.
 
-    Batch (default): the directory grows with the staff, so no broadcast is
-    forced; AQE broadcasts it only under the size threshold and splits skewed
-    partitions otherwise. Streaming (no AQE): pass ``broadcast_max_rows`` to
-    broadcast the directory after a size check, or salt the join beyond it.
+    The directory grows with the staff, so no broadcast is forced: the adaptive planner
+    broadcasts it only under the size threshold. Pass a directory with unique ids that is read
+    from a table (``sources.tables.stored``): both join inputs are then plain exchanges, whose
+    skewed partitions are split. An aggregate right under the join would prevent that.
     """
     fallback = F.concat(F.lit(UNKNOWN_EMPLOYEE), F.coalesce(F.col("id_salarie").cast("string"), F.lit("None")))
     if dir_df is None:
         return events.withColumn("nom_affiche", fallback)
     d = dir_df.select(F.col("id_salarie").alias("_dir_id"), "nom_complet")
-    if broadcast_max_rows is None:
-        j = events.join(d, events["id_salarie"] == d["_dir_id"], "left")
-    else:
-        j = bounded_left_join(events, d, "id_salarie", "_dir_id", broadcast_max_rows, salt_buckets)
+    j = events.join(d, events["id_salarie"] == d["_dir_id"], "left")
     keep = [c for c in events.columns]
     return j.select(*keep, F.coalesce(F.col("nom_complet"), fallback).alias("nom_affiche"))
 
@@ -116,10 +111,9 @@ def with_anomalies(events: DataFrame, as_of: dt.datetime | None = None, toleranc
 
 
 def messages(events: DataFrame, dir_df: DataFrame | None, as_of: dt.datetime | None = None,
-             tolerance_s: int = 300, caps: dict[str, int] | None = None,
-             broadcast_max_rows: int | None = None) -> DataFrame:
+             tolerance_s: int = 300, caps: dict[str, int] | None = None) -> DataFrame:
     """One output per event: (id, id_salarie, type_message, texte)."""
-    e = with_name(with_anomalies(events, as_of, tolerance_s, caps), dir_df, broadcast_max_rows)
+    e = with_name(with_anomalies(events, as_of, tolerance_s, caps), dir_df)
     is_alert = F.size("anomalies") > 0
     return e.select(
         "id", "id_salarie",

@@ -79,9 +79,7 @@ def gold_predicates(params: Params) -> dict[str, Column]:
 def count_violations(df: DataFrame, predicates: dict[str, Column]) -> DataFrame:
     """One pass over ``df``: (check, violations) per predicate."""
     names = list(predicates)
-    counts = df.agg(*[F.count_if(p).alias(n) for n, p in predicates.items()])
-    pairs = [x for n in names for x in (F.lit(n), F.col(n).cast("long"))]
-    return counts.select(F.stack(F.lit(len(names)), *pairs).alias("check", "violations"))
+    return _unpivot(df.agg(*[F.count_if(p).alias(n) for n, p in predicates.items()]), names)
 
 
 # NULL ids must match each other (pandas ``isin`` matches NaN with NaN). A NULL-safe
@@ -112,13 +110,17 @@ def orphan_count(bronze: DataFrame, hr: DataFrame) -> DataFrame:
 
 
 def orphans(bronze: DataFrame, hr: DataFrame) -> DataFrame:
-    """The orphan activity rows themselves (left anti join, NULL-safe)."""
-    return bronze.select("*", id_key()).join(_hr_ids(hr), "_k", "left_anti").drop("_k")
+    """The orphan activity rows themselves (left anti join, NULL-safe).
+
+    Both sides are plain exchanges (no ``distinct``, which an anti join does not need), so the
+    partition of a very active employee is split.
+    """
+    return bronze.select("*", id_key()).join(hr.select(id_key()), "_k", "left_anti").drop("_k")
 
 
 def known(bronze: DataFrame, hr: DataFrame) -> DataFrame:
     """Activities whose employee is in HR (left semi join, NULL-safe)."""
-    return bronze.select("*", id_key()).join(_hr_ids(hr), "_k", "left_semi").drop("_k")
+    return bronze.select("*", id_key()).join(hr.select(id_key()), "_k", "left_semi").drop("_k")
 
 
 def finish(counts: DataFrame, params: Params) -> DataFrame:

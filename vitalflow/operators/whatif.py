@@ -49,18 +49,41 @@ def scenarios_table(spark: SparkSession, scenarios: list[tuple[str, float, int,
     return spark.createDataFrame(scenarios, "scenario string, taux_prime double, seuil int, jours int")
 
 
-def scenario_kpis(elig: DataFrame, scenarios: DataFrame, max_t: int, money_scale: int | None = 4) -> DataFrame:
-    """KPIs per (scenario, bu) without recomputing eligibility.
+MOST_SCENARIOS = 10_000   # rows of a scenario list, which is broadcast
+MOST_THRESHOLDS = 1_000   # distinct thresholds in one list
 
-    ``max_t`` must be >= every scenario threshold (the caller knows the list).
-    The scenario list is a parameter of a few rows, so it is broadcast; the
-    join is an equi-join on the threshold, not a cross join.
+
+def scenario_kpis(elig: DataFrame, scenarios: DataFrame, money_scale: int | None = 4) -> DataFrame:
+    """KPIs per (scenario, bu) without recomputing eligibility, at exactly the thresholds listed.
+
+    An employee is wellness-eligible at a threshold if their count is at least as large; a NULL
+    threshold is an error. Employees are grouped per BU by how many of the listed thresholds they
+    reach, so a BU has at most one row more than there are thresholds, whatever their values. The
+    list is a parameter of a few rows; its size is checked before it is broadcast.
     """
-    grid = threshold_grid(elig, max_t=max_t, days=0)
-    s = scenarios.select("scenario", "taux_prime", "jours",
-                         F.least(F.greatest(F.col("seuil"), F.lit(0)), F.lit(max_t)).alias("_t"))
-    j = grid.join(F.broadcast(s), grid["seuil"] == s["_t"])
-    cost = F.coalesce(F.col("masse_salariale_prime") * F.col("taux_prime"), F.lit(0.0))
+    rows = scenarios.select("seuil").limit(MOST_SCENARIOS + 1).collect()
+    if len(rows) > MOST_SCENARIOS:
+        raise ValueError(f"more than {MOST_SCENARIOS} scenarios")
+    if any(r["seuil"] is None for r in rows):
+        raise ValueError("a scenario has no threshold (seuil)")
+    listed = sorted({r["seuil"] for r in rows})
+    if len(listed) > MOST_THRESHOLDS:
+        raise ValueError(f"more than {MOST_THRESHOLDS} thresholds")
+    thresholds = F.array(*[F.lit(t) for t in listed]).cast("array<int>")
+    reached = F.size(F.filter(thresholds, lambda t: t <= F.col("nb_activites_12mois")))
+    by_reach = (elig.groupBy("bu", reached.alias("reached"))
+                .agg(F.count(F.lit(1)).alias("k"),
+                     F.count_if(F.coalesce(F.col("eligible_prime"), F.lit(False))).alias("k_prime"),
+                     F.sum(F.when(F.col("eligible_prime"), F.col("salaire_brut"))).alias("masse_prime")))
+    grid = (by_reach.select("*", F.posexplode(thresholds).alias("at", "t"))
+            .groupBy("bu", "t")
+            .agg(F.sum("k").cast("long").alias("nb_salaries"),
+                 F.sum(F.when(F.col("reached") > F.col("at"), F.col("k")).otherwise(F.lit(0))).cast("long")
+                 .alias("nb_eligibles_bien_etre"),
+                 F.sum("k_prime").cast("long").alias("nb_eligibles_prime"),
+                 F.sum("masse_prime").alias("masse")))
+    j = grid.join(F.broadcast(scenarios.select("scenario", "taux_prime", "jours", "seuil")), F.col("t") == F.col("seuil"))
+    cost = F.coalesce(F.col("masse") * F.col("taux_prime"), F.lit(0.0))
     if money_scale is not None:
         cost = F.round(cost, money_scale)
     return j.select(

@@ -9,6 +9,7 @@ DuckDB oracle of :mod:`vitalflow.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +20,15 @@ from ..operators import cdc, dedup, gold, lookups, notify, quality, referential,
 from ..params import TEST_PARAMS
 from ..schemas import KNOWN_SPORTS, caps_table, modes_table
 from ..sources import fixtures
-from ..sources.cdc import decode_envelope
-from ..sources.tables import preview, read_table
+from ..session import scratch_path
+from ..sources.cdc import decode_envelope, read_cdc_stream
+from ..sources.tables import preview, read_hr, read_table
 from .medallion import Flow
 
 P = TEST_PARAMS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WHATIF_SCENARIOS = [("base", 0.05, 15, 5), ("seuil_10", 0.05, 10, 5), ("genereux", 0.06, 8, 7),
-                    ("strict", 0.04, 25, 3)]
+                    ("strict", 0.04, 25, 3), ("hors_grille", 0.05, 100, 5), ("tous", 0.05, -1, 5)]
 
 
 def register(name: str):
@@ -48,8 +50,14 @@ def _motifs(col="reasons"):
 
 @register("src_cdc_stream")
 def q_src_cdc_stream(spark, sf):
-    """The change stream's content (JSON envelopes), read as a batch table."""
-    return _flow(spark, sf).fx.cdc()
+    """The change stream's content: JSON lines landed in a folder and read back by the source.
+
+    A line cannot tell a tombstone (no value), so those are not in it.
+    """
+    from .medallion import land
+    path = scratch_path(spark, f"src-cdc-{uuid.uuid4().hex}")
+    land(_flow(spark, sf).fx.cdc(), path)
+    return read_cdc_stream(spark, path, stream=False)
 
 
 @register("cdc_decode")
@@ -65,7 +73,11 @@ def q_scan_bronze(spark, sf):
 
 @register("src_hr")
 def q_src_hr(spark, sf):
-    return _flow(spark, sf).fx.hr()
+    """The HR sheet as CSV with its columns in another order and one more, read by header name."""
+    path = scratch_path(spark, f"src-hr-{uuid.uuid4().hex}")
+    sheet = _flow(spark, sf).fx.hr_sheet()
+    sheet.select(F.lit("x").alias("Remarque"), *reversed(sheet.columns)).write.option("header", True).csv(path)
+    return read_hr(spark, path)[0]
 
 
 @register("preview_bronze")
@@ -81,7 +93,7 @@ def q_row_count(spark, sf):
 @register("quality_report")
 def q_quality_report(spark, sf):
     f = _flow(spark, sf)
-    return quality.report_lines(quality.run_checks(f.bronze, f.referential, f.eligibility, P), P)
+    return quality.report_lines(quality.run_checks(f.stored_bronze, f.stored_referential, f.stored_eligibility, P), P)
 
 
 # --- B. projections, filters, predicates ---------------------------------------
@@ -194,7 +206,7 @@ def q_known_activities(spark, sf):
 @register("stream_directory_join")
 def q_stream_directory_join(spark, sf):
     f = _flow(spark, sf)
-    return notify.with_name(f.landing, notify.directory(f.hr)).select("id", "id_salarie", "nom_affiche")
+    return notify.with_name(f.landing, f.directory).select("id", "id_salarie", "nom_affiche")
 
 
 @register("cap_lookup_join")
@@ -250,13 +262,13 @@ def q_anomaly_count(spark, sf):
 @register("violation_counts")
 def q_violation_counts(spark, sf):
     f = _flow(spark, sf)
-    return quality.run_checks(f.bronze, f.referential, f.eligibility, P)
+    return quality.run_checks(f.stored_bronze, f.stored_referential, f.stored_eligibility, P)
 
 
 @register("checks_summary")
 def q_checks_summary(spark, sf):
     f = _flow(spark, sf)
-    return quality.summary(quality.run_checks(f.bronze, f.referential, f.eligibility, P))
+    return quality.summary(quality.run_checks(f.stored_bronze, f.stored_referential, f.stored_eligibility, P))
 
 
 @register("whatif_threshold")
@@ -268,8 +280,7 @@ def q_whatif_threshold(spark, sf):
 @register("whatif_params")
 def q_whatif_params(spark, sf):
     s = whatif.scenarios_table(spark, WHATIF_SCENARIOS)
-    max_t = max(30, *[t for _, _, t, _ in WHATIF_SCENARIOS])
-    return whatif.scenario_kpis(_flow(spark, sf).eligibility, s, max_t)
+    return whatif.scenario_kpis(_flow(spark, sf).eligibility, s)
 
 
 @register("quarantine_stats")
@@ -356,7 +367,7 @@ def q_fn_concat_name(spark, sf):
 @register("fn_template")
 def q_fn_template(spark, sf):
     f = _flow(spark, sf)
-    e = notify.with_name(f.landing, notify.directory(f.hr))
+    e = notify.with_name(f.landing, f.directory)
     return e.select("id", notify.praise_text().alias("texte"))
 
 
@@ -397,9 +408,13 @@ def q_fn_truthy(spark, sf):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf):
-    """Keys surviving streaming dedup (which twin survives is arrival order: keys only)."""
-    from ..streaming.ingest import dedup_stream
-    return dedup_stream(_flow(spark, sf).landing, watermark=None).select(*dedup.DEDUP_KEYS)
+    """Keys that survive the streaming dedup (an availableNow run) and how many rows have them.
+
+    A dated key is there once. Undated and far-future rows have no event time: those that differ
+    in more than the id stay.
+    """
+    keys = _stream_rows(_ingested(spark, sf)).select(*dedup.DEDUP_KEYS)
+    return keys.groupBy(*dedup.DEDUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _ingested(spark, sf) -> DataFrame:
@@ -408,18 +423,20 @@ def _ingested(spark, sf) -> DataFrame:
     return run_stream_ingest_once(spark, _flow(spark, sf).fx.cdc(), P)
 
 
-def _stream_keys(df):
-    return df.select("id_salarie", ftime.utc_wall(F.col("date_debut")).alias("date_debut"), "sport_type", "route")
+def _stream_rows(df):
+    """Every column but the id (of twins, which differ by it alone, either may arrive first) and the clock."""
+    return df.select("id_salarie", ftime.utc_wall(F.col("date_debut")).alias("date_debut"), "sport_type", "distance_m",
+                     ftime.utc_wall(F.col("date_fin")).alias("date_fin"), "commentaire", "reasons", "route")
 
 
 @register("stream_route")
 def q_stream_route(spark, sf):
     """The real streaming ingest (one availableNow run) over the change events derived from the tables.
 
-    Which twin of a repeated key survives is arrival order, so the result is the
-    surviving keys with their route (the route of twins is the same).
+    Which twin of a repeated key survives is arrival order; twins differ by their ids alone,
+    so every other column is in the result.
     """
-    return _stream_keys(_ingested(spark, sf))
+    return _stream_rows(_ingested(spark, sf))
 
 
 LATE_CUT = "2024-01-15 00:00:00"
@@ -438,9 +455,14 @@ def _restart_runs(spark, sf):
 
 @register("stream_checkpoint")
 def q_stream_checkpoint(spark, sf):
-    """Sink keys after restart + replay + late rows: the replay adds nothing, the older rows are late."""
+    """Sink rows after restart + replay + late rows, with the number of copies.
+
+    The replay adds no dated row and the older rows are late. Undated and far-future rows are not
+    kept in the state, so the replay brings them once more.
+    """
     sink, _ = _restart_runs(spark, sf)
-    return _stream_keys(sink)
+    rows = _stream_rows(sink)
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("stream_late_drop")
@@ -454,11 +476,17 @@ def q_stream_late_drop(spark, sf):
 
 @register("stream_watermark")
 def q_stream_watermark(spark, sf):
-    """Event time used by the watermark: the start time, NULL when later than now + tolerance."""
-    from ..streaming.ingest import EVENT_TIME, with_watermark
-    land = _flow(spark, sf).landing
-    w = with_watermark(land, "2 hours", gate_future_s=P.future_tolerance_s)
-    return w.select("id", ftime.utc_wall(F.col(EVENT_TIME)).alias("temps_evenement"))
+    """Event time of each change in a running stream: the start time, NULL when later than now + tolerance."""
+    from ..streaming.ingest import EVENT_TIME, await_end, with_watermark
+    from .medallion import land
+    root = scratch_path(spark, f"stream-watermark-{uuid.uuid4().hex}")
+    land(_flow(spark, sf).fx.cdc(), f"{root}/landing")
+    rows = cdc.decode_changes(read_cdc_stream(spark, f"{root}/landing"))
+    timed = with_watermark(rows, "2 hours", gate_future_s=P.future_tolerance_s).select("id", EVENT_TIME)
+    await_end(timed.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+              .trigger(availableNow=True).start(f"{root}/out"))
+    out = spark.read.schema(timed.schema).parquet(f"{root}/out")
+    return out.select("id", ftime.utc_wall(F.col(EVENT_TIME)).alias("temps_evenement"))
 
 
 @register("fn_now")
@@ -479,14 +507,14 @@ def q_stream_await(spark, sf):
 
 @register("sink_bronze_stream")
 def q_sink_bronze_stream(spark, sf):
-    """Valid rows of the streaming ingest sink (keys)."""
-    return _stream_keys(_ingested(spark, sf).filter(F.col("route") == "valid"))
+    """Valid rows of the streaming ingest sink."""
+    return _stream_rows(_ingested(spark, sf).filter(F.col("route") == "valid"))
 
 
 @register("sink_quarantine_stream")
 def q_sink_quarantine_stream(spark, sf):
-    """Quarantined rows of the streaming ingest sink (keys)."""
-    return _stream_keys(_ingested(spark, sf).filter(F.col("route") == "quarantine"))
+    """Quarantined rows of the streaming ingest sink."""
+    return _stream_rows(_ingested(spark, sf).filter(F.col("route") == "quarantine"))
 
 
 @register("sink_notify")
@@ -495,7 +523,7 @@ def q_sink_notify(spark, sf):
     from .medallion import run_stream_notifier_once
     f = _flow(spark, sf)
     out = run_stream_notifier_once(spark, f.fx.cdc(), notify.directory(f.hr), P.future_tolerance_s)
-    return out.drop("batch_id")
+    return out.drop("query", "batch_id")
 
 
 @register("sink_overwrite")
@@ -521,14 +549,14 @@ def q_stream_anomalies(spark, sf):
 @register("stream_messages")
 def q_stream_messages(spark, sf):
     f = _flow(spark, sf)
-    m = notify.messages(f.landing, notify.directory(f.hr), P.as_of, P.future_tolerance_s)
+    m = notify.messages(f.landing, f.directory, P.as_of, P.future_tolerance_s)
     return m.filter(F.col("type_message") == notify.KIND_MESSAGE)
 
 
 @register("stream_alerts")
 def q_stream_alerts(spark, sf):
     f = _flow(spark, sf)
-    m = notify.messages(f.landing, notify.directory(f.hr), P.as_of, P.future_tolerance_s)
+    m = notify.messages(f.landing, f.directory, P.as_of, P.future_tolerance_s)
     return m.filter(F.col("type_message") == notify.KIND_ALERT)
 
 

@@ -13,11 +13,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedup, gold, quality, referential, routing
+from ..operators import dedup, gold, notify, quality, referential, routing
 from ..params import TEST_PARAMS, Params
 from ..schemas import modes_table
 from ..sources.fixtures import Fixtures
-from ..sources.tables import read_table, write_table
+from ..sources.tables import read_table, stored, write_table
 
 
 class Flow:
@@ -63,6 +63,25 @@ class Flow:
     def eligibility(self) -> DataFrame:
         return gold.eligibility(self.bronze, self.referential, self.params)
 
+    # layers as written tables: used twice without computing them twice
+
+    @cached_property
+    def stored_bronze(self) -> DataFrame:
+        return stored(self.bronze, "bronze")
+
+    @cached_property
+    def stored_referential(self) -> DataFrame:
+        return stored(self.referential, "referential")
+
+    @cached_property
+    def stored_eligibility(self) -> DataFrame:
+        return stored(gold.eligibility(self.stored_bronze, self.stored_referential, self.params), "eligibility")
+
+    @cached_property
+    def directory(self) -> DataFrame:
+        """One row per employee, as a table (see ``notify.with_name``)."""
+        return stored(notify.directory(self.hr), "directory")
+
     @cached_property
     def kpis(self) -> DataFrame:
         return gold.kpis(self.eligibility, self.params)
@@ -98,17 +117,23 @@ def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Pa
     import uuid
 
     from ..session import scratch_path
-    from ..streaming.ingest import await_end, read_routes, start_ingest
+    from ..streaming.ingest import Totals, await_end, read_routes, start_ingest
     root = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
-    envelopes.filter(F.col("value").isNotNull()).write.mode("overwrite").text(f"{root}/landing")
-    q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
-                     params=params, null_policy=null_policy, available_now=True)
-    await_end(q)
-    if progress is not None:
-        progress.append({"active": q.isActive, "input_rows": sum(p["numInputRows"] for p in q.recentProgress)})
+    land(envelopes, f"{root}/landing")
+    with Totals(spark) as totals:
+        q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
+                         params=params, null_policy=null_policy, available_now=True)
+        await_end(q)
+        if progress is not None:
+            progress.append({"active": q.isActive, **totals.of(q)})
     return read_routes(spark, f"{root}/routed")
 
 
+def land(envelopes: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Change events as JSON lines (a tombstone has no line)."""
+    envelopes.filter(F.col("value").isNotNull()).write.mode(mode).text(path)
+
+
 def run_stream_restarts(spark: SparkSession, phases: list[DataFrame], params: Params,
                         null_policy: str = "quarantine") -> tuple[DataFrame, list[dict]]:
     """Run the streaming ingest once per phase on ONE checkpoint (a restart between phases).
@@ -120,16 +145,16 @@ def run_stream_restarts(spark: SparkSession, phases: list[DataFrame], params: Pa
     import uuid
 
     from ..session import scratch_path
-    from ..streaming.ingest import await_end, late_rows, read_routes, start_ingest
+    from ..streaming.ingest import Totals, await_end, read_routes, start_ingest
     root = scratch_path(spark, f"stream-restarts-{uuid.uuid4().hex}")
     stats = []
     for envelopes in phases:
-        envelopes.filter(F.col("value").isNotNull()).write.mode("append").text(f"{root}/landing")
-        q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
-                         params=params, null_policy=null_policy, available_now=True)
-        await_end(q)
-        marks = [p["eventTime"].get("watermark") for p in q.recentProgress if p.get("eventTime")]
-        stats.append({"watermark": marks[-1] if marks else None, "late": late_rows(q)})
+        land(envelopes, f"{root}/landing", mode="append")
+        with Totals(spark) as totals:
+            q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
+                             params=params, null_policy=null_policy, available_now=True)
+            await_end(q)
+            stats.append(totals.of(q))
     return read_routes(spark, f"{root}/routed"), stats
 
 
@@ -140,13 +165,13 @@ def run_stream_notifier_once(spark: SparkSession, envelopes: DataFrame, director
 
     from ..session import scratch_path
     from ..streaming.ingest import await_end
-    from ..streaming.notifier import start_notifications
+    from ..streaming.notifier import read_messages, start_notifications
     root = scratch_path(spark, f"stream-notify-{uuid.uuid4().hex}")
-    envelopes.filter(F.col("value").isNotNull()).write.mode("overwrite").text(f"{root}/landing")
+    land(envelopes, f"{root}/landing")
     q = start_notifications(spark, f"{root}/landing", directory, f"{root}/checkpoint",
                             out_root=f"{root}/messages", available_now=True, tolerance_s=tolerance_s)
     await_end(q)
-    return read_table(spark, f"{root}/messages")
+    return read_messages(spark, f"{root}/messages")
 
 
 def run_gold(spark: SparkSession, bronze: DataFrame, ref: DataFrame, params: Params, out_dir: str) -> DataFrame:

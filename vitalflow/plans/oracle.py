@@ -69,18 +69,27 @@ fx_dirty AS (
   SELECT id + 1000000000, id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire
   FROM fx_faulty WHERE id % 89 = 0),
 fx_hr AS (
-  SELECT CAST(c_custkey AS INTEGER) AS id_salarie, CAST(NULL AS VARCHAR) AS prenom, c_name AS nom,
+  SELECT CAST(c_custkey AS INTEGER) AS id_salarie, CASE WHEN c_custkey % 3 <> 0 THEN 'Ada' END AS prenom, c_name AS nom,
     c_mktsegment AS bu, c_acctbal AS salaire_brut, {MODE_CASE} AS moyen_declare,
     'Nation ' || CAST(c_nationkey AS VARCHAR) AS adresse
   FROM customer),
-fx_distance AS (
+fx_distance_now AS (
   SELECT id_salarie, CASE moyen_declare WHEN 'Marche/running' THEN 'walking' ELSE 'bicycling' END AS profile,
     CAST((CAST(id_salarie AS BIGINT) * 37) % 400 * 100 AS INTEGER) AS metres,
-    CASE WHEN id_salarie % 13 = 0 THEN 'NOT_FOUND' ELSE 'OK' END AS status
+    CASE WHEN id_salarie % 13 = 0 THEN 'NOT_FOUND' ELSE 'OK' END AS status, TIMESTAMP '2023-06-01 00:00:00' AS measured_at
   FROM fx_hr WHERE moyen_declare IN ('Marche/running', 'Vélo/Trottinette/Autres') AND id_salarie % 11 <> 0),
+fx_distance_all AS (
+  SELECT * FROM fx_distance_now
+  UNION ALL
+  SELECT id_salarie, profile, metres + 100000, 'OK', TIMESTAMP '2022-06-01 00:00:00' FROM fx_distance_now WHERE id_salarie % 7 = 0),
+fx_distance AS (
+  SELECT id_salarie, profile, metres, status FROM (
+    SELECT *, row_number() OVER (PARTITION BY id_salarie, profile ORDER BY measured_at DESC) AS rn FROM fx_distance_all)
+  WHERE rn = 1),
 fx_sport AS (
-  SELECT DISTINCT CAST(o_custkey AS INTEGER) AS id_salarie, 'Tennis' AS pratique
-  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'),
+  SELECT DISTINCT CAST(o_custkey AS INTEGER) AS id_salarie,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'Tennis' ELSE 'Judo' END AS pratique
+  FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F'),
 fx_modes(moyen_declare, seuil_km, profile) AS (VALUES {MODES_VALUES}),
 fx_dedup AS (
   SELECT id, id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire FROM (
@@ -95,7 +104,7 @@ fx_quarantine AS (
   FROM fx_routed WHERE regle IS NOT TRUE),
 fx_hr_sport AS (
   SELECT h.*, s.pratique FROM fx_hr h
-  LEFT JOIN (SELECT id_salarie, max(pratique) AS pratique FROM fx_sport GROUP BY id_salarie) s
+  LEFT JOIN (SELECT id_salarie, string_agg(pratique, ', ' ORDER BY pratique) AS pratique FROM fx_sport GROUP BY id_salarie) s
   ON h.id_salarie = s.id_salarie),
 fx_ref AS (
   SELECT h.id_salarie, h.prenom, h.nom, h.bu, h.salaire_brut, h.moyen_declare, h.adresse, h.pratique,
@@ -140,9 +149,9 @@ def with_base(sql: str) -> str:
 
 # --- pieces reused by several keys ------------------------------------------------
 
-def _cdc_decoded() -> str:
+def _cdc_decoded(more: str = "") -> str:
     """Expected decode of the planted change stream, straight from fx_dirty."""
-    return """
+    return f"""
   SELECT
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE id END AS id,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE id_salarie END AS id_salarie,
@@ -153,7 +162,7 @@ def _cdc_decoded() -> str:
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE commentaire END AS commentaire,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 THEN NULL WHEN id % 97 = 0 THEN 'd' WHEN id % 71 = 0 THEN 'c'
          WHEN id % 61 = 0 THEN 'u' WHEN id % 67 = 0 THEN 'r' ELSE 'c' END AS op,
-    CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN FALSE ELSE TRUE END AS after_present
+    CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN FALSE ELSE TRUE END AS after_present{more}
   FROM fx_dirty"""
 
 
@@ -312,14 +321,13 @@ wg AS (
 
 
 def _scenario_sql() -> str:
-    max_t = max(30, *[t for _, _, t, _ in WHATIF_SCENARIOS])
     vals = ", ".join(f"({q(n)}, CAST({r!r} AS DOUBLE), {t}, {d})" for n, r, t, d in WHATIF_SCENARIOS)
-    return f""", {_grid(max_t, 0).strip()},
-sc(scenario, taux_prime, seuil, jours) AS (VALUES {vals})
-SELECT sc.scenario, wg.bu, wg.nb_salaries, wg.nb_eligibles_prime,
-  round(COALESCE(wg.masse_salariale_prime * sc.taux_prime, 0.0), 4) AS cout_total_prime,
-  wg.nb_eligibles_bien_etre, CAST(wg.nb_eligibles_bien_etre * sc.jours AS BIGINT) AS total_jours_bien_etre
-FROM wg JOIN sc ON wg.seuil = least(greatest(sc.seuil, 0), {max_t})"""
+    return f""", sc(scenario, taux_prime, seuil, jours) AS (VALUES {vals})
+SELECT sc.scenario, e.bu, count(*) AS nb_salaries, count(*) FILTER (WHERE e.eligible_prime) AS nb_eligibles_prime,
+  round(COALESCE(sum(CASE WHEN e.eligible_prime THEN e.salaire_brut END) * any_value(sc.taux_prime), 0.0), 4) AS cout_total_prime,
+  count(*) FILTER (WHERE e.nb_activites_12mois >= sc.seuil) AS nb_eligibles_bien_etre,
+  CAST(count(*) FILTER (WHERE e.nb_activites_12mois >= sc.seuil) * any_value(sc.jours) AS BIGINT) AS total_jours_bien_etre
+FROM fx_elig e, sc GROUP BY sc.scenario, e.bu"""
 
 
 def _report() -> str:
@@ -339,8 +347,7 @@ def build() -> dict[str, str]:
     dec = f"SELECT {DEC_COLS}, op FROM ({_cdc_decoded()})"
     S["cdc_decode"] = dec
     S["src_cdc_stream"] = """
-SELECT CASE WHEN id % 79 = 0 THEN NULL
-            WHEN id % 83 = 0 THEN '{not json'
+SELECT CASE WHEN id % 83 = 0 THEN '{not json'
             WHEN id % 97 <> 0 AND id % 71 = 0 THEN '{"payload":{"after":null,"op":"c"}}'
             ELSE CAST(to_json({'payload': {'before': CASE WHEN op = 'd' THEN img END,
                                            'after': CASE WHEN op <> 'd' THEN img END,
@@ -349,7 +356,7 @@ FROM (SELECT id,
         {'id': id, 'id_salarie': id_salarie, 'date_debut': epoch_us(date_debut), 'sport_type': sport_type,
          'distance_m': distance_m, 'date_fin': epoch_us(date_fin), 'commentaire': commentaire} AS img,
         CASE WHEN id % 97 = 0 THEN 'd' WHEN id % 61 = 0 THEN 'u' WHEN id % 67 = 0 THEN 'r' ELSE 'c' END AS op
-      FROM fx_dirty)"""
+      FROM fx_dirty WHERE id % 79 <> 0)"""
     S["cdc_drop_deletes"] = f"{dec} WHERE op <> 'd'"
     S["cdc_guard_empty"] = (f"SELECT {DEC_COLS}, op FROM ({_cdc_decoded()}) "
                             "WHERE after_present AND COALESCE(op <> 'd', TRUE)")
@@ -376,10 +383,12 @@ FROM (SELECT id,
     S["bonus_amount"] = "SELECT id_salarie, salaire_brut, eligible_prime, montant_prime FROM fx_elig"
     S["wellness_flag_days"] = "SELECT id_salarie, nb_activites_12mois, eligible_bien_etre, jours_bien_etre FROM fx_elig"
     S["computed_at"] = "SELECT id_salarie, calcule_le FROM fx_elig"
-    S["privacy_projection"] = "SELECT * EXCLUDE (salaire_brut, montant_prime) FROM fx_elig"
+    S["privacy_projection"] = ("SELECT bu, distance_anormale, nb_activites_12mois, mode_actif_declare, distance_a_valider, "
+                               "eligible_prime, eligible_bien_etre, jours_bien_etre, calcule_le FROM fx_elig")
     S["join_eligibility"] = ("SELECT id_salarie, bu, salaire_brut, moyen_declare, distance_km, distance_anormale, "
                              "nb_activites_12mois FROM fx_joined")
-    S["join_hr_sport"] = "SELECT id_salarie, nom, pratique FROM fx_hr_sport"
+    S["join_hr_sport"] = ("SELECT h.id_salarie, h.nom, s.pratique FROM fx_hr h "
+                          "LEFT JOIN fx_sport s ON h.id_salarie = s.id_salarie")
     S["declared_practice_flag"] = ("SELECT h.id_salarie, s.p IS NOT NULL AS pratique_declaree FROM fx_hr h "
                                    "LEFT JOIN (SELECT id_salarie, max(pratique) AS p FROM fx_sport GROUP BY 1) s "
                                    "ON h.id_salarie = s.id_salarie")
@@ -455,20 +464,28 @@ FROM fx_elig"""
     S["fn_three_state_anomaly"] = "SELECT id_salarie, moyen_declare, distance_km, distance_anormale FROM fx_ref"
     S["fn_truthy"] = ("SELECT id, COALESCE(sport_type, '') = '' AS sport_vide, COALESCE(distance_m, 0) = 0 AS distance_vide, "
                       "COALESCE(commentaire, '') = '' AS commentaire_vide FROM fx_dirty")
-    S["stream_dedup"] = "SELECT DISTINCT id_salarie, date_debut, sport_type FROM fx_dirty"
-    stream_keys = (
-        "SELECT DISTINCT id_salarie, date_debut, sport_type, "
+    # what the sink holds: twins differ by their ids alone
+    stream_rows = (
+        f"SELECT DISTINCT id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire, {REASONS} AS reasons, "
         f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ("
-        "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m "
-        f"FROM ({_cdc_decoded()}) WHERE op <> 'd')")
-    S["stream_route"] = stream_keys
+        "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m, "
+        f"make_timestamp(date_fin) AS date_fin, commentaire FROM ({_cdc_decoded()}) WHERE op <> 'd')")
+    S["stream_route"] = stream_rows
+    S["stream_dedup"] = f"SELECT id_salarie, date_debut, sport_type, count(*) AS n FROM ({stream_rows}) GROUP BY ALL"
     normal = "id % 79 <> 0 AND id % 83 <> 0 AND id % 97 <> 0 AND id % 71 <> 0"
     cut = "TIMESTAMP '2024-01-15 00:00:00'"
-    S["stream_checkpoint"] = (
-        "SELECT DISTINCT id_salarie, date_debut, sport_type, "
-        f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ("
-        "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m "
-        f"FROM ({_cdc_decoded()}) WHERE op <> 'd') WHERE date_debut IS NULL OR date_debut >= {cut}")
+    # a row without event time comes once for each of the three runs that reads it; the second run
+    # replays the first one's rows, the third reads the older ones, whose dated rows are late
+    cols = "id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire, reasons, route"
+    undated = "date_debut IS NULL OR date_debut > now()::TIMESTAMP"
+    S["stream_checkpoint"] = f"""
+, runs AS (SELECT id_salarie, make_timestamp(c.date_debut) AS date_debut, sport_type, distance_m,
+             make_timestamp(date_fin) AS date_fin, commentaire, unnest(c.runs) AS run
+           FROM (SELECT *, CASE WHEN sent < {cut} THEN [3] ELSE [1, 2] END AS runs FROM ({_cdc_decoded(", date_debut AS sent")})
+                 WHERE op <> 'd') c),
+told AS (SELECT DISTINCT *, {REASONS} AS reasons, CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM runs)
+SELECT {cols}, CASE WHEN {undated} THEN count(*) ELSE 1 END AS n FROM told
+WHERE date_debut IS NULL OR date_debut >= {cut} GROUP BY {cols}"""
     S["stream_late_drop"] = (
         # the streaming watermark is kept in milliseconds: max event time truncated to ms, minus the delay
         "SELECT (SELECT date_trunc('millisecond', max(date_debut)) - INTERVAL 2 HOUR FROM fx_dirty "
@@ -476,10 +493,11 @@ FROM fx_elig"""
         f"(SELECT count(*) FROM fx_dirty WHERE {normal} AND date_debut < {cut}) AS n_tardives_ignorees")
     S["stream_await"] = "SELECT TRUE AS termine, count(*) FILTER (WHERE id % 79 <> 0) AS n_messages_lus FROM fx_dirty"
     S["stream_watermark"] = ("SELECT id, CASE WHEN date_debut > now()::TIMESTAMP + INTERVAL 300 SECOND THEN NULL "
-                             "ELSE date_debut END AS temps_evenement FROM fx_dirty")
+                             "ELSE date_debut END AS temps_evenement FROM (SELECT id, make_timestamp(date_debut) AS date_debut "
+                             f"FROM ({_cdc_decoded()}) WHERE op <> 'd')")
     S["fn_now"] = f"SELECT id, TIMESTAMP '{AS_OF}' AS horodatage FROM fx_dirty"
-    S["sink_bronze_stream"] = f"SELECT * FROM ({stream_keys}) WHERE route = 'valid'"
-    S["sink_quarantine_stream"] = f"SELECT * FROM ({stream_keys}) WHERE route = 'quarantine'"
+    S["sink_bronze_stream"] = f"SELECT * FROM ({stream_rows}) WHERE route = 'valid'"
+    S["sink_quarantine_stream"] = f"SELECT * FROM ({stream_rows}) WHERE route = 'quarantine'"
     S["sink_overwrite"] = "SELECT * FROM fx_elig"
     S["sink_notify"] = _messages(source=(
         "SELECT id, id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m, "

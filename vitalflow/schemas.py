@@ -59,6 +59,7 @@ DISTANCE_SCHEMA = T.StructType([
     T.StructField("profile", T.StringType()),
     T.StructField("metres", T.IntegerType()),
     T.StructField("status", T.StringType()),
+    T.StructField("measured_at", T.TimestampNTZType()),
 ])
 
 PARAMS_SCHEMA = T.StructType([

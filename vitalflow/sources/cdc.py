@@ -11,27 +11,38 @@ from ..schemas import ACTIVITY_COLUMNS, ENVELOPE_SCHEMA
 
 def read_cdc_stream(spark: SparkSession, source: str, *, fmt: str = "text", topic: str | None = None,
                     bootstrap: str | None = None, starting: str = "earliest",
-                    max_files_per_trigger: int | None = None, stream: bool = True) -> DataFrame:
+                    max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
+                    stream: bool = True) -> DataFrame:
     """Change events as a DataFrame with one ``value`` string column.
 
     ``fmt="kafka"`` subscribes to ``topic`` (``starting`` = earliest for the
     bronze ingest, latest for the notifier); ``fmt="text"`` reads JSON lines
     from a folder, one envelope per line (the offline stand-in for the topic).
     ``stream=False`` reads the same source as a batch table. A file folder has
-    no "latest" offset: a new checkpoint reads the files already there.
+    no "latest" offset: a new checkpoint reads the files already there. The
+    ``max_*_per_trigger`` settings bound a micro-batch, also the first one.
     """
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
-        r = (reader.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-             .option("subscribe", topic))
-        r = r.option("startingOffsets", starting) if stream else r
-        return r.load().select(F.col("value").cast("string").alias("value"))
+        options = kafka_options(topic, bootstrap, starting, max_offsets_per_trigger, stream)
+        return reader.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
     r = reader.format("text")
     if stream and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(source).select(F.col("value"))
 
 
+def kafka_options(topic: str | None, bootstrap: str | None, starting: str,
+                  max_offsets_per_trigger: int | None, stream: bool = True) -> dict[str, str]:
+    """Reader options; ``starting="latest"`` makes a new checkpoint skip the topic's history."""
+    out = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic}
+    if stream:
+        out["startingOffsets"] = starting
+        if max_offsets_per_trigger:
+            out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out
+
+
 def envelope_json(op="c", ntz: bool = True) -> Column:
     """The CDC envelope ``{"payload": {"before", "after", "op"}}`` of the current activity row, as JSON text.
 

@@ -29,6 +29,8 @@ SPORT_OTHER = "Tennis"
 COMMENT = "Reprise du sport :)"
 MODE_BY_NATION_MOD4 = ["Marche/running", "Vélo/Trottinette/Autres", "Transports en commun",
                        "véhicule thermique/électrique"]
+FIRST_NAME = "Ada"
+SPORT_BY_PRIORITY = [("1-URGENT", "Tennis"), ("2-HIGH", "Judo")]
 FAR_FUTURE = "2999-01-01 00:00:00"
 # --- end of fixed values ------------------------------------------------------
 
@@ -90,7 +92,7 @@ def hr_sheet(customer: DataFrame) -> DataFrame:
     mode = sql_case("pmod(c_nationkey, 4)", list(enumerate(MODE_BY_NATION_MOD4[:3])), MODE_BY_NATION_MOD4[3])
     return customer.selectExpr(
         "CAST(c_custkey AS INT) AS `ID salarié`",
-        "CAST(NULL AS STRING) AS `Prénom`",
+        f"CASE WHEN c_custkey % 3 <> 0 THEN {sql_str(FIRST_NAME)} END AS `Prénom`",
         "c_name AS `Nom`",
         "c_mktsegment AS `BU`",
         "c_acctbal AS `Salaire brut`",
@@ -111,18 +113,27 @@ def hr_with_repeats(hr_df: DataFrame) -> DataFrame:
 
 
 def distances(hr_df: DataFrame) -> DataFrame:
-    """fx_distance: measured commutes; no row = not measured, NOT_FOUND = failed look-up."""
-    return (hr_df.filter("moyen_declare IN ('Marche/running', 'Vélo/Trottinette/Autres') AND id_salarie % 11 <> 0")
+    """fx_distance: measured commutes; no row = not measured, NOT_FOUND = failed look-up.
+
+    Every id divisible by 7 has an older measurement too, 100 km farther.
+    """
+    now = (hr_df.filter("moyen_declare IN ('Marche/running', 'Vélo/Trottinette/Autres') AND id_salarie % 11 <> 0")
             .selectExpr("id_salarie",
                         "CASE WHEN moyen_declare = 'Marche/running' THEN 'walking' ELSE 'bicycling' END AS profile",
                         "CAST(pmod(CAST(id_salarie AS BIGINT) * 37, 400) * 100 AS INT) AS metres",
                         "CASE WHEN id_salarie % 13 = 0 THEN 'NOT_FOUND' ELSE 'OK' END AS status"))
+    years = "explode(CASE WHEN id_salarie % 7 = 0 THEN array(2023, 2022) ELSE array(2023) END) AS _year"
+    return now.selectExpr("*", years).selectExpr(
+        "id_salarie", "profile", "CASE _year WHEN 2022 THEN metres + 100000 ELSE metres END AS metres",
+        "CASE _year WHEN 2022 THEN 'OK' ELSE status END AS status",
+        "make_timestamp_ntz(_year, 6, 1, 0, 0, 0) AS measured_at")
 
 
 def sport_sheet(orders: DataFrame) -> DataFrame:
-    """fx_sport: declared practice, one row per customer with an urgent fulfilled order."""
-    return (orders.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'")
-            .selectExpr("CAST(o_custkey AS INT) AS id_salarie", "'Tennis' AS pratique")
+    """fx_sport: declared practices, one row per customer and priority of an urgent or high fulfilled order."""
+    sport = sql_case("o_orderpriority", SPORT_BY_PRIORITY[:1], SPORT_BY_PRIORITY[1][1])
+    return (orders.filter("o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F'")
+            .selectExpr("CAST(o_custkey AS INT) AS id_salarie", f"{sport} AS pratique")
             .distinct())
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..schemas import DISTANCE_SCHEMA, HR_RENAMES, HR_SHEET_SCHEMA, SPORT_SHEET_SCHEMA
+from ..session import scratch_path
 
 LAKE_FORMAT = "parquet"  # "delta" when the Delta jars are on the classpath
 
@@ -28,16 +31,26 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = LA
     w.save(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back as a plain table scan."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_sheet(spark: SparkSession, path: str, schema, fmt: str | None = None) -> DataFrame:
-    """Read an exported sheet (CSV with header, or parquet) with a declared schema.
+    """Read an exported sheet (CSV with header, or parquet): columns by header name, declared types.
 
-    Without ``fmt`` a path ending in ``.parquet`` is parquet, anything else CSV.
+    Column order does not matter and further columns are ignored; a missing column is an error, a
+    value that does not fit its type is NULL. Without ``fmt`` a path ending in ``.parquet`` is
+    parquet, anything else CSV.
     """
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
-    r = spark.read.schema(schema)
-    if fmt == "csv":
-        return r.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return r.format(fmt).load(path)
+    raw = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def rename_hr(df: DataFrame) -> DataFrame:
@@ -53,13 +66,14 @@ def read_hr(spark: SparkSession, hr_path: str, sport_path: str | None = None,
     if sport_path:
         try:
             sport = rename_hr(read_sheet(spark, sport_path, SPORT_SHEET_SCHEMA, fmt))
-        except AnalysisException:  # PATH_NOT_FOUND: the sheet is optional
-            sport = None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # only a sheet that is not there is optional
+                raise
     return hr, sport
 
 
 def read_distances(spark: SparkSession, path: str, fmt: str | None = LAKE_FORMAT) -> DataFrame:
-    """Measured commute distances: (id_salarie, profile, metres, status), a lake table by default."""
+    """Measured commute distances: (id_salarie, profile, metres, status, measured_at), a lake table by default."""
     return read_sheet(spark, path, DISTANCE_SCHEMA, fmt)
 
 

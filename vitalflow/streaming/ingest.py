@@ -1,19 +1,21 @@
 """CDC ingestion as ONE streaming query.
 
-decode -> (optional) future gate -> watermark -> dropDuplicates (state keyed
-by employee/start/sport, evicted by the watermark) -> foreachBatch that
-routes every row and writes the micro-batch once, partitioned by route, into
-a folder named after the batch id. Rewriting that folder on a retry makes the
-sink idempotent; the checkpoint makes a restart resume without repeats. The
-reference ran two queries (two sources, two dedup states, two clocks); one
-query gives every row exactly one route.
+decode -> event time (none for a missing or far-future start) -> watermark -> dropDuplicates
+(state keyed by employee/start/sport, evicted by the watermark) -> foreachBatch that routes every
+row and writes the micro-batch once, into a folder named after the query and the batch. A retry
+rewrites that folder, and a new checkpoint is a new query with folders of its own, so nothing of an
+earlier run is overwritten. Rows without event time never enter the state: they are repeats of each
+other only within a micro-batch. The reference ran two queries (two sources, two dedup states,
+two clocks); one query gives every row exactly one route.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.cdc import decode_changes
 from ..operators.dedup import DEDUP_KEYS
@@ -22,6 +24,11 @@ from ..params import Params
 from ..sources.cdc import read_cdc_stream
 
 EVENT_TIME = "_event_time"
+SINK_FORMAT = "parquet"
+SINK_SCHEMA = ("id bigint, id_salarie int, date_debut timestamp, sport_type string, distance_m int, date_fin timestamp, "
+               "commentaire string, ingested_at timestamp, reasons string, query string, batch_id bigint, "
+               f"route string, {DAY} date")
+SINK_KEYS = ("query", "batch_id")   # where a row was written, not part of the activity
 
 
 def with_watermark(df: DataFrame, delay: str = "2 hours", col: str = "date_debut",
@@ -41,33 +48,47 @@ def with_watermark(df: DataFrame, delay: str = "2 hours", col: str = "date_debut
 
 
 def dedup_stream(df: DataFrame, keys: list[str] | None = None, watermark: str | None = "2 hours",
-                 gate_future_s: int | None = None) -> DataFrame:
+                 gate_future_s: int | None = None, undated: DataFrame | None = None) -> DataFrame:
     """Drop repeats of (employee, start, sport); state older than the watermark is evicted.
 
-    The event-time column is part of the key so that the state can be
-    evicted. On a batch DataFrame (``watermark=None``) this is plain
-    ``dropDuplicates``: which twin survives is arrival order.
+    The event-time column is part of the key so that the state can be evicted. A row without event
+    time would stay in the state for ever, so such rows pass by it (from ``undated``, the same
+    stream, if given); the sink drops their repeats within a micro-batch. On a batch
+    DataFrame (``watermark=None``) this is plain ``dropDuplicates``: which twin survives is
+    arrival order.
     """
     keys = keys or DEDUP_KEYS
     if watermark is None:
         return df.dropDuplicates(keys)
-    w = with_watermark(df, watermark, gate_future_s=gate_future_s)
-    return w.dropDuplicates([*keys, EVENT_TIME]).drop(EVENT_TIME)
+    dated = with_watermark(df, watermark, gate_future_s=gate_future_s).where(F.col(EVENT_TIME).isNotNull())
+    rest = with_watermark(undated if undated is not None else df, watermark, gate_future_s=gate_future_s)
+    rest = rest.where(F.col(EVENT_TIME).isNull())
+    return dated.dropDuplicates([*keys, EVENT_TIME]).unionByName(rest).drop(EVENT_TIME)
 
 
 def route_batch_writer(out_root: str, params: Params, null_policy: str = "quarantine",
-                       fmt: str = "parquet"):
+                       fmt: str = SINK_FORMAT, files: int = 4):
     """foreachBatch function: route and write the micro-batch in one pass, idempotently.
 
-    Output layout ``batch_id=N/route=R/jour=D``: the route and day partitions
-    let readers prune (bronze = route valid; a look-back reads only its days).
-    Rows are rebalanced by (route, day) first, so a batch spanning many days
-    writes one file per partition rather than one per task and partition.
+    Output layout ``query=Q/batch_id=N/route=R/jour=D``: the route and day partitions let readers
+    prune (bronze = route valid; a look-back reads only its days). Q is the query's id, which its
+    checkpoint keeps. Rows are dealt by (route, day) and ``files`` parts of a day: a stateful
+    micro-batch has no adaptive execution, so this alone bounds a day's files, and a hot day
+    is shared by so many tasks. With ``delta`` all batches go to one table, and its transaction
+    ids make a retry a no-op.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = with_day(with_route(batch, params, null_policy).withColumn("reasons", F.concat_ws(",", "reasons")))
-        (routed.hint("rebalance", "route", DAY).write.format(fmt).mode("overwrite").partitionBy("route", DAY)
-         .save(f"{out_root}/batch_id={batch_id}"))
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        # rows without event time: repeats within the batch, which agree in all but their ids
+        once = batch.dropDuplicates([c for c in batch.columns if c not in ("id", "ingested_at")])
+        routed = with_day(with_route(once, params, null_policy).withColumn("reasons", F.concat_ws(",", "reasons")))
+        part = F.pmod(F.xxhash64("id"), F.lit(files))
+        writer = routed.repartition("route", DAY, part).write.format(fmt)
+        if fmt == "delta":
+            writer = writer.mode("append").option("txnAppId", query).option("txnVersion", str(batch_id))
+            writer.partitionBy("route", DAY).save(out_root)
+        else:
+            writer.mode("overwrite").partitionBy("route", DAY).save(f"{out_root}/query={query}/batch_id={batch_id}")
     return write
 
 
@@ -75,15 +96,18 @@ def start_ingest(spark: SparkSession, source: str, out_root: str, checkpoint: st
                  params: Params | None = None, fmt: str = "text", topic: str | None = None,
                  bootstrap: str | None = None, delay: str = "2 hours", gate_future: bool = True,
                  null_policy: str = "quarantine", max_files_per_trigger: int | None = None,
+                 max_offsets_per_trigger: int | None = None, sink_format: str = SINK_FORMAT, files: int = 4,
                  available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
     """Start the bronze ingestion query (earliest offsets, one checkpoint)."""
     params = params or Params()
-    raw = read_cdc_stream(spark, source, fmt=fmt, topic=topic, bootstrap=bootstrap,
-                          starting="earliest", max_files_per_trigger=max_files_per_trigger)
-    rows = decode_changes(raw, as_of=None, ntz=False)
+    raw = read_cdc_stream(spark, source, fmt=fmt, topic=topic, bootstrap=bootstrap, starting="earliest",
+                          max_files_per_trigger=max_files_per_trigger, max_offsets_per_trigger=max_offsets_per_trigger)
+    # counted on the one branch, as the progress counts the rows of both
+    counted = raw.observe("messages", F.count(F.lit(1)).alias("n"))
     gate = params.future_tolerance_s if gate_future else None
-    deduped = dedup_stream(rows, watermark=delay, gate_future_s=gate)
-    w = (deduped.writeStream.foreachBatch(route_batch_writer(out_root, params, null_policy))
+    deduped = dedup_stream(decode_changes(raw, as_of=None, ntz=False), watermark=delay, gate_future_s=gate,
+                           undated=decode_changes(counted, as_of=None, ntz=False))
+    w = (deduped.writeStream.foreachBatch(route_batch_writer(out_root, params, null_policy, sink_format, files))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
@@ -92,20 +116,69 @@ def start_ingest(spark: SparkSession, source: str, out_root: str, checkpoint: st
     return w.start()
 
 
-def read_routes(spark: SparkSession, out_root: str, route: str | None = None) -> DataFrame:
-    """The sink folders read as one table (columns ``batch_id`` and ``route`` from the paths)."""
-    df = spark.read.parquet(out_root)
+def read_routes(spark: SparkSession, out_root: str, route: str | None = None, fmt: str = SINK_FORMAT) -> DataFrame:
+    """The sink read as one table, with its declared schema: a sink without rows is an empty table."""
+    reader = spark.read.format(fmt)
+    df = (reader if fmt == "delta" else reader.schema(SINK_SCHEMA)).load(out_root)
     return df if route is None else df.filter(F.col("route") == route)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as late by the watermark, summed over the query's recent progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            total += int((op.get("numRowsDroppedByWatermark") if isinstance(op, dict)
-                          else op.numRowsDroppedByWatermark) or 0)
-    return total
+def compact(spark: SparkSession, out_root: str, to: str, fmt: str = SINK_FORMAT) -> None:
+    """A copy of a sink with one folder per route and day instead of one per batch.
+
+    A batch job, so adaptive execution shapes the files: few per day, and a hot day is split.
+    """
+    rows = read_routes(spark, out_root, fmt=fmt).drop(*SINK_KEYS)
+    rows.hint("rebalance", "route", DAY).write.format(fmt).mode("overwrite").partitionBy("route", DAY).save(to)
+
+
+class Totals(StreamingQueryListener):
+    """Figures of all batches of the queries that ran while it listened (progress keeps only the last ones).
+
+    Use as ``with Totals(spark) as t: q = start(...); await_end(q); t.of(q)``.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._ended, self._runs = spark, threading.Condition(), {}
+
+    def __enter__(self) -> "Totals":
+        self._spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._spark.streams.removeListener(self)
+
+    def _run(self, run_id) -> dict:
+        return self._runs.setdefault(str(run_id), {"batches": 0, "input_rows": 0, "late": 0, "watermark": None, "ended": False})
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self._ended:
+            run = self._run(p.runId)
+            run["batches"] += 1
+            seen = p.observedMetrics.get("messages")
+            run["input_rows"] += seen["n"] if seen else p.numInputRows
+            run["late"] += sum(s.numRowsDroppedByWatermark or 0 for s in p.stateOperators)
+            run["watermark"] = (p.eventTime or {}).get("watermark") or run["watermark"]
+            run["state_rows"] = sum(s.numRowsTotal or 0 for s in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._ended:
+            self._run(event.runId)["ended"] = True
+            self._ended.notify_all()
+
+    def of(self, query: StreamingQuery, timeout_s: float = 120) -> dict:
+        """The totals of a query that has ended; waits until its last event has arrived."""
+        with self._ended:
+            if not self._ended.wait_for(lambda: self._run(query.runId)["ended"], timeout_s):
+                raise TimeoutError("the query's last progress has not arrived")
+            return dict(self._run(query.runId))
 
 
 def await_end(query: StreamingQuery, timeout_s: float | None = None) -> bool:

@@ -1,54 +1,84 @@
 """The notifier as a streaming query: each new change event becomes a message or an alert.
 
 Source at the latest offsets with its own checkpoint (replaces the consumer
-group); the employee directory is the static side of a stream-static join;
-delivery is a user callback per micro-batch (``writer(df, batch_id)``), by
-default an idempotent write of the messages table.
+group). Each micro-batch is joined with the employee directory as it is then, so a directory that
+is rewritten while the query runs is taken up by the next batch; without a readable directory
+the ids stand in for the names. Delivery is a user callback per micro-batch (``writer(df,
+batch_id)``), by default an idempotent write of the messages table.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cdc import cast_times, decode_with_guard_flag, guard_empty
-from ..operators.notify import messages
+from ..operators.notify import directory, messages
 from ..sources.cdc import read_cdc_stream
+from ..sources.tables import read_table, stored
 
+LOG = logging.getLogger(__name__)
+MESSAGES_SCHEMA = "id bigint, id_salarie int, type_message string, texte string, query string, batch_id bigint"
+GONE = ("FAILED_READ_FILE.FILE_NOT_EXIST", "PATH_NOT_FOUND")
 
-# Directory rows broadcast to every micro-batch after a size check (about 100 bytes
-# per employee: 2M rows ~ 200 MB); beyond it the stream-static join is salted.
-DIRECTORY_BROADCAST_MAX_ROWS = 2_000_000
+
+def notification_stream(raw: DataFrame, dir_df: DataFrame | None, tolerance_s: int = 300) -> DataFrame:
+    """value -> (id, id_salarie, type_message, texte), stateless."""
+    events = cast_times(guard_empty(decode_with_guard_flag(raw)), as_of=None, ntz=False).drop("ingested_at")
+    return messages(events, dir_df, as_of=None, tolerance_s=tolerance_s)
 
 
-def notification_stream(raw: DataFrame, dir_df: DataFrame | None, tolerance_s: int = 300,
-                        broadcast_max_rows: int = DIRECTORY_BROADCAST_MAX_ROWS) -> DataFrame:
-    """value -> (id, id_salarie, type_message, texte), stateless.
+def read_directory(spark: SparkSession, path: str) -> DataFrame | None:
+    """The directory of a referential table as it is now, or None (with a warning) if there is none.
 
-    Micro-batches are planned without AQE, so the directory join decides
-    broadcast vs. salted shuffle once, at query start, from the directory size.
+    It is stored as a table with one row per id, so the join with a hot employee can be split.
     """
-    events = cast_times(guard_empty(decode_with_guard_flag(raw)), as_of=None, ntz=False).drop("ingested_at")
-    return messages(events, dir_df, as_of=None, tolerance_s=tolerance_s, broadcast_max_rows=broadcast_max_rows)
+    try:
+        return stored(directory(read_table(spark, path)), "directory")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        LOG.warning("no employee directory at %s: names are replaced by ids", path)
+        return None
 
 
 def table_writer(out_root: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """Writes each batch to ``query=Q/batch_id=N``; a retry rewrites the folder, another query has its own."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(f"{out_root}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        batch.write.format(fmt).mode("overwrite").save(f"{out_root}/query={query}/batch_id={batch_id}")
     return write
 
 
-def start_notifications(spark: SparkSession, source: str, dir_df: DataFrame | None, checkpoint: str, *,
+def read_messages(spark: SparkSession, out_root: str) -> DataFrame:
+    return spark.read.schema(MESSAGES_SCHEMA).parquet(out_root)
+
+
+def start_notifications(spark: SparkSession, source: str, dir_or_path: DataFrame | str | None, checkpoint: str, *,
                         writer: Callable[[DataFrame, int], None] | None = None, out_root: str | None = None,
                         fmt: str = "text", topic: str | None = None, bootstrap: str | None = None,
-                        available_now: bool = False, tolerance_s: int = 300,
-                        broadcast_max_rows: int = DIRECTORY_BROADCAST_MAX_ROWS) -> StreamingQuery:
-    raw = read_cdc_stream(spark, source, fmt=fmt, topic=topic, bootstrap=bootstrap, starting="latest")
-    out = notification_stream(raw, dir_df, tolerance_s, broadcast_max_rows)
+                        max_offsets_per_trigger: int | None = None, max_files_per_trigger: int | None = None,
+                        available_now: bool = False, tolerance_s: int = 300) -> StreamingQuery:
+    """``dir_or_path``: a directory table, or the path of a referential that is read anew for every batch."""
+    raw = read_cdc_stream(spark, source, fmt=fmt, topic=topic, bootstrap=bootstrap, starting="latest",
+                          max_files_per_trigger=max_files_per_trigger, max_offsets_per_trigger=max_offsets_per_trigger)
     sink = writer or table_writer(out_root)
-    w = out.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        for last in (False, True):
+            try:
+                names = read_directory(batch.sparkSession, dir_or_path) if isinstance(dir_or_path, str) else dir_or_path
+                break
+            except PySparkException as e:  # rewritten while it was read: once more
+                if last or e.getCondition() not in GONE:
+                    raise
+        sink(notification_stream(batch, names, tolerance_s), batch_id)
+
+    w = raw.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
