@@ -7,7 +7,7 @@ way, by shard size. Within a shard the documents stand in a seeded order and the
 passes over them and then the first blocks of one more pass.
 
 Only sources and shards reach the driver or one task as sums: a hot source is dealt over all
-shards, whose number follows the number of documents. Highest quotients are found by bisection on the
+shards, whose number follows the number of documents up to ``MOST_SHARDS``. Highest quotients are found by bisection on the
 divisor, so the cost does not depend on the number of blocks.
 
 Defined cases: a null text has size 0 and nothing is taken of it; a null source is a source of its
@@ -29,7 +29,8 @@ from .common import pick, staged
 WEIGHTS = (1, 2, 3)      # repeating, over the sources by code point
 EPOCHS = 3               # no document is taken more often
 BLOCK = 16               # words in a block
-SHARD_DOCS = 4096        # documents in a shard, about
+SHARD_DOCS = 512         # documents in a shard, about
+MOST_SHARDS = 1 << 16    # a source's quotas are dealt over at most so many shards in one task
 SEED = 17
 MOST_SOURCES = 1_000_000
 WHITE = r"[\x20\x09-\x0D]+"
@@ -112,7 +113,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BLOC
     order = F.xxhash64("doc_id", "text", F.lit(SEED))
     light = staged(rows.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), F.col("source").cast("string").alias("source"),
                                size_of(F.col("text")).alias("size"), order.alias("turn")), "mix-sizes")
-    shards = max(1, light.count() // SHARD_DOCS)
+    shards = min(MOST_SHARDS, max(1, light.count() // SHARD_DOCS))
     light = light.withColumn("shard", F.pmod(F.xxhash64("turn", F.lit(SEED)), F.lit(shards)))
     by_shard = staged(light.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")), "mix-shards")
     plan = plan_sources(by_shard.groupBy("source").agg(F.sum("shard_size").alias("source_size")), weights, block)
