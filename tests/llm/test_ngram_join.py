@@ -63,15 +63,19 @@ def test_prefixes_share_enough():
     rng = np.random.default_rng(3)
     classes = rng.integers(0, 40, ngram_join.BUCKETS).astype(np.uint8)
     cost = 2.0 ** (np.arange(256) / 8)
+    pool = rng.integers(0, 2**63, 400).astype(np.uint64)
+    common = np.sort(ngram_join.order_keys(pool, classes, np.zeros(0, np.int64)))
     for _ in range(300):
         n = int(rng.integers(1, 200))
-        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        a = np.unique(np.concatenate([rng.integers(0, 2**63, n).astype(np.uint64), pool[rng.random(400) < rng.random() / 2]]))
         keep = a[rng.random(len(a)) < rng.uniform(0.8, 1)]
         b = np.unique(np.concatenate([keep, rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 10))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
         if len(b) and 100 * both >= 80 * (len(a) + len(b) - both):
-            (pa, ma), (pb, mb) = (ngram_join.prefix(ngram_join.order_keys(s, classes), cost, 80) for s in (a, b))
-            assert len(np.intersect1d(pa, pb)) >= min(ma, mb)
+            (pa, ma), (pb, mb) = (ngram_join.prefix(ngram_join.order_keys(s, classes, common), cost, 80) for s in (a, b))
+            least = -(-80 * (len(a) + len(b)) // 180)  # shared shingles that the similarity demands
+            more = min(least - (-(-80 * len(s) // 100)) + m for s, m in ((a, ma), (b, mb)))
+            assert len(np.intersect1d(pa, pb)) >= max(min(ma, mb), more)
 
 
 def test_components_of_chains_and_stars(spark):

@@ -1,10 +1,11 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A text's set holds its distinct shingles. Sets are sorted by a global order, rare shingles first
-(by counts over all texts in hashed buckets). Two sets of Jaccard similarity t or more share at least
+(by counts over all texts in hashed buckets, then by how many prefixes hold them). Two sets of Jaccard similarity t or more share at least
 m shingles within their m-prefixes, the first n - ceil(t n) + m of each; each set picks its own m by
 the estimated cost of its candidates, and a pair is a candidate if it shares as many prefix
-shingles as the lesser of its two m. Candidates are verified exactly.
+shingles as the lesser of its two m, and as many as their lengths then demand (see ``_pairs``).
+Candidates are verified exactly.
 
 Equal sets are one class from the start, so copies cost one row each. A posting list of at most
 ``LIST`` sets yields its pairs. Longer ones (families of near copies) never do: each set has a home,
@@ -35,6 +36,9 @@ from .hashing import mix, word_hashes
 BUCKETS = 1 << 18            # of the shingle counts that give the global order
 CLASSES = 4                  # order classes per doubling of a count
 MOST_MATCHES = 4             # largest m
+LAST = 255                   # order class of shingles found to be common
+REFINE = 2                   # times that the prefixes are searched for common shingles
+MOST_COMMON = 1_000_000      # common shingles that move to the end, the most common ones first
 VERIFY = 8.0                 # cost of a candidate against that of a posting
 LIST = 32                    # sets in a posting list that still yields its pairs
 BLOCK = 256                  # sets of a home compared at once with as many others
@@ -62,10 +66,17 @@ def digest(s: np.ndarray) -> int:
     return int(mix(np.array([total % (1 << 64)], np.uint64)).astype(np.int64)[0])
 
 
-def order_keys(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Shingles as places in the global order: class of their count, then hash."""
+def order_keys(s: np.ndarray, classes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Shingles as places in the global order: class of their count, then hash.
+
+    ``common``: places, ascending, of shingles found to be common; they move to the end of the order.
+    """
     c = classes[s & np.uint64(BUCKETS - 1)].astype(np.uint64)
-    return ((c << np.uint64(55)) | (s >> np.uint64(9))).astype(np.int64)
+    keys = ((c << np.uint64(55)) | (s >> np.uint64(9))).astype(np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+        keys[common[at] == keys] |= np.int64(LAST << 55)
+    return keys
 
 
 def prefix(keys: np.ndarray, cost: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -109,14 +120,16 @@ def order_classes(buckets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     got = buckets.groupBy("bucket").agg(F.sum("count").alias("n")).toArrow()
     n = np.zeros(BUCKETS)
     n[got["bucket"].to_numpy()] = got["n"].to_numpy()
-    classes = np.minimum(255, np.floor(CLASSES * np.log2(n + 1))).astype(np.uint8)
+    classes = np.minimum(LAST - 1, np.floor(CLASSES * np.log2(n + 1))).astype(np.uint8)
     usual = np.median(n)  # what unrelated shingles bring to a bucket
-    return classes, np.maximum(0, 2 ** (np.arange(256) / CLASSES) - 2 * usual) + 1
+    cost = np.maximum(0, 2 ** (np.arange(LAST + 1) / CLASSES) - 2 * usual) + 1
+    cost[LAST] = 32 * LIST
+    return classes, cost
 
 
 def _postings(shared, words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, cost = shared.value
+        classes, cost, common = shared.value
         seen: set[int] = set()
         for batch in batches:
             tokens, names, sizes, needs = [], [], [], []
@@ -126,7 +139,7 @@ def _postings(shared, words: int, percent: int):
                 if len(seen) > 1_000_000:  # only spares repeated rows, which are dropped later anyway
                     seen.clear()
                 seen.add(d)
-                first, m = prefix(order_keys(s, classes), cost, percent)
+                first, m = prefix(order_keys(s, classes, common), cost, percent)
                 tokens.append(first)
                 names.append(np.full(len(first), d))
                 sizes.append(np.full(len(first), len(s), np.int32))
@@ -138,10 +151,33 @@ def _postings(shared, words: int, percent: int):
     return run
 
 
-def posting_lists(rows: DataFrame, classes: np.ndarray, cost: np.ndarray, words: int, percent: int) -> DataFrame:
+def _posts(rows: DataFrame, order: tuple, words: int, percent: int) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(order)
+    return rows.select("text").mapInArrow(_postings(shared, words, percent), "token bigint, d bigint, n int, need int")
+
+
+def refined(rows: DataFrame, classes: np.ndarray, cost: np.ndarray, words: int, percent: int) -> tuple:
+    """The order with common shingles moved to its end.
+
+    A bucket's count cannot tell a shingle of a passage that some hundred texts share from the
+    usual traffic of its bucket. Prefixes are therefore made and counted, over all texts; what is in
+    more than ``LIST`` of them moves to the end, and prefixes close up with rarer shingles. Only the
+    order depends on this, so nothing is lost if a common shingle is missed.
+    """
+    common = np.zeros(0, np.int64)
+    for _ in range(REFINE):
+        found = _posts(rows, (classes, cost, common), words, percent).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+        found = found.where((F.col("c") > LIST) & (F.shiftright("token", 55) < LAST))
+        got = found.orderBy(F.desc("c"), "token").limit(MOST_COMMON).toArrow()["token"].to_numpy()
+        if not len(got):
+            break
+        common = np.union1d(common, got)
+    return classes, cost, common
+
+
+def posting_lists(rows: DataFrame, order: tuple, words: int, percent: int) -> DataFrame:
     """token, d, n, need, c: the postings of tokens that two sets or more have; c counts the sets."""
-    shared = rows.sparkSession.sparkContext.broadcast((classes, cost))
-    posts = rows.select("text").mapInArrow(_postings(shared, words, percent), "token bigint, d bigint, n int, need int")
+    posts, cost = _posts(rows, order, words, percent), order[1]
     heavy = F.element_at(F.array(*[F.lit(bool(c > 16 * LIST)) for c in cost]), F.shiftright("token", 55).cast("int") + 1)
     # a token that many sets may share is counted map-side and joined, so its rows need not meet in
     # one task; the others meet once, by token
@@ -153,14 +189,25 @@ def posting_lists(rows: DataFrame, classes: np.ndarray, cost: np.ndarray, words:
 
 
 def _pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Candidates (u, v) of the short lists: as many shared prefix shingles as the lesser m."""
+    """Candidates (u, v) of the short lists: pairs that share enough prefix shingles.
+
+    At least the lesser m. And more, if the sets are to link: they then share at least
+    a = ceil(t / (1 + t) * (n_u + n_v)) shingles, so at most n - a of a set's prefix are not in the
+    other set. Of the two prefixes, all the shared shingles of the one that ends first lie in both:
+    at least one set has prefix length - (n - a) = a - ceil(t n) + m of them there.
+    """
     near = lambda a, b: (F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * percent)
     each = F.transform("sets", lambda a: F.transform(
         F.filter("sets", lambda b: (b["d"] > a["d"]) & near(a, b)),
-        lambda b: F.struct(a["d"].alias("u"), b["d"].alias("v"), F.least(a["need"], b["need"]).alias("need"))))
+        lambda b: F.struct(a["d"].alias("u"), b["d"].alias("v"), a["n"].alias("n_u"), b["n"].alias("n_v"),
+                           a["need"].alias("m_u"), b["need"].alias("m_v"))))
     lists = lists.groupBy("token").agg(F.collect_list(F.struct("d", "n", "need")).alias("sets"))
     pairs = lists.select(F.explode(F.flatten(each)).alias("p")).select("p.*")
-    return pairs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.min("need").alias("need")).where("shared >= need").select("u", "v")
+    pairs = pairs.groupBy(*pairs.columns).agg(F.count(F.lit(1)).alias("shared"))
+    up = lambda x, y: F.expr(f"({x} + {y} - 1) div {y}")
+    both = up(f"{percent}L * (n_u + n_v)", 100 + percent)
+    enough = F.least(both - up(f"{percent}L * n_u", 100) + F.col("m_u"), both - up(f"{percent}L * n_v", 100) + F.col("m_v"))
+    return pairs.where(F.col("shared") >= F.greatest(F.least("m_u", "m_v"), enough)).select("u", "v")
 
 
 def _homes(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -282,7 +329,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_
     own = told.where("bucket IS NULL").select("doc_id", "k", "n", "d")
     classes = staged(own.where("n > 0").groupBy("d").agg(F.min("doc_id").alias("rep"), F.min("k").alias("rep_k")), "set-classes")
 
-    lists = posting_lists(rows, order, cost, words, percent)
+    lists = posting_lists(rows, refined(rows, order, cost, words, percent), words, percent)
     pairs = staged(_pairs(lists.where(F.col("c") <= LIST), percent), "candidates")
     residents, visitors = _homes(lists.where(F.col("c") > LIST))
     needed = (pairs.select(F.col("u").alias("d")).unionByName(pairs.select(F.col("v").alias("d")))
