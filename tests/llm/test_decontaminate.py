@@ -44,3 +44,33 @@ def test_removal_keeps_clean_rows_and_columns(spark, odd):
     assert len(d.flag(odd(), bench).collect()) == 11
     assert d.flag(odd().limit(0), bench).count() == 0
     assert d.flag(odd(), bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_short_items_match_whole(spark, docs_of):
+    rows = [(1, "So what is the boiling point of lead, he asked"), (2, "what is the melting point of lead"), (3, "Bleischmelze"),
+            (4, "are you sure? forty two, yes"), (5, "two forty"), (6, " ".join(words(30, "a")) + " Forty two")]
+    items = [(11, "What is the boiling point of lead?"), (12, "Forty-two."), (13, "Bleischmelze"), (14, "..."), (15, None)]
+    got = run(spark, docs_of(rows), items)
+    assert got == {1: (True, "11", 7), 2: (False, "", 0), 3: (True, "13", 1), 4: (True, "12", 2), 5: (False, "", 0),
+                   6: (True, "12", 2)}
+    whole = d.BLOCK
+    try:
+        d.BLOCK = 1
+        assert run(spark, docs_of(rows), items) == got
+    finally:
+        d.BLOCK = whole
+
+
+def test_scripts_without_spaces(spark, docs_of):
+    rows = [(1, "你知道吗？水的沸点是多少？很简单。"), (2, "水的熔点是多少"), (3, "彼は東京タワーの高さは何メートルですかと聞いた"),
+            (4, "คำถาม เมืองหลวงของไทยคืออะไร ครับ"), (5, "水 de 水"), (6, "เมืองหลวงของไทยคืออะเร")]
+    items = [(21, "水的沸点是多少"), (22, "東京タワーの高さは何メートルですか"), (23, "เมืองหลวงของไทยคืออะไร"), (24, "กี่"), (25, "水的")]
+    got = run(spark, docs_of(rows), items)
+    assert [got[i][1] for i in (1, 2, 3, 5)] == ["21,25", "25", "22", ""] and got[1][2] == 7
+    assert got[4][:2] == (True, "23")
+
+
+def test_items_without_an_id(spark, docs_of):
+    text = " ".join(words(15, "n"))
+    got = run(spark, docs_of([(1, text), (2, "short one"), (3, "clean")]), [(None, text), (None, "short one"), (None, None)])
+    assert [got[i][0] for i in (1, 2, 3)] == [True, True, False] and got[1][1] != got[2][1]

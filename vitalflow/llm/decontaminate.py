@@ -4,16 +4,19 @@ A mask names the token positions of a window that count; the rest may be substit
 of every text and of every test item is hashed under each mask, and equal hashes are joined. A hit
 fixes the alignment of a text to an item; the aligned tokens are then compared: a text is
 contaminated by an item if some window of 20 aligned tokens (or the whole item, if it is shorter)
-agrees in at least three quarters of them.
+agrees in at least three quarters of them. Items shorter than a mask are matched whole: one hash of
+all their tokens, joined with equally long windows of the texts. Letters of scripts that put no
+spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer) are a token each.
 
 Only small rows move: the test hashes are broadcast in blocks of at most ``BLOCK`` rows (a larger
 test set takes more passes over the texts, none grows the broadcast), and a text's row carries its
 token hashes only inside its own task. Of a run of windows that agree entirely only the first is
 emitted, so a long passage that very many texts share costs a few rows for each text.
 
-Defined cases: null and empty texts have no tokens and are clean; items with fewer tokens than a
-mask spans are too short to be evidence; null items never match; rows with equal doc_id and text
-get equal results; empty tables give clean or empty results.
+Defined cases: null and empty texts have no tokens and are clean; items without tokens never match;
+items with fewer tokens than a mask spans match if all their tokens stand in a row, so an item of
+one word marks every text with that word; items without an id are named by a hash of their text;
+rows with equal doc_id and text get equal results; empty tables give clean or empty results.
 """
 
 from __future__ import annotations
@@ -30,9 +33,17 @@ SPAN = len(MASKS[0])
 WINDOW = 20          # aligned tokens looked at together
 BLOCK = 200_000      # test hashes in one broadcast, about 150 bytes each
 
+# Thai to Lao, Burmese, Khmer; with them Chinese characters and Japanese syllables
+_MARKED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\ua9e0-\ua9ff\uaa60-\uaa7f"
+_UNSPACED = (rf"[{_MARKED}\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+             r"\uff66-\uff9f\x{20000}-\x{3ffff}]")
+_BETWEEN = rf"(?:(?!\p{{M}})[^\p{{L}}\p{{N}}]|(?![{_MARKED}\u3099\u309a])\p{{M}})+"  # vowel signs stay
+
 
 def tokens(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    low = F.lower(text)
+    single = F.split(F.regexp_replace(low, rf"({_UNSPACED}\p{{M}}*)", " $1 "), _BETWEEN)
+    return F.array_remove(F.when(low.rlike(_UNSPACED), single).otherwise(F.split(low, r"[^\p{L}\p{N}]+")), "")
 
 
 def _hashes(df: DataFrame) -> DataFrame:
@@ -65,17 +76,47 @@ def _best_window(item: Column, text: Column) -> Column:
     return F.array_max(sums)
 
 
+def _items(items: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    """item_id, item_h; an item without an id is named by a hash of its text."""
+    rows = pick(items, item_id=item_col, text=item_text_col).where(F.col("text").isNotNull())
+    kind = rows.schema["item_id"].dataType.simpleString()
+    name = F.hash("text") if kind == "int" else F.xxhash64("text")
+    if kind not in ("int", "bigint"):
+        rows, name = rows.withColumn("item_id", F.col("item_id").cast("string")), name.cast("string")
+    test = _hashes(rows.withColumn("item_id", F.coalesce("item_id", name))).withColumnRenamed("h", "item_h")
+    return test.where(F.size("item_h") > 0).dropDuplicates(["item_id", "item_h"])
+
+
+def _whole_matches(own: DataFrame, short: DataFrame) -> list[DataFrame]:
+    """k, item_id, agree for items shorter than a mask, a frame for each block of items."""
+    sizes = sorted(r["n"] for r in short.select(F.size("item_h").alias("n")).distinct().collect())  # below SPAN
+    if not sizes:
+        return []
+
+    def whole(h: str, pos: Column, n: int) -> Column:
+        return F.xxhash64(F.lit(n), *[F.get(h, pos + i) for i in range(n)])
+
+    seeds = staged(short.withColumn("t_seed", F.coalesce(*[
+        F.when(F.size("item_h") == n, whole("item_h", F.lit(0), n)) for n in sizes])), "test-short")
+    blocks = max(1, -(-seeds.count() // BLOCK))
+    at = own.select("k", "h", F.posexplode_outer("h").alias("pos", "first"))
+    at = at.select("k", "h", "pos", F.explode(F.array(*[whole("h", F.col("pos"), n) for n in sizes])).alias("seed"))
+    same = (F.col("seed") == F.col("t_seed")) & (F.slice("h", F.col("pos") + 1, F.size("item_h")) == F.col("item_h"))
+    return [at.join(F.broadcast(seeds.where(F.pmod(F.xxhash64("t_seed", F.lit(7)), F.lit(blocks)) == b)), same)
+            .select("k", "item_id", F.size("item_h").alias("agree")).distinct() for b in range(blocks)]
+
+
 def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """k, item_id, agree: the items that each text holds (k names a text, see ``flag``)."""
-    test = _hashes(pick(items, item_id=item_col, text=item_text_col).where(F.col("item_id").isNotNull()))
-    test = test.where(F.size("h") >= SPAN).withColumnRenamed("h", "item_h")
-    test = staged(test.dropDuplicates(["item_id", "item_h"]), "test-items")
+    every = staged(_items(items, item_col, item_text_col), "test-items")
+    test = every.where(F.size("item_h") >= SPAN)
     seeds = staged(_seeds(test.withColumnRenamed("item_h", "h"), "item_id").select(
         "seed", "item_id", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"),
         _window_before().alias("item_before")).dropDuplicates(), "test-seeds")
     blocks = max(1, -(-seeds.count() // BLOCK))
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.xxhash64("doc_id", "text").alias("k"), "text")
+    short = _whole_matches(_hashes(rows), every.where(F.size("item_h") < SPAN))
     own = _seeds(_hashes(rows), "k")
 
     def hits(block: int) -> DataFrame:
@@ -93,7 +134,8 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     found = staged(reduce(DataFrame.unionByName, [hits(b) for b in range(blocks)]), "seed-hits")
     found = found.withColumn("agree", _best_window(F.col("item"), F.col("own")))
     width = F.least(F.lit(WINDOW), F.col("item_size"))
-    return (found.where(F.col("agree") * 4 >= width * 3)
+    found = found.where(F.col("agree") * 4 >= width * 3).select("k", "item_id", "agree")
+    return (reduce(DataFrame.unionByName, short, found)
             .groupBy("k", "item_id").agg(F.max("agree").alias("agree")))
 
 
