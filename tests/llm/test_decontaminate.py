@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from itertools import combinations
+
 from vitalflow.llm import decontaminate as d
 
 
@@ -74,3 +77,38 @@ def test_items_without_an_id(spark, docs_of):
     text = " ".join(words(15, "n"))
     got = run(spark, docs_of([(1, text), (2, "short one"), (3, "clean")]), [(None, text), (None, "short one"), (None, None)])
     assert [got[i][0] for i in (1, 2, 3)] == [True, True, False] and got[1][1] != got[2][1]
+
+
+def test_masks_hit_every_accepted_pattern():
+    at = [[i for i, c in enumerate(m) if c == "1"] for m in d.MASKS]
+    for n in range(d.LEAST, d.WINDOW + 1):
+        for gone in map(set, combinations(range(n), n // 4)):
+            assert any(not gone.intersection(p + i for i in a) for m, a in zip(d.MASKS, at) for p in range(n - len(m) + 1))
+
+
+def aligned(item, text):
+    """Most agreeing tokens in a window over all alignments, without seeds; 0 if below three quarters."""
+    width, best = min(d.WINDOW, len(item)), 0
+    for at in range(1 - len(item), len(text)):
+        same = [0 <= at + i < len(text) and text[at + i] == w for i, w in enumerate(item)]
+        best = max([best, *(sum(same[i:i + width]) for i in range(len(item) - width + 1))])
+    return best if best * 4 >= width * 3 else 0
+
+
+def test_recall_against_all_alignments(spark, docs_of):
+    rng = random.Random(5)
+    items = [(i, words(n, f"i{i}x")) for i, n in enumerate([11, 12, 13, 15, 16, 19, 20, 27, 60])]
+    texts = []
+    for _, item in items:
+        for step in (4, 5, 9):  # periodic substitutions, at every phase
+            texts += [["new" if i % step == phase else w for i, w in enumerate(item)] for phase in range(step)]
+        for _ in range(12):
+            gone = set(rng.sample(range(len(item)), len(item) // 4))
+            texts.append(["new" if i in gone else w for i, w in enumerate(item)])
+        texts += [item[len(item) // 5:], item[: -(len(item) // 5)]]
+    texts = [words(rng.randrange(9), "a") + t + words(rng.randrange(9), "b") for t in texts]
+    got = run(spark, docs_of([(i, " ".join(t)) for i, t in enumerate(texts)]), [(i, " ".join(t)) for i, t in items])
+    want = [{i: s for i, item in items if (s := aligned(item, t))} for t in texts]
+    assert sum(map(bool, want)) > 150
+    assert [got[n] for n in range(len(texts))] == [
+        (bool(w), ",".join(map(str, sorted(w))), max(w.values(), default=0)) for w in want]

@@ -4,7 +4,9 @@ A mask names the token positions of a window that count; the rest may be substit
 of every text and of every test item is hashed under each mask, and equal hashes are joined. A hit
 fixes the alignment of a text to an item; the aligned tokens are then compared: a text is
 contaminated by an item if some window of 20 aligned tokens (or the whole item, if it is shorter)
-agrees in at least three quarters of them. Items shorter than a mask are matched whole: one hash of
+agrees in at least three quarters of them. The masks are chosen so that any such window, of any 15
+of 20 tokens or of three quarters of an item of 11 to 19, is hit by at least one of them (the tests
+go through all patterns), so nothing that the comparison would accept is missed. Items of fewer tokens are matched whole: one hash of
 all their tokens, joined with equally long windows of the texts. Letters of scripts that put no
 spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer) are a token each.
 
@@ -14,8 +16,8 @@ token hashes only inside its own task. Of a run of windows that agree entirely o
 emitted, so a long passage that very many texts share costs a few rows for each text.
 
 Defined cases: null and empty texts have no tokens and are clean; items without tokens never match;
-items with fewer tokens than a mask spans match if all their tokens stand in a row, so an item of
-one word marks every text with that word; items without an id are named by a hash of their text;
+items with fewer than ``LEAST`` tokens match if all their tokens stand in a row, so an item of one
+word marks every text with that word; items without an id are named by a hash of their text;
 rows with equal doc_id and text get equal results; empty tables give clean or empty results.
 """
 
@@ -28,8 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import pick, staged
 
-MASKS = ("11101001011", "11011000111", "10110110101")
-SPAN = len(MASKS[0])
+MASKS = ("110111", "1101000011", "11001011", "110000001011")
+LEAST = 11           # tokens of an item that is matched by masks
+SPAN = max(map(len, MASKS))
 WINDOW = 20          # aligned tokens looked at together
 BLOCK = 200_000      # test hashes in one broadcast, about 150 bytes each
 
@@ -51,19 +54,20 @@ def _hashes(df: DataFrame) -> DataFrame:
 
 
 def _seeds(df: DataFrame, *keys: str) -> DataFrame:
-    """Keys, h, pos, seed: all windows under all masks.
+    """Keys, h, pos, seed: all windows under all masks; a window that ends beyond the text has no seed.
 
     ``posexplode`` keeps the walk in generated code; the outer form, as the plain one would compute
     the hashes once more to test for empty arrays.
     """
-    at = df.select(*keys, "h", F.posexplode_outer("h").alias("pos", "first")).where(F.col("pos") + SPAN <= F.size("h"))
-    of = [F.xxhash64(F.lit(m), *[F.get("h", F.col("pos") + i) for i, c in enumerate(mask) if c == "1"])
+    at = df.select(*keys, "h", F.posexplode_outer("h").alias("pos", "first"))
+    of = [F.when(F.col("pos") + len(mask) <= F.size("h"),
+                 F.xxhash64(F.lit(m), *[F.get("h", F.col("pos") + i) for i, c in enumerate(mask) if c == "1"]))
           for m, mask in enumerate(MASKS)]
-    return at.select(*keys, "h", "pos", F.explode(F.array(*of)).alias("seed"))
+    return at.select(*keys, "h", "pos", F.explode(F.array(*of)).alias("seed")).where(F.col("seed").isNotNull())
 
 
 def _window_before() -> Column:
-    """The whole window that starts one token earlier; null at the start of a text."""
+    """The window of ``SPAN`` tokens that starts one token earlier; null at the start of a text."""
     return F.when(F.col("pos") > 0, F.slice("h", F.greatest(F.col("pos"), F.lit(1)), F.lit(SPAN)))
 
 
@@ -88,8 +92,8 @@ def _items(items: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
 
 
 def _whole_matches(own: DataFrame, short: DataFrame) -> list[DataFrame]:
-    """k, item_id, agree for items shorter than a mask, a frame for each block of items."""
-    sizes = sorted(r["n"] for r in short.select(F.size("item_h").alias("n")).distinct().collect())  # below SPAN
+    """k, item_id, agree for items too short for the masks, a frame for each block of items."""
+    sizes = sorted(r["n"] for r in short.select(F.size("item_h").alias("n")).distinct().collect())  # below LEAST
     if not sizes:
         return []
 
@@ -110,13 +114,13 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
                    item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """k, item_id, agree: the items that each text holds (k names a text, see ``flag``)."""
     every = staged(_items(items, item_col, item_text_col), "test-items")
-    test = every.where(F.size("item_h") >= SPAN)
+    test = every.where(F.size("item_h") >= LEAST)
     seeds = staged(_seeds(test.withColumnRenamed("item_h", "h"), "item_id").select(
         "seed", "item_id", F.col("pos").alias("item_pos"), F.col("h").alias("item_h"),
         _window_before().alias("item_before")).dropDuplicates(), "test-seeds")
     blocks = max(1, -(-seeds.count() // BLOCK))
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.xxhash64("doc_id", "text").alias("k"), "text")
-    short = _whole_matches(_hashes(rows), every.where(F.size("item_h") < SPAN))
+    short = _whole_matches(_hashes(rows), every.where(F.size("item_h") < LEAST))
     own = _seeds(_hashes(rows), "k")
 
     def hits(block: int) -> DataFrame:
@@ -163,10 +167,14 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id
     return plain.join(bad, key == F.col("bad_k"), "left_anti").toDF(*names)
 
 
+_SQL_MASKS = ("11101001011", "11011000111", "10110110101")  # of the SQL, which finds no more than these hit
+_SQL_SPAN = len(_SQL_MASKS[0])
+
+
 def _sql_seeds(table: str, key: str) -> str:
-    masks = ", ".join("[" + ", ".join(str(i) for i, c in enumerate(m) if c == "1") + "]" for m in MASKS)
+    masks = ", ".join("[" + ", ".join(str(i) for i, c in enumerate(m) if c == "1") + "]" for m in _SQL_MASKS)
     return (f"SELECT {key}, p, m, [h[p + o] FOR o IN masks[m]] AS seed FROM (SELECT {key}, h, "
-            f"unnest(range(1, len(h) - {SPAN - 2})) AS p FROM {table}), "
+            f"unnest(range(1, len(h) - {_SQL_SPAN - 2})) AS p FROM {table}), "
             f"(SELECT [{masks}] AS masks, unnest([1, 2, 3]) AS m)")
 
 
