@@ -80,3 +80,36 @@ def test_odd_rows(odd):
     got = t.query(docs, PATH).collect()
     assert len(got) == 11 and sum(r["n_tokens"] for r in got) == max(r["start"] + r["n_tokens"] for r in got)
     assert t.query(docs.limit(0), PATH).count() == 0
+
+
+SPECIAL = ["one <|endoftext|> two", "one<|endoftext|>two", "<|ENDOFTEXT|> <|endoftext|>", "a<|startoftext|><|endoftext|>B c",
+           "a <|endoftext|>\xa0b", "x<|endoftext|", "<|<|endoftext|>|>", "don<|endoftext|>'t", "e<|endoftext|>\u0301a", "<|endoftext|>"]
+
+
+def fresh(text):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
+def test_special_strings_as_in_a_fresh_tokenizer():
+    for text in [*SPECIAL, *TEXTS]:
+        assert np.frombuffer(t.words(PATH).ids(text), "<u4").tolist() == fresh(text), text
+    assert fresh(SPECIAL[0]) == [637, 49407, 1237]
+
+
+def test_special_strings_in_files(spark, docs_of):
+    got = {r["doc_id"]: r for r in t.query(docs_of(list(enumerate(SPECIAL))), PATH).collect()}
+    start = 0
+    for i, text in enumerate(SPECIAL):
+        ids = fresh(text) + [2]
+        assert (got[i]["start"], got[i]["n_tokens"]) == (start, len(ids))
+        assert got[i]["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", "A", "b.", " ", "'s", "\u0301"]), max_size=12))
+def test_random_texts_with_special_strings(parts):
+    text = "".join(parts)
+    w = t.words(PATH)
+    assert np.frombuffer(w.ids(text), "<u4").tolist() == w.tokenizer.encode(text, add_special_tokens=False).ids

@@ -19,6 +19,7 @@ raises ValueError; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -47,7 +48,8 @@ class Words(dict):
     The tokenizer parts a text at white space first, so a text's ids are its words' ids in order. A
     word of lower-case Latin letters, with or without full stops or commas after it, is one piece
     (and one more for the stops): its ids come straight from the tokenizer's model. All else goes
-    through the whole tokenizer.
+    through the whole tokenizer. The strings of special tokens are taken out first, in the case they
+    are written in, as the tokenizer does; a word that becomes one only in lower case is plain text.
     """
 
     MOST = 1 << 20           # words remembered; beyond it the memory starts anew
@@ -58,8 +60,13 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # the strings of special tokens are ordinary text
-        self.model = self.tokenizer.model
+        self.between = Tokenizer.from_file(path)  # for what stands between special tokens
+        self.between.encode_special_tokens = True
+        self.model = self.between.model
+        self.special = {t.content.encode(): np.array([i], "<u4").tobytes()
+                        for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        longest = sorted(self.special, key=len, reverse=True)
+        self.parts = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")")
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         other = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
@@ -79,7 +86,7 @@ class Words(dict):
         return out
 
     def _whole(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+        ids = self.between.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def _plain(self, word: bytes) -> bool:
@@ -90,8 +97,14 @@ class Words(dict):
         return all(c in LETTERS or "ß" <= c <= "ÿ" and c != "÷" for c in text)
 
     def ids(self, text: str | None) -> bytes:
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        if not any(s in raw for s in self.special):
+            return self._between(raw)
+        return b"".join(self.special[p] if i % 2 else self._between(p) for i, p in enumerate(self.parts.split(raw)))
+
+    def _between(self, raw: bytes) -> bytes:
         # bytes.lower() and split() touch ASCII only, as the tokenizer does and more
-        return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "surrogatepass").lower().split()))
+        return b"".join(map(self.__getitem__, raw.lower().split()))
 
 
 _WORDS: dict[str, Words] = {}
