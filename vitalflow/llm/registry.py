@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, fingerprint, language, line_dedup, mixing, ngram_join, personal, repair, secrets,
-               token_output, toxicity)
+from . import (decontaminate, fingerprint, language, line_dedup, mixing, ngram_join, personal, prefix_trie,
+               repair, secrets, token_output, toxicity)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_output": lambda spark, sf: token_output.query(read(spark, sf, "documents")),
     "op10_personal_data": lambda spark, sf: personal.report(personal.find_personal(read(spark, sf, "documents"))),
     "op11_conversation_repair": lambda spark, sf: repair.query(read(spark, sf, "conversations")),
+    "op12_prefix_trie": lambda spark, sf: prefix_trie.query(read(spark, sf, "conversations")),
 }
 
 ORACLE: dict[str, str] = {  # the others are tested against brute force, exact round trips or held-out rows
