@@ -9,11 +9,11 @@ from vitalflow.llm.registry import ORACLE, QUERIES
 
 from .conftest import SF
 
-NATIVE = ("op1_", "op4_", "op6_", "op8_", "op10_")
+NATIVE = ("op1_", "op4_", "op6_", "op8_", "op10_", "op13_")
 
 
 def test_all_are_registered():
-    assert [k.split("_")[0] for k in sorted(QUERIES, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 13)]
+    assert [k.split("_")[0] for k in sorted(QUERIES, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, fingerprint, language, line_dedup, mixing, ngram_join, personal, prefix_trie,
+from . import (decontaminate, fingerprint, language, license_scan, line_dedup, mixing, ngram_join, personal, prefix_trie,
                repair, secrets, token_output, toxicity)
 from .common import read
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal_data": lambda spark, sf: personal.report(personal.find_personal(read(spark, sf, "documents"))),
     "op11_conversation_repair": lambda spark, sf: repair.query(read(spark, sf, "conversations")),
     "op12_prefix_trie": lambda spark, sf: prefix_trie.query(read(spark, sf, "conversations")),
+    "op13_license_scan": lambda spark, sf: license_scan.scan(read(spark, sf, "documents")),
 }
 
 ORACLE: dict[str, str] = {  # the others are tested against brute force, exact round trips or held-out rows
