@@ -16,7 +16,8 @@ from vitalflow.params import Params
 from vitalflow.schemas import modes_table
 from vitalflow.sources.cdc import read_cdc_stream
 from vitalflow.sources.fixtures import Fixtures
-from vitalflow.sources.tables import read_distances, read_hr
+from vitalflow.streaming.ingest import read_routes
+from vitalflow.sources.tables import read_distances, read_hr, read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,7 +26,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     fx = Fixtures(spark, SF)
     d = {n: os.path.join(tmp_dir, n) for n in
          ["landing", "sink", "ck", "hr", "sport", "dist", "ref", "gold", "quality", "whatif", "msgs", "ck2"]}
-    fx.cdc().filter(F.col("value").isNotNull()).write.text(d["landing"])
+    fx.cdc().select("value").filter(F.col("value").isNotNull()).write.text(d["landing"])
     fx.hr_sheet().write.option("header", True).csv(d["hr"])
     fx.sport().select(F.col("id_salarie").alias("ID salarié"), F.col("pratique").alias("Pratique d'un sport")) \
         .write.option("header", True).csv(d["sport"])
@@ -51,6 +52,12 @@ def test_jobs_end_to_end(spark, tmp_dir):
                "--referential", d["ref"], "--available-now"], spark)
     jobs.main(["preview", "--table", d["gold"] + "/eligibilite"], spark)
 
+    rows = read_routes(spark, d["sink"]).count()
+    jobs.main(["reconcile", "--source", d["landing"], "--sink", d["sink"], *clock], spark)   # one batch saw all: nothing late
+    jobs.main(["compact", "--sink", d["sink"]], spark)
+    assert read_routes(spark, d["sink"]).count() == rows
+    assert read_table(spark, d["ref"]).where("pratique_declaree").count() > 0
+
     # the same computation as batch functions over the same files
     p = Params(as_of=__import__("datetime").datetime(2024, 1, 31), lookback_days=7)
     batch = decode_changes(read_cdc_stream(spark, d["landing"], stream=False), ntz=False)
@@ -59,11 +66,11 @@ def test_jobs_end_to_end(spark, tmp_dir):
     ref = referential.build_referential(spark, hr, read_distances(spark, d["dist"]), sport=sport,
                                         modes=modes_table(spark))
     expected = {r["bu"]: tuple(r)[1:7] for r in gold.kpis(gold.eligibility(bronze, ref, p), p).collect()}
-    got = {r["bu"]: tuple(r)[1:7] for r in spark.read.parquet(d["gold"] + "/kpis_par_bu").collect()}
+    got = {r["bu"]: tuple(r)[1:7] for r in read_table(spark, d["gold"] + "/kpis_par_bu").collect()}
     assert got == expected and len(got) == 5
-    assert spark.read.parquet(d["quality"] + "/quality_checks").count() == 11
-    assert spark.read.parquet(d["whatif"] + "/seuils").count() == 5 * 31
+    assert read_table(spark, d["quality"] + "/quality_checks").count() == 11
+    assert read_table(spark, d["whatif"] + "/seuils").count() == 5 * 31
     scen_a = {r["bu"]: (r["nb_eligibles_bien_etre"], r["total_jours_bien_etre"])
-              for r in spark.read.parquet(d["whatif"] + "/scenarios").filter("scenario = 'a'").collect()}
+              for r in read_table(spark, d["whatif"] + "/scenarios").filter("scenario = 'a'").collect()}
     assert scen_a == {bu: (v[3], v[4]) for bu, v in expected.items()}
     assert spark.read.parquet(d["msgs"]).count() > 900

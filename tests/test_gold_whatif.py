@@ -105,6 +105,23 @@ def test_scenario_thresholds_are_taken_as_given(spark):
         whatif.scenario_kpis(elig, whatif.scenarios_table(spark, [("x", 0.1, None, 1)]))
 
 
+def test_whatif_rows_are_linear_in_the_thresholds(spark):
+    """Very many thresholds and scenarios, all exact; the plan has no join before the scenarios and two exchanges up to there."""
+    elig = spark.range(3000).selectExpr("if(id % 7 = 0, NULL, concat('B', id % 3)) AS bu", "id % 40 * 50 AS nb_activites_12mois",
+                                        "id % 2 = 0 AS eligible_prime", "1.0D AS salaire_brut")
+    s = spark.range(20_000).selectExpr("concat('s', id) AS scenario", "0.1D AS taux_prime", "CAST(id % 12000 - 5 AS INT) AS seuil", "1 AS jours")
+    got = whatif.scenario_kpis(elig, s)
+    assert got.count() == 20_000 * 4
+    check = {(r["scenario"], r["bu"]): r["nb_eligibles_bien_etre"] for r in got.where("scenario IN ('s0', 's105', 's1955', 's1956', 's13000')").collect()}
+    rows = elig.collect()
+    for name, t in (("s0", -5), ("s105", 100), ("s1955", 1950), ("s1956", 1951), ("s13000", 995)):
+        for bu in {r["bu"] for r in rows}:
+            assert check[name, bu] == sum(r["bu"] == bu and r["nb_activites_12mois"] >= t for r in rows)
+    text = whatif.threshold_grid(elig, 30)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+    assert whatif.scenario_kpis(elig, s.limit(0)).count() == 0
+
+
 def test_modes_table(spark):
     m = {r["moyen_declare"]: (r["seuil_km"], r["profile"]) for r in modes_table(spark).collect()}
     assert m == {"Marche/running": (15, "walking"), "Vélo/Trottinette/Autres": (25, "bicycling")}

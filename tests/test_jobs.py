@@ -94,8 +94,8 @@ def test_referential_keeps_one_row_per_employee(spark):
 
 
 def test_placeholders_inside_values_stay(spark):
-    out = spark.range(1).select(text.fill_template(F.lit("{nom} : {sport} !"), {"nom": F.lit("{sport}"), "sport": F.lit("{duree}")}))
-    assert out.first()[0] == "{sport} : {duree} !"
+    out = spark.range(1).select(text.fill_template("{nom} : {sport} {x}!", {"nom": F.lit("{sport}"), "sport": F.lit("{duree}")}))
+    assert out.first()[0] == "{sport} : {duree} {x}!"
 
 
 def test_fixed_values_are_the_agreed_ones():
@@ -140,3 +140,45 @@ def test_messages_unknown_employee_and_templates(spark):
 
 def test_checkpoint_dir_respects_session_setting(spark):
     assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_last_sheet_row_wins(spark, tmp_dir):
+    """The row order comes from the reader, over files and pieces of a sheet."""
+    from vitalflow.operators import referential
+    hr, sport = os.path.join(tmp_dir, "rh.csv"), os.path.join(tmp_dir, "sport.csv")
+    with open(hr, "w", encoding="utf-8") as fh:
+        fh.write("ID salarié,Prénom,Nom,BU,Salaire brut,Moyen de déplacement,Adresse du domicile\n")
+        fh.writelines(f"{i},A,B,X,1,Marche/running,r\n" for i in range(4))
+    with open(sport, "w", encoding="utf-8") as fh:
+        fh.write("ID salarié,Pratique d'un sport\n0,Tennis\n1,Judo\n1,\n2,\n2,Tennis\n")
+        fh.writelines("0,Judo\n" for _ in range(500))
+        fh.write("0,\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")   # several pieces
+    try:
+        got = {r["id_salarie"]: r["pratique_declaree"] for r in referential.practice_flag(*read_hr(spark, hr, sport)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == {0: False, 1: False, 2: True, 3: False}
+
+
+def test_failed_overwrite_leaves_the_old_rows(spark, tmp_dir):
+    """A table is replaced by one log entry: a job that fails before changes nothing, readers under way go on."""
+    from pyspark.errors import PySparkException
+
+    from vitalflow.sources import versions
+    from vitalflow.sources.tables import read_table, write_table
+    path = os.path.join(tmp_dir, "t")
+    write_table(spark.range(5), path)
+    reader = read_table(spark, path)
+    with pytest.raises(PySparkException):
+        write_table(spark.range(100).select(F.raise_error(F.lit("no"))), path)
+    assert read_table(spark, path).count() == 5
+    write_table(spark.range(7).withColumn("p", F.col("id") % 2), path, partition_by=["p"])
+    assert reader.count() == 5 and read_table(spark, path).count() == 7     # across one replacement
+    assert "PartitionFilters: [isnotnull(p" in read_table(spark, path).where("p = 1")._jdf.queryExecution().toString()
+    write_table(spark.range(1), path)
+    assert read_table(spark, path).count() == 1 and len(os.listdir(f"{path}/data")) == 2
+    assert len(versions.live(spark, path)) == 1
+    with pytest.raises(ValueError):
+        versions.read_live(spark, os.path.join(tmp_dir, "nothing"))

@@ -5,13 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
 from vitalflow.operators.cdc import decode_changes
 from vitalflow.params import Params
-from vitalflow.sources.cdc import read_cdc_stream
-from vitalflow.streaming.ingest import Totals, await_end, compact, dedup_stream, read_routes, start_ingest
+from vitalflow.sources import versions
+from vitalflow.sources.cdc import RECORD_SCHEMA, read_cdc_stream, write_records
+from vitalflow.streaming.ingest import (Totals, await_end, compact, dedup_stream, read_day_counts, read_routes,
+                                        reconcile, start_ingest)
 from vitalflow.streaming.notifier import start_notifications
 
 T = 1_700_000_000_000_000  # 2023-11-14 22:13:20 UTC
@@ -69,8 +72,8 @@ def test_watermark_dedup_reference_form(spark, tmp_dir):
     ids = [i for _, b in seen for i in b]
     by_batch = dict(seen)
     assert len([i for i in by_batch[0] if i in (1, 2)]) == 1 and 3 in by_batch[0]
-    assert {20, 21} < set(by_batch[0])             # undated rows pass by the state
-    assert sorted(by_batch[1]) == [4, 5, 22]      # late filter lags one batch
+    assert len({20, 21} & set(by_batch[0])) == 1   # undated rows are repeats by key, too
+    assert sorted(by_batch[1]) == [4, 5]          # late filter lags one batch; 22 repeats 20
     assert by_batch[2] == [7] and by_batch[3] == [8]
     assert 9 not in ids                            # poisoned watermark: T+11h dropped as late
     assert totals["late"] >= 1
@@ -115,14 +118,16 @@ def test_ingest_batch_equals_batch_twin(spark, tmp_dir):
     from vitalflow.sources.fixtures import Fixtures
     fx = Fixtures(spark, "/root/testdata/sf0.001")
     src, out, ck = (os.path.join(tmp_dir, n) for n in ("src", "out", "ck"))
-    fx.cdc().filter(F.col("value").isNotNull()).write.text(src)
+    write_records(fx.cdc(), src)
     p = Params(as_of=dt.datetime(2024, 1, 31))
-    q = start_ingest(spark, src, out, ck, params=p, available_now=True)
-    q.awaitTermination(300)
+    with Totals(spark) as totals:
+        q = start_ingest(spark, src, out, ck, params=p, fmt="records", available_now=True)
+        q.awaitTermination(300)
+        assert totals.of(q)["input_rows"] == fx.cdc().count()   # one read, tombstones included
     keys = ["id_salarie", "date_debut", "sport_type", "route"]
     streamed = read_routes(spark, out).withColumn("date_debut", F.col("date_debut").cast("timestamp_ntz"))
-    rows = decode_changes(read_cdc_stream(spark, src, stream=False), ntz=True)
-    twin = with_route(rows.dropDuplicates([c for c in rows.columns if c not in ("id", "ingested_at")]), p)
+    rows = decode_changes(read_cdc_stream(spark, src, fmt="records", stream=False), ntz=True)
+    twin = with_route(rows.dropDuplicates(keys[:3]), p)
     a = sorted(tuple(map(str, r)) for r in streamed.select(keys).collect())
     b = sorted(tuple(map(str, r)) for r in twin.select(keys).collect())
     assert a == b and len(a) > 900
@@ -180,9 +185,20 @@ def test_new_checkpoint_keeps_earlier_rows(spark, tmp_dir):
         await_end(start_ingest(spark, src + n, out, os.path.join(tmp_dir, "ck" + n), params=p, available_now=True))
     rows = read_routes(spark, out).collect()
     assert sorted(r["id"] for r in rows) == [1, 2] and len({r["query"] for r in rows}) == 2
-    compact(spark, out, os.path.join(tmp_dir, "compact"))
-    one = spark.read.parquet(os.path.join(tmp_dir, "compact"))
-    assert sorted(r["id"] for r in one.collect()) == [1, 2] and "query" not in one.columns
+    before = read_routes(spark, out)
+    compact(spark, out)
+    again = read_routes(spark, out)
+    assert sorted(r["id"] for r in again.collect()) == [1, 2] and len(versions.live(spark, out)) == 1
+    assert sorted(r["id"] for r in before.collect()) == [1, 2]   # a reader under way keeps its folders
+    leaves = {d for d, _, names in os.walk(f"{out}/data/{versions.live(spark, out)[0]}") if any(n.endswith(".parquet") for n in names)}
+    assert len(leaves) == 1                                      # one route, one day
+    days = {(r["id_salarie"], r["nb"]) for r in read_day_counts(spark, out).collect()}
+    assert days == {(1, 1), (2, 1)}
+    await_end(start_ingest(spark, src + "1", out, os.path.join(tmp_dir, "ck1"), params=p, available_now=True))
+    assert read_routes(spark, out).count() == 2
+    compact(spark, out)                                          # now the first batches are deleted
+    kept = [d for _, dirs, _ in os.walk(f"{out}/data") for d in dirs if d.startswith("batch_id=")]
+    assert read_routes(spark, out).count() == 2 and len(kept) == 2
 
 
 def test_sink_without_rows_is_an_empty_table(spark, tmp_dir):
@@ -212,15 +228,122 @@ def test_totals_count_every_batch(spark, tmp_dir):
     assert len(q.recentProgress) <= 2
 
 
-def test_undated_rows_leave_no_state(spark, tmp_dir):
+def test_undated_rows_are_deduplicated_by_key(spark, tmp_dir):
+    """In one batch, over batches, and after a restart that replays everything; the watermark evicts them in the end."""
+    src, out, ck = (os.path.join(tmp_dir, n) for n in ("src", "out", "ck"))
+    lines = [env(1, 1, None), env(2, 1, None, dist=5), env(3, 1, Y3000), env(4, 1, None, "Judo")]
+    write_files(src, [lines, [env(5, 1, None), env(6, 1, Y3000)]])
+    run = lambda: await_end(start_ingest(spark, src, out, ck, available_now=True, max_files_per_trigger=1))
+    run()
+    write_files(src, [lines], start=2)
+    run()
+    rows = read_routes(spark, out).collect()
+    assert len(rows) == 3 and all(r["route"] == "quarantine" for r in rows)
+
+
+def test_undated_keys_are_evicted(spark, tmp_dir):
+    """State does not grow for ever: a key without event time goes when the watermark passes its arrival."""
+    import time
     src = os.path.join(tmp_dir, "src")
-    write_files(src, [[env(1, 1, None), env(2, 1, None), env(3, 1, Y3000), env(4, 1, None, "Judo")]])
+    now = int(time.time() * 1e6)
+    write_files(src, [[env(1, 1, None), env(2, 2, None)], [env(3, 1, now + 30 * H)], [env(4, 1, now + 30 * H + 1)], [env(5, 1, now + 30 * H + 2)]])
+    rows = decode_changes(read_cdc_stream(spark, src, max_files_per_trigger=1))
+    out = dedup_stream(rows, watermark="1 hour", gate_future_s=40 * 3600, remember="1 minute")
     with Totals(spark) as totals:
-        q = start_ingest(spark, src, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"), available_now=True)
+        q = (out.writeStream.foreachBatch(lambda df, i: df.count()).option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+             .trigger(availableNow=True).start())
         await_end(q)
-        assert totals.of(q)["state_rows"] == 0
-    rows = read_routes(spark, os.path.join(tmp_dir, "out")).collect()
-    assert len(rows) == 3 and all(r["route"] == "quarantine" for r in rows)  # 1 and 2 repeat each other
+        assert totals.of(q)["state_rows"] == 3   # the dated ones
+
+
+def test_half_written_batch_is_invisible(spark, tmp_dir):
+    """Rows without a log entry are not read; a retry of a listed batch changes nothing."""
+    src, out, ck = (os.path.join(tmp_dir, n) for n in ("src", "out", "ck"))
+    write_files(src, [[env(1, 1, T)]])
+    p = Params(as_of=dt.datetime(2030, 1, 1))
+    await_end(start_ingest(spark, src, out, ck, params=p, available_now=True))
+    listed = versions.live(spark, out)
+    shutil.copytree(f"{out}/data/{listed[0]}", f"{out}/data/query=other/batch_id=9")
+    assert read_routes(spark, out).count() == 1 and "query=other/batch_id=9" not in versions.live(spark, out)
+    assert versions.is_settled(spark, out, listed[0]) and not versions.is_settled(spark, out, "query=other/batch_id=9")
+
+
+def test_unreadable_distance_is_told(spark, tmp_dir):
+    src, p = os.path.join(tmp_dir, "src"), Params(as_of=dt.datetime(2030, 1, 1))
+    lines = [env(1, 1, T, dist="12"), env(2, 2, T, dist=12.5), env(3, 3, T, dist=12), env(4, 4, T), env(5, None, T, dist=3_000_000_000)]
+    write_files(src, [lines])
+    for policy, routes in (("flag", {1: "valid", 2: "valid"}), ("quarantine", {1: "quarantine", 2: "quarantine"})):
+        out = os.path.join(tmp_dir, policy)
+        await_end(start_ingest(spark, src, out, out + "-ck", params=p, available_now=True, unreadable_policy=policy))
+        got = {r["id"]: (r["route"], r["reasons"], r["distance_m"]) for r in read_routes(spark, out).collect()}
+        assert got == {1: (routes[1], "distance_unparsable", None), 2: (routes[2], "distance_unparsable", None), 3: ("valid", "", 12),
+                       4: ("valid", "", None), 5: ("quarantine", "distance_unparsable,id_salarie_absent", None)}
+
+
+def test_stream_and_reconciliation_equal_one_batch_run(spark, tmp_dir):
+    """However the rows are cut into batches, the late ones come back; a second reconciliation adds nothing."""
+    import random
+    p = Params(as_of=dt.datetime(2030, 1, 1))
+    for seed in range(3):
+        rng = random.Random(seed)
+        lines = [env(i, rng.choice([1, 2, None]), rng.choice([None, Y3000] + [T + h * H for h in range(-40, 40, 4)]),
+                     rng.choice(["Tennis", "Judo"]), rng.choice([None, 5])) for i in range(60)]
+        src, out = os.path.join(tmp_dir, f"src{seed}"), os.path.join(tmp_dir, f"out{seed}")
+        write_files(src, [lines[i:i + 12] for i in range(0, 60, 12)])
+        with Totals(spark) as totals:
+            q = start_ingest(spark, src, out, out + "-ck", params=p, available_now=True, max_files_per_trigger=1)
+            await_end(q)
+            assert totals.of(q)["late"] > 0
+        added = reconcile(spark, src, out, params=p)
+        keys = lambda df: sorted(repr((r["id_salarie"], r["date_debut"], r["sport_type"], r["route"])) for r in df.collect())
+        rows = decode_changes(read_cdc_stream(spark, src, stream=False))
+        from vitalflow.operators.routing import with_route
+        assert added > 0 and keys(read_routes(spark, out)) == keys(with_route(rows.dropDuplicates(["id_salarie", "date_debut", "sport_type"]), p))
+        assert reconcile(spark, src, out, params=p) == 0
+
+
+def test_day_counts_give_any_lookback(spark, tmp_dir):
+    from vitalflow.operators import gold
+    from vitalflow.sources.fixtures import Fixtures
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    write_records(Fixtures(spark, "/root/testdata/sf0.001").cdc(), src)
+    await_end(start_ingest(spark, src, out, out + "-ck", params=Params(as_of=dt.datetime(2024, 1, 31)), fmt="records", available_now=True))
+    rows, days = read_routes(spark, out, "valid"), read_day_counts(spark, out)
+    for as_of, back in ((dt.datetime(2024, 1, 31), 7), (dt.datetime(2024, 1, 20, 13), 3), (dt.datetime(2024, 2, 20), 365), (dt.datetime(2025, 1, 1), 1)):
+        q = Params(as_of=as_of, lookback_days=back)
+        assert sorted(map(tuple, gold.count_from_days(days, q).collect())) == sorted(map(tuple, gold.count_activities(rows, q).collect()))
+
+
+def test_tombstones_reach_the_stream(spark, tmp_dir):
+    """A record without value is read, decoded to nothing and dropped; key and offset come along."""
+    src = os.path.join(tmp_dir, "src")
+    when = dt.datetime(2024, 1, 1)
+    rows = [("k1", None, 0, 1, when), ("k2", env(1, 1, T), 0, 2, when), (None, "{not json", 1, 3, when)]
+    write_records(spark.createDataFrame(rows, RECORD_SCHEMA), src)
+    got = read_cdc_stream(spark, src, fmt="records", stream=False)
+    assert sorted((r["key"] or "", r["value"] is None, r["offset"]) for r in got.collect()) == [("", False, 3), ("k1", True, 1), ("k2", False, 2)]
+    with Totals(spark) as totals:
+        q = start_ingest(spark, src, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"), fmt="records", available_now=True)
+        await_end(q)
+        assert totals.of(q)["input_rows"] == 3
+    assert [r["id"] for r in read_routes(spark, os.path.join(tmp_dir, "out")).collect()] == [1]
+
+
+def test_notifier_keeps_one_directory(spark, tmp_dir):
+    """A replaced referential is taken up by the next batch; one stored directory is kept, and none is written without need."""
+    from vitalflow.sources.files import exists
+    from vitalflow.sources.tables import write_table
+    from vitalflow.streaming.notifier import Directory
+    ref = os.path.join(tmp_dir, "ref")
+    hr = lambda name: spark.createDataFrame([(5, "Ada", name)], "id_salarie int, prenom string, nom string")
+    write_table(hr("Byron"), ref)
+    d = Directory(spark, ref)
+    first, at = d.now(), d._at
+    assert first.first()["nom_complet"] == "Ada Byron" and d.now() is first
+    write_table(hr("Lovelace"), ref)
+    assert d.now().first()["nom_complet"] == "Ada Lovelace" and not exists(spark, at) and exists(spark, d._at)
+    d.close()
+    assert Directory(spark, os.path.join(tmp_dir, "none")).now() is None
 
 
 def test_files_of_a_day_are_bounded(spark, tmp_dir):
@@ -228,7 +351,7 @@ def test_files_of_a_day_are_bounded(spark, tmp_dir):
     write_files(src, [[env(n, n, T, "Tennis") for n in range(200)]])
     await_end(start_ingest(spark, src, out, os.path.join(tmp_dir, "ck"), params=Params(as_of=dt.datetime(2030, 1, 1)),
                            available_now=True, files=2))
-    files = [f for d, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    files = [f for d, _, names in os.walk(f"{out}/data") for f in names if f.endswith(".parquet")]
     assert 1 <= len(files) <= 2 and read_routes(spark, out, "valid").count() == 200
 
 

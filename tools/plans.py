@@ -21,7 +21,7 @@ from vitalflow.session import build_session  # noqa: E402
 from vitalflow.sources.tables import read_table, write_table  # noqa: E402
 from vitalflow.streaming.ingest import dedup_stream  # noqa: E402
 from vitalflow.operators.cdc import decode_changes  # noqa: E402
-from vitalflow.sources.cdc import read_cdc_stream  # noqa: E402
+from vitalflow.sources.cdc import read_cdc_stream, write_records  # noqa: E402
 
 
 def tree(df) -> str:
@@ -48,7 +48,7 @@ def main():
     write_table(gold.eligibility(bronze, ref, f.params), f"{out}/elig")
     elig = read_table(spark, f"{out}/elig")
     src = f"{out}/landing"
-    f.fx.cdc().write.text(src)
+    write_records(f.fx.cdc(), src)
     sections = [
         ("Batch dedup of the landing table", dedup.dedup_batch(f.landing)),
         ("Look-back count over bronze (route and day partitions)", gold.count_activities(bronze, f.params)),
@@ -57,7 +57,7 @@ def main():
         ("Bronze checks + orphan check in one pass", quality.bronze_and_integrity(bronze, ref, f.params)),
         ("What-if threshold grid", whatif.threshold_grid(elig, 30, params=f.params)),
         ("Streaming ingest: decode, watermark, dedup (streaming plan)",
-         dedup_stream(decode_changes(read_cdc_stream(spark, src)), gate_future_s=300)),
+         dedup_stream(decode_changes(read_cdc_stream(spark, src, fmt="records"), unreadable=True), gate_future_s=300)),
     ]
     print("# Physical plans of the key operators\n")
     print(f"Generated by `tools/plans.py` on `{sf}` with broadcast joins disabled "
@@ -65,7 +65,7 @@ def main():
           "the dedup is a partial + final aggregate (no window); the look-back scan carries PartitionFilters "
           "on route and day plus PushedFilters on date_debut and reads two columns; joins on employee id "
           "reuse the partitioning of the per-employee aggregate; the what-if grid has two exchanges; "
-          "the streaming dedup keys include the event-time column so its state is evicted.\n")
+          "the streaming dedup reads the source once, and its state is evicted by the event-time column.\n")
     for title, df in sections:
         body = tree(df).strip().replace("file:" + out, "<out>").replace(out, "<out>")
         print(f"## {title}\n\n```\n{body}\n```\n")

@@ -44,10 +44,16 @@ def is_valid(as_of: dt.datetime | None = None, caps: dict[str, int] | None = Non
 
 
 def reject_rules(as_of: dt.datetime | None = None, caps: dict[str, int] | None = None,
-                 default: int = DEFAULT_CAP_M, time_type: str = "timestamp_ntz") -> list[tuple[str, Column]]:
-    """(reason code, violation predicate) for every rule behind ``is_valid``."""
+                 default: int = DEFAULT_CAP_M, time_type: str = "timestamp_ntz",
+                 unreadable: str | None = None) -> list[tuple[str, Column]]:
+    """(reason code, violation predicate) for every rule behind ``is_valid``.
+
+    ``unreadable`` names the flag of a distance that is no integer. It gives a reason but does not
+    decide the route: the distance is NULL, which passes.
+    """
     d = F.col("distance_m")
     return [
+        *([("distance_unparsable", F.col(unreadable))] if unreadable else []),
         ("id_salarie_absent", F.col("id_salarie").isNull()),
         ("sport_absent", F.col("sport_type").isNull()),
         ("distance_negative", d < 0),
@@ -58,10 +64,10 @@ def reject_rules(as_of: dt.datetime | None = None, caps: dict[str, int] | None =
 
 
 def reasons(as_of: dt.datetime | None = None, caps: dict[str, int] | None = None,
-            default: int = DEFAULT_CAP_M, time_type: str = "timestamp_ntz") -> Column:
+            default: int = DEFAULT_CAP_M, time_type: str = "timestamp_ntz", unreadable: str | None = None) -> Column:
     """array<string> of the violated rules (empty for a valid row)."""
     return F.array_compact(F.array(*[F.when(p, F.lit(code)) for code, p in
-                                     reject_rules(as_of, caps, default, time_type)]))
+                                     reject_rules(as_of, caps, default, time_type, unreadable)]))
 
 
 # --- HR / gold flags --------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,23 +34,25 @@ def full_name(first, last) -> Column:
     return F.concat_ws(" ", _c(first), _c(last))
 
 
-def fill_template(template: Column, values: dict[str, Column]) -> Column:
-    """Replace each ``{key}`` placeholder of a template Column by a string Column.
+def fill_template(template: str, values: dict[str, Column]) -> Column:
+    """The template with each ``{key}`` replaced by its value: one ``concat``, split here and not per row.
 
-    The template is split at its placeholders once and its parts are joined, so a brace inside a
-    value stays as it is. A NULL value prints as ``None``, as Python's ``str.format`` would.
+    A brace inside a value stays as it is, and an unknown placeholder too. A NULL value prints as
+    ``None``, as Python's ``str.format`` would.
     """
-    known = F.create_map(*[x for key, value in values.items()
-                           for x in (F.lit(key), F.coalesce(value.cast("string"), F.lit("None")))])
-    parts = F.split(template, "(?=\\{[a-z]+\\})|(?<=\\})")  # a part is a placeholder or plain text
-    name = lambda p: F.regexp_extract(p, "^\\{([a-z]+)\\}$", 1)
-    return F.array_join(F.transform(parts, lambda p: F.coalesce(F.get(F.map_values(
-        F.map_filter(known, lambda k, _: k == name(p))), F.lit(0)), p)), "")
-
-
-def pick(templates: list[str], key) -> Column:
-    """Deterministic choice of one template by ``pmod(key, n)`` (stands in for a random pick)."""
-    return F.element_at(F.array(*[F.lit(t) for t in templates]), F.pmod(_c(key), F.lit(len(templates))).cast("int") + 1)
+    parts = [p for p in re.split(r"(\{[a-z]+\})", template) if p]
+    filled = [F.coalesce(values[p[1:-1]].cast("string"), F.lit("None")) if p[0] == "{" and p[1:-1] in values else F.lit(p)
+              for p in parts]
+    return F.concat(F.lit(""), *filled)
+
+
+def pick_filled(templates: list[str], key, values: dict[str, Column]) -> Column:
+    """One of the templates, filled: chosen by ``pmod(key, n)`` (stands in for a random pick); NULL for a NULL key."""
+    at = F.pmod(_c(key), F.lit(len(templates)))
+    out = F.when(at == 0, fill_template(templates[0], values))
+    for i, t in enumerate(templates[1:], 1):
+        out = out.when(at == i, fill_template(t, values))
+    return out
 
 
 def with_comment(text, comment) -> Column:

@@ -1,7 +1,8 @@
 """Command-line jobs: the pipeline's runs as ``spark-submit`` / ``python -m vitalflow.jobs <job>``.
 
     ingest       CDC change stream -> bronze / quarantine sink (one streaming query)
-    compact      a sink's batch folders -> one folder per route and day
+    compact      a sink's batch folders -> one folder per route and day, in place
+    reconcile    landed change events -> appends to the sink what the watermark dropped as late
     referential  HR sheet (+ sport sheet) + measured distances -> referential table
     gold         bronze + referential + parameters -> eligibility and KPI tables
     whatif       eligibility -> threshold grid table (dashboard sliders)
@@ -23,11 +24,11 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import quality, referential, whatif
+from .operators import gold, quality, referential, whatif
 from .params import Params, load_params
 from .schemas import modes_table
 from .sources.tables import LAKE_FORMAT, preview, read_distances, read_hr, read_table, write_table
-from .streaming.ingest import SINK_KEYS, await_end, compact, read_routes, start_ingest
+from .streaming.ingest import SINK_KEYS, await_end, compact, read_day_counts, read_routes, reconcile, start_ingest
 from .streaming.notifier import start_notifications
 
 
@@ -54,14 +55,20 @@ def _bronze(spark: SparkSession, path: str) -> DataFrame:
 def job_ingest(spark, args) -> None:
     q = start_ingest(spark, args.source, args.out, args.checkpoint, params=_params(spark, args), fmt=args.format,
                      topic=args.topic, bootstrap=args.bootstrap, delay=args.watermark,
-                     gate_future=not args.no_future_gate, null_policy=args.null_policy,
+                     gate_future=not args.no_future_gate, null_policy=args.null_policy, unreadable_policy=args.unreadable_policy,
                      max_files_per_trigger=args.max_files_per_trigger,
                      max_offsets_per_trigger=args.max_offsets_per_trigger, available_now=args.available_now)
     await_end(q)
 
 
 def job_compact(spark, args) -> None:
-    compact(spark, args.sink, args.out)
+    compact(spark, args.sink)
+
+
+def job_reconcile(spark, args) -> None:
+    n = reconcile(spark, args.source, args.sink, params=_params(spark, args), fmt=args.format, null_policy=args.null_policy,
+                  unreadable_policy=args.unreadable_policy)
+    print(f"{n} late row(s) added")
 
 
 def job_referential(spark, args) -> None:
@@ -78,7 +85,9 @@ def job_referential(spark, args) -> None:
 def job_gold(spark, args) -> None:
     from .plans.medallion import run_gold
     p = _params(spark, args)
-    kpis = run_gold(spark, _bronze(spark, args.bronze), read_table(spark, args.referential), p, args.out)
+    # the sink keeps its activities counted per day: the look-back is a sum over these, not a scan of the rows
+    counts = gold.count_from_days(read_day_counts(spark, args.bronze), p)
+    kpis = run_gold(spark, None, read_table(spark, args.referential), p, args.out, counts)
     kpis.show(truncate=False)
 
 
@@ -114,7 +123,8 @@ def job_preview(spark, args) -> None:
     print(f"total rows: {df.agg(F.count(F.lit(1))).first()[0]}")
 
 
-JOBS = {"ingest": job_ingest, "compact": job_compact, "referential": job_referential, "gold": job_gold, "whatif": job_whatif,
+JOBS = {"ingest": job_ingest, "compact": job_compact, "reconcile": job_reconcile,
+        "referential": job_referential, "gold": job_gold, "whatif": job_whatif,
         "quality": job_quality, "notify": job_notify, "preview": job_preview}
 
 
@@ -125,8 +135,8 @@ def parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="job", required=True)
 
     def stream_args(p):
-        p.add_argument("--source", required=True, help="folder of JSON lines, or ignored with --format kafka")
-        p.add_argument("--format", default="text", choices=["text", "kafka"])
+        p.add_argument("--source", required=True, help="folder of JSON lines or of records, or ignored with --format kafka")
+        p.add_argument("--format", default="text", choices=["text", "records", "kafka"])
         p.add_argument("--topic")
         p.add_argument("--bootstrap")
         p.add_argument("--out", required=True)
@@ -139,17 +149,28 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--as-of", help="clock for reproducible runs, e.g. 2024-01-31T00:00:00")
         p.add_argument("--lookback-days", type=int)
 
+    def policy_args(p):
+        p.add_argument("--null-policy", default="quarantine", choices=["quarantine", "drop"])
+        p.add_argument("--unreadable-policy", default="flag", choices=["flag", "quarantine"],
+                       help="a distance that is no integer: a reason only, or quarantine")
+
     p = sub.add_parser("ingest")
     stream_args(p)
     param_args(p)
     p.add_argument("--watermark", default="2 hours")
     p.add_argument("--no-future-gate", action="store_true")
-    p.add_argument("--null-policy", default="quarantine", choices=["quarantine", "drop"])
+    policy_args(p)
     p.add_argument("--max-files-per-trigger", type=int)
 
     p = sub.add_parser("compact")
     p.add_argument("--sink", required=True, help="ingest sink folder")
-    p.add_argument("--out", required=True, help="folder of the compacted copy")
+
+    p = sub.add_parser("reconcile")
+    p.add_argument("--source", required=True, help="the folder that the ingest reads")
+    p.add_argument("--format", default="text", choices=["text", "records"])
+    p.add_argument("--sink", required=True, help="ingest sink folder")
+    param_args(p)
+    policy_args(p)
 
     p = sub.add_parser("referential")
     p.add_argument("--hr", required=True)

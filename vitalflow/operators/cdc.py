@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import clock, from_micros
-from ..schemas import ACTIVITY_COLUMNS
-from ..sources.cdc import decode_envelope, parse_envelope
+from ..sources.cdc import decode_envelope, image_columns, parse_envelope
 
 
 def drop_deletes(df: DataFrame) -> DataFrame:
@@ -20,8 +19,7 @@ def drop_deletes(df: DataFrame) -> DataFrame:
 def decode_with_guard_flag(df: DataFrame, value: str = "value") -> DataFrame:
     """Decoded envelope plus ``after_present`` (the change carries a row image)."""
     return (parse_envelope(df, value)
-            .select(*[F.col(f"e.payload.after.{c}").alias(c) for c in ACTIVITY_COLUMNS],
-                    F.col("e.payload.op").alias("op"),
+            .select(*image_columns(), F.col("e.payload.op").alias("op"),
                     F.col("e.payload.after").isNotNull().alias("after_present")))
 
 
@@ -51,6 +49,10 @@ def cast_times(df: DataFrame, as_of: dt.datetime | None = None, ntz: bool = Fals
     return out.drop("op") if "op" in df.columns else out
 
 
-def decode_changes(raw: DataFrame, as_of: dt.datetime | None = None, ntz: bool = False) -> DataFrame:
-    """value -> typed activity rows of the bronze job: decode, drop deletes, cast times."""
-    return cast_times(drop_deletes(decode_envelope(raw)), as_of, ntz)
+def decode_changes(raw: DataFrame, as_of: dt.datetime | None = None, ntz: bool = False, arrival: bool = False,
+                   unreadable: bool = False) -> DataFrame:
+    """value -> typed activity rows of the bronze job: decode, drop deletes, cast times.
+
+    ``arrival`` and ``unreadable`` add the columns of the same name from :func:`decode_envelope`.
+    """
+    return cast_times(drop_deletes(decode_envelope(raw, arrival=arrival, unreadable=unreadable)), as_of, ntz)

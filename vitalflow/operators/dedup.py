@@ -10,19 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.cdc import ARRIVAL
+
 DEDUP_KEYS = ["id_salarie", "date_debut", "sport_type"]
 
 
-def dedup_batch(df: DataFrame, keys: list[str] | None = None, order: str = "id") -> DataFrame:
-    """One row per key: the row with the lowest ``order`` value wins (deterministic).
+def dedup_batch(df: DataFrame, keys: list[str] | None = None, order: str | list[str] | None = None) -> DataFrame:
+    """One row per key: the first in ``order`` wins (deterministic).
 
-    ``min(struct(order, ...))`` compares the struct field by field, so the
-    first field decides; NULL keys form their own group, as in the stream.
+    Without ``order`` the first arrival wins where the changes' order was decoded
+    (``sources.cdc.ARRIVAL``), else the lowest id. ``min(struct(order, ...))`` compares the struct
+    field by field, and the remaining columns settle ties; an unknown place comes last. NULL
+    keys form their own group, as in the stream.
     """
     keys = keys or DEDUP_KEYS
-    rest = [c for c in df.columns if c not in keys and c != order]
-    first = F.min(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    if order is None:
+        order = [*[c for c in ARRIVAL if c in df.columns], "id"]
+    order = [order] if isinstance(order, str) else order
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    by = [x for c in order for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    first = F.min(F.struct(*by, *[F.col(c) for c in rest])).alias("_first")
+    return df.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, key: str = "id_salarie") -> DataFrame:

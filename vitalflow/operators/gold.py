@@ -38,15 +38,34 @@ def count_activities(bronze: DataFrame, params: Params) -> DataFrame:
             .groupBy("id_salarie").agg(F.count(F.lit(1)).alias("nb_activites_12mois")))
 
 
+def day_counts(bronze: DataFrame, day: str = "jour") -> DataFrame:
+    """Activities per employee and day of their start: what any look-back over whole days is a sum of."""
+    return bronze.groupBy("id_salarie", day).agg(F.count(F.lit(1)).alias("nb"))
+
+
+def count_from_days(counts: DataFrame, params: Params) -> DataFrame:
+    """``count_activities`` from day counts: a sum over the look-back's days (the bound reaches the scan).
+
+    The look-back starts at midnight, so whole days are exact.
+    """
+    start = window_start(params.as_of, params.lookback_days, "date")
+    return (counts.where(F.col("jour") >= start).groupBy("id_salarie")
+            .agg(F.sum("nb").cast("bigint").alias("nb_activites_12mois")))
+
+
 def join_counts(hr_std: DataFrame, counts: DataFrame) -> DataFrame:
     """HR left join the counts; employees without activity get 0."""
     return hr_std.join(counts, "id_salarie", "left").fillna(0, subset=["nb_activites_12mois"])
 
 
-def eligibility(bronze: DataFrame, referential: DataFrame, params: Params) -> DataFrame:
-    """One row per employee with both benefits decided (internal: carries the salary)."""
+def eligibility(bronze: DataFrame | None, referential: DataFrame, params: Params, counts: DataFrame | None = None) -> DataFrame:
+    """One row per employee with both benefits decided (internal: carries the salary).
+
+    ``counts`` are the activities per employee in the look-back, if they are known already
+    (``count_from_days``); else they are counted from ``bronze``.
+    """
     p = params
-    joined = join_counts(standardise_hr(referential), count_activities(bronze, p))
+    joined = join_counts(standardise_hr(referential), count_activities(bronze, p) if counts is None else counts)
     # flags are built as expressions over the joined columns and added in one projection
     mode = rules.active_mode()
     bonus = rules.bonus_eligible(mode)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import is_blank
 from ..functions.rules import cap_for
-from ..functions.text import fill_template, full_name, km_text, pick, whole_km_text, with_comment
+from ..functions.text import fill_template, full_name, km_text, pick_filled, whole_km_text, with_comment
 from ..functions.time import clock, duration_min
 from ..schemas import DEFAULT_CAP_M
 from .routing import time_type
@@ -76,13 +76,13 @@ def alert_reasons(as_of: dt.datetime | None = None, tolerance_s: int = 300,
     """array<string> of anomaly texts (truthiness semantics: 0 and '' count as absent)."""
     d, sport, start = F.col("distance_m"), F.col("sport_type"), F.col("date_debut")
     cap = cap_for(sport, caps, default)
-    above = fill_template(F.lit(REASON_ABOVE_CAP), {
+    above = fill_template(REASON_ABOVE_CAP, {
         "sport": F.coalesce(sport, F.lit("None")), "km": km_text(d), "cap": whole_km_text(cap)})
     limit = F.timestamp_add("SECOND", F.lit(int(tolerance_s)), clock(as_of, tt))
     return F.array_compact(F.array(
         F.when(is_blank("id_salarie", "number"), F.lit(REASON_NO_ID)),
         F.when(is_blank("sport_type"), F.lit(REASON_NO_SPORT)),
-        F.when(d < 0, fill_template(F.lit(REASON_NEGATIVE), {"d": d.cast("string")})),
+        F.when(d < 0, fill_template(REASON_NEGATIVE, {"d": d.cast("string")})),
         F.when((d >= 0) & (d > cap), above),
         F.when(start.isNotNull() & (start > limit), F.lit(REASON_FUTURE)),
     ))
@@ -90,18 +90,16 @@ def alert_reasons(as_of: dt.datetime | None = None, tolerance_s: int = 300,
 
 def praise_text() -> Column:
     """Praise message for an activity without anomaly (expects ``nom_affiche``)."""
-    has_distance = ~is_blank("distance_m", "number")
-    tpl = F.when(has_distance, pick(PRAISE_WITH_DISTANCE, "id")).otherwise(pick(PRAISE_WITHOUT_DISTANCE, "id"))
     duree = F.coalesce(duration_min("date_debut", "date_fin").cast("string"), F.lit(UNKNOWN_DURATION))
-    text = fill_template(tpl, {"nom": F.col("nom_affiche"), "sport": F.col("sport_type"),
-                               "distance": km_text("distance_m"), "duree": duree})
+    values = {"nom": F.col("nom_affiche"), "sport": F.col("sport_type"), "distance": km_text("distance_m"), "duree": duree}
+    text = (F.when(~is_blank("distance_m", "number"), pick_filled(PRAISE_WITH_DISTANCE, "id", values))
+            .otherwise(pick_filled(PRAISE_WITHOUT_DISTANCE, "id", values)))
     return with_comment(text, F.col("commentaire"))
 
 
 def alert_text(reasons_col: Column) -> Column:
     """Multi-line alert with name, reasons and status (expects ``nom_affiche``)."""
-    tpl = F.lit("\n".join(ALERT_LINES))
-    return fill_template(tpl, {"nom": F.col("nom_affiche"), "anomalies": F.array_join(reasons_col, ", ")})
+    return fill_template("\n".join(ALERT_LINES), {"nom": F.col("nom_affiche"), "anomalies": F.array_join(reasons_col, ", ")})
 
 
 def with_anomalies(events: DataFrame, as_of: dt.datetime | None = None, tolerance_s: int = 300,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import three_state_anomaly
 from ..schemas import DISTANCE_SCHEMA, modes_table
+from ..sources.tables import ROW_ORDER
 
 HR_STD_COLUMNS = ["id_salarie", "bu", "salaire_brut", "moyen_declare", "distance_km", "distance_anormale"]
 
@@ -47,13 +48,15 @@ def with_sports(hr: DataFrame, sport: DataFrame | None) -> DataFrame:
 def practice_flag(hr: DataFrame, sport: DataFrame | None, order: str | None = None) -> DataFrame:
     """``pratique_declaree``: the employee's last sheet row names a practice.
 
-    ``order`` is the sheet's row order. A sheet without one has no last row: there any named
-    practice counts. Reduced to one row per id first (partial aggregation), so a repeated id
+    ``order`` is the sheet's row order; by default the one that the reader gave it. A sheet without
+    one has no last row: there any named practice counts. An employee who is not in the sheet declared
+    nothing. Reduced to one row per id first (partial aggregation), so a repeated id
     never concentrates in one task.
     """
     if sport is None:
         return hr.withColumn("pratique_declaree", F.lit(False))
-    last = F.max_by("pratique", order) if order else F.max("pratique")
+    order = order or (ROW_ORDER if ROW_ORDER in sport.columns else None)
+    last = F.max(F.struct(F.col(order), F.col("pratique")))["pratique"] if order else F.max("pratique")
     one = sport.groupBy("id_salarie").agg(last.alias("_pratique"))
     return (hr.join(one, "id_salarie", "left")
             .withColumn("pratique_declaree", F.col("_pratique").isNotNull()).drop("_pratique"))
@@ -110,6 +113,8 @@ def build_referential(spark: SparkSession, hr: DataFrame, distances: DataFrame |
     distances = no_distances(spark) if distances is None else distances
     modes = modes if modes is not None else modes_table(spark)
     base = with_sports(hr, sport) if sport is not None else hr
+    if sport is not None:
+        base = practice_flag(base, sport)
     enriched = with_distance(with_mode_rules(base, modes), distances)
     keep = [c for c in base.columns if c not in ("distance_km", "distance_anormale")]
     return enriched.select(*keep, "distance_km",

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.rules import is_valid, reasons
 from ..params import Params
+from ..sources.cdc import UNREADABLE
 
 VALID, QUARANTINE, UNROUTED = "valid", "quarantine", "unrouted"
 
@@ -38,20 +39,26 @@ def time_type(df: DataFrame, col: str = "date_debut") -> str:
 
 
 def with_route(df: DataFrame, params: Params, null_policy: str = "quarantine",
-               caps: dict[str, int] | None = None, with_reasons: bool = True) -> DataFrame:
+               caps: dict[str, int] | None = None, with_reasons: bool = True,
+               unreadable_policy: str = "flag") -> DataFrame:
     """Add ``route`` (valid / quarantine / unrouted) and ``reasons`` in one projection.
 
     The rule is three-valued: NULL (start date missing, all else fine) is
     ``unrouted``; ``null_policy="quarantine"`` (default) sends it to
     quarantine, ``"drop"`` keeps the reference behaviour where it is lost.
+    If the rows carry the flag of an unreadable distance, it is taken off and becomes the reason
+    ``distance_unparsable``; with ``unreadable_policy="quarantine"`` it decides the route as well.
     """
+    unreadable = UNREADABLE if UNREADABLE in df.columns else None
     tt = time_type(df)
     rule = is_valid(params.as_of, caps, time_type=tt)
+    if unreadable and unreadable_policy == "quarantine":
+        rule = rule & ~F.col(unreadable)
     null_route = QUARANTINE if null_policy == "quarantine" else UNROUTED
     cols = [F.when(rule, F.lit(VALID)).when(~rule, F.lit(QUARANTINE)).otherwise(F.lit(null_route)).alias("route")]
     if with_reasons:
-        cols.append(reasons(params.as_of, caps, time_type=tt).alias("reasons"))
-    return df.select("*", *cols)
+        cols.append(reasons(params.as_of, caps, time_type=tt, unreadable=unreadable).alias("reasons"))
+    return df.select(*[c for c in df.columns if c != unreadable], *cols)
 
 
 DAY = "jour"

@@ -1,25 +1,40 @@
 """What-if tables for the dashboard sliders: every wellness threshold, and named scenarios.
 
-No cross join with the employee table: employees are reduced to a histogram
-of capped activity counts per BU (partial aggregation); every histogram row is
-expanded to the max_t + 1 thresholds and one grouped sum gives "count >= t"
-per (BU, threshold). Everything after the histogram is bounded by BU x (max_t + 1)^2.
+No join with the employee table: employees are reduced to a histogram of activity counts per
+BU (partial aggregation). The thresholds of interest join it as rows without employees, and a
+running sum per BU from the highest count down gives "count >= t" at each of them. The rows
+after the histogram are as many as its own and the thresholds together, per BU.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..params import Params
 
 
-def _histogram(elig: DataFrame, max_t: int) -> DataFrame:
-    b = F.least(F.greatest(F.col("nb_activites_12mois"), F.lit(0)), F.lit(max_t)).cast("int")
-    return (elig.groupBy("bu", b.alias("seuil"))
-            .agg(F.count(F.lit(1)).alias("k"),
-                 F.count_if(F.coalesce(F.col("eligible_prime"), F.lit(False))).alias("k_prime"),
-                 F.sum(F.when(F.col("eligible_prime"), F.col("salaire_brut"))).alias("masse_prime")))
+def _suffix_sums(elig: DataFrame, count: Column, thresholds: Column) -> DataFrame:
+    """bu, t, nb_salaries, at_least (employees with count >= t), nb_eligibles_prime, masse: one row per BU and threshold.
+
+    ``thresholds``: an array column of the thresholds. A histogram row and a threshold of the
+    same value meet in one row, so the running sum from the top includes it.
+    """
+    hist = elig.groupBy("bu", count.alias("t")).agg(
+        F.count(F.lit(1)).alias("k"),
+        F.count_if(F.coalesce(F.col("eligible_prime"), F.lit(False))).alias("k_prime"),
+        F.sum(F.when(F.col("eligible_prime"), F.col("salaire_brut"))).alias("masse"))
+    # one row per BU with its histogram: as long as there are different counts
+    per_bu = hist.groupBy("bu").agg(
+        F.collect_list(F.struct("t", "k", F.lit(False).alias("asked"))).alias("h"), F.sum("k").alias("nb_salaries"),
+        F.sum("k_prime").alias("nb_eligibles_prime"), F.sum("masse").alias("masse"))
+    asked = F.transform(thresholds, lambda t: F.struct(t.alias("t"), F.lit(0).cast("bigint").alias("k"), F.lit(True).alias("asked")))
+    rows = per_bu.select("bu", "nb_salaries", "nb_eligibles_prime", "masse", F.explode(F.concat("h", asked)).alias("x"))
+    of_bu = ["nb_salaries", "nb_eligibles_prime", "masse"]
+    at = rows.groupBy("bu", F.col("x.t").alias("t")).agg(
+        F.sum("x.k").alias("k"), F.max("x.asked").alias("asked"), *[F.max(c).alias(c) for c in of_bu])
+    down = Window.partitionBy("bu").orderBy(F.col("t").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return at.withColumn("at_least", F.sum("k").over(down)).where("asked").drop("k", "asked")
 
 
 def threshold_grid(elig: DataFrame, max_t: int = 30, days: int | None = None,
@@ -27,21 +42,14 @@ def threshold_grid(elig: DataFrame, max_t: int = 30, days: int | None = None,
     """Per (bu, seuil in 0..max_t): staff, wellness-eligible staff (count >= seuil), days granted,
     bonus-eligible staff and their salary mass (cost = rate x mass, linear in the rate).
 
-    Each histogram row (bu, capped count b, k employees) is expanded to every
-    threshold t and contributes k where b >= t; one small grouped sum then
-    gives the whole grid (at most BU x (max_t + 1)^2 rows in flight).
+    Counts above ``max_t`` are one histogram row, so a BU has at most 2 x (max_t + 1) rows in flight.
     """
     days = days if days is not None else (params.jours_bien_etre_accordes if params else 5)
-    hist = _histogram(elig, max_t)
-    t = F.col("t")
-    grid = (hist.select("*", F.explode(F.sequence(F.lit(0), F.lit(max_t))).alias("t"))
-            .groupBy("bu", t.alias("seuil"))
-            .agg(F.sum("k").cast("long").alias("nb_salaries"),
-                 F.sum(F.when(F.col("seuil") >= t, F.col("k")).otherwise(F.lit(0))).cast("long")
-                 .alias("nb_eligibles_bien_etre"),
-                 F.sum("k_prime").cast("long").alias("nb_eligibles_prime"),
-                 F.sum("masse_prime").alias("masse_salariale_prime")))
-    return grid.withColumn("total_jours_bien_etre", F.col("nb_eligibles_bien_etre") * F.lit(int(days)))
+    capped = F.least(F.greatest(F.col("nb_activites_12mois"), F.lit(0)), F.lit(max_t)).cast("int")
+    grid = _suffix_sums(elig, capped, F.sequence(F.lit(0), F.lit(max_t)))
+    return grid.select(
+        "bu", F.col("t").alias("seuil"), "nb_salaries", F.col("at_least").alias("nb_eligibles_bien_etre"), "nb_eligibles_prime",
+        F.col("masse").alias("masse_salariale_prime"), (F.col("at_least") * F.lit(int(days))).alias("total_jours_bien_etre"))
 
 
 def scenarios_table(spark: SparkSession, scenarios: list[tuple[str, float, int, int]]) -> DataFrame:
@@ -49,46 +57,28 @@ def scenarios_table(spark: SparkSession, scenarios: list[tuple[str, float, int,
     return spark.createDataFrame(scenarios, "scenario string, taux_prime double, seuil int, jours int")
 
 
-MOST_SCENARIOS = 10_000   # rows of a scenario list, which is broadcast
-MOST_THRESHOLDS = 1_000   # distinct thresholds in one list
-
-
 def scenario_kpis(elig: DataFrame, scenarios: DataFrame, money_scale: int | None = 4) -> DataFrame:
     """KPIs per (scenario, bu) without recomputing eligibility, at exactly the thresholds listed.
 
     An employee is wellness-eligible at a threshold if their count is at least as large; a NULL
-    threshold is an error. Employees are grouped per BU by how many of the listed thresholds they
-    reach, so a BU has at most one row more than there are thresholds, whatever their values. The
-    list is a parameter of a few rows; its size is checked before it is broadcast.
+    threshold is an error. The distinct thresholds are a parameter and come to the driver as such; every
+    BU has a row for each of them, and the scenarios (of any number) are joined to these by threshold.
     """
-    rows = scenarios.select("seuil").limit(MOST_SCENARIOS + 1).collect()
-    if len(rows) > MOST_SCENARIOS:
-        raise ValueError(f"more than {MOST_SCENARIOS} scenarios")
-    if any(r["seuil"] is None for r in rows):
+    listed = [r["seuil"] for r in scenarios.select("seuil").distinct().collect()]
+    if None in listed:
         raise ValueError("a scenario has no threshold (seuil)")
-    listed = sorted({r["seuil"] for r in rows})
-    if len(listed) > MOST_THRESHOLDS:
-        raise ValueError(f"more than {MOST_THRESHOLDS} thresholds")
-    thresholds = F.array(*[F.lit(t) for t in listed]).cast("array<int>")
-    reached = F.size(F.filter(thresholds, lambda t: t <= F.col("nb_activites_12mois")))
-    by_reach = (elig.groupBy("bu", reached.alias("reached"))
-                .agg(F.count(F.lit(1)).alias("k"),
-                     F.count_if(F.coalesce(F.col("eligible_prime"), F.lit(False))).alias("k_prime"),
-                     F.sum(F.when(F.col("eligible_prime"), F.col("salaire_brut"))).alias("masse_prime")))
-    grid = (by_reach.select("*", F.posexplode(thresholds).alias("at", "t"))
-            .groupBy("bu", "t")
-            .agg(F.sum("k").cast("long").alias("nb_salaries"),
-                 F.sum(F.when(F.col("reached") > F.col("at"), F.col("k")).otherwise(F.lit(0))).cast("long")
-                 .alias("nb_eligibles_bien_etre"),
-                 F.sum("k_prime").cast("long").alias("nb_eligibles_prime"),
-                 F.sum("masse_prime").alias("masse")))
-    j = grid.join(F.broadcast(scenarios.select("scenario", "taux_prime", "jours", "seuil")), F.col("t") == F.col("seuil"))
+    # as one text literal: an array of literals would be one expression per threshold
+    thresholds = F.split(F.lit(",".join(str(t) for t in sorted(listed))), ",").cast("array<int>")
+    if not listed:
+        thresholds = F.array().cast("array<int>")
+    grid = _suffix_sums(elig, F.col("nb_activites_12mois").cast("int"), thresholds)
+    j = grid.join(scenarios.select("scenario", "taux_prime", "jours", "seuil"), F.col("t") == F.col("seuil"))
     cost = F.coalesce(F.col("masse") * F.col("taux_prime"), F.lit(0.0))
     if money_scale is not None:
         cost = F.round(cost, money_scale)
     return j.select(
         "scenario", "bu", "nb_salaries", "nb_eligibles_prime",
         cost.alias("cout_total_prime"),
-        "nb_eligibles_bien_etre",
-        (F.col("nb_eligibles_bien_etre") * F.col("jours")).cast("long").alias("total_jours_bien_etre"),
+        F.col("at_least").alias("nb_eligibles_bien_etre"),
+        (F.col("at_least") * F.col("jours")).cast("long").alias("total_jours_bien_etre"),
     )

@@ -21,8 +21,8 @@ from ..params import TEST_PARAMS
 from ..schemas import KNOWN_SPORTS, caps_table, modes_table
 from ..sources import fixtures
 from ..session import scratch_path
-from ..sources.cdc import decode_envelope, read_cdc_stream
-from ..sources.tables import preview, read_hr, read_table
+from ..sources.cdc import ARRIVAL, UNREADABLE, decode_envelope, read_cdc_stream, write_records
+from ..sources.tables import preview, read_hr, read_table, stored
 from .medallion import Flow
 
 P = TEST_PARAMS
@@ -50,14 +50,11 @@ def _motifs(col="reasons"):
 
 @register("src_cdc_stream")
 def q_src_cdc_stream(spark, sf):
-    """The change stream's content: JSON lines landed in a folder and read back by the source.
-
-    A line cannot tell a tombstone (no value), so those are not in it.
-    """
-    from .medallion import land
+    """The change stream's records, landed in a folder and read back by the source; a tombstone has a key and no value."""
     path = scratch_path(spark, f"src-cdc-{uuid.uuid4().hex}")
-    land(_flow(spark, sf).fx.cdc(), path)
-    return read_cdc_stream(spark, path, stream=False)
+    write_records(_flow(spark, sf).fx.cdc(), path)
+    records = read_cdc_stream(spark, path, fmt="records", stream=False)
+    return records.withColumn("timestamp", ftime.utc_wall(F.col("timestamp")))
 
 
 @register("cdc_decode")
@@ -187,8 +184,9 @@ def q_join_hr_sport(spark, sf):
 
 @register("declared_practice_flag")
 def q_declared_practice_flag(spark, sf):
+    """The practice sheet has several rows for an employee, some of them blank: the last one counts."""
     f = _flow(spark, sf)
-    return referential.practice_flag(f.hr, f.fx.sport()).select("id_salarie", "pratique_declaree")
+    return referential.practice_flag(f.hr, f.fx.sport_rows(), order="ligne").select("id_salarie", "pratique_declaree")
 
 
 @register("orphan_activities")
@@ -236,7 +234,9 @@ def q_whatif_grid(spark, sf):
 
 @register("activity_count")
 def q_activity_count(spark, sf):
-    return gold.count_activities(_flow(spark, sf).bronze, P)
+    """The look-back's activities per employee, summed from a stored table of counts per day."""
+    days = stored(gold.day_counts(_flow(spark, sf).bronze.select("id_salarie", F.to_date("date_debut").alias("jour"))), "day-counts")
+    return gold.count_from_days(days, P)
 
 
 @register("eligibility")
@@ -297,7 +297,16 @@ def q_duplicate_ids(spark, sf):
 
 @register("dedup_batch")
 def q_dedup_batch(spark, sf):
-    return _flow(spark, sf).deduplicated
+    """The first image of each (employee, start, sport) in the order of the changes."""
+    return dedup.dedup_batch(_flow(spark, sf).fx.changes()).drop("op", *ARRIVAL)
+
+
+@register("cdc_arrival")
+def q_cdc_arrival(spark, sf):
+    """The image that stays of each key, with its time and place as its envelope tells them."""
+    envelopes = fixtures.change_envelopes(_flow(spark, sf).fx.changes())
+    rows = cdc.decode_changes(envelopes, as_of=P.as_of, ntz=True, arrival=True)
+    return dedup.dedup_batch(rows).select("id", "distance_m", "change_ms", "log_position")
 
 
 # --- G. set operations -------------------------------------------------------------
@@ -379,8 +388,9 @@ def q_fn_append_comment(spark, sf):
 
 @register("fn_reason_array")
 def q_fn_reason_array(spark, sf):
-    d = _flow(spark, sf).deduplicated
-    return d.select("id", F.concat_ws(",", rules.reasons(P.as_of)).alias("motifs"))
+    """Reasons of every change, with a distance that is no integer told from a missing one."""
+    d = cdc.decode_changes(_flow(spark, sf).fx.cdc(), as_of=P.as_of, ntz=True, unreadable=True)
+    return d.select("id", F.concat_ws(",", rules.reasons(P.as_of, unreadable=UNREADABLE)).alias("motifs"))
 
 
 @register("fn_json")
@@ -408,11 +418,7 @@ def q_fn_truthy(spark, sf):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf):
-    """Keys that survive the streaming dedup (an availableNow run) and how many rows have them.
-
-    A dated key is there once. Undated and far-future rows have no event time: those that differ
-    in more than the id stay.
-    """
+    """Keys that survive the streaming dedup (an availableNow run) and how many rows have them: one, dated or not."""
     keys = _stream_rows(_ingested(spark, sf)).select(*dedup.DEDUP_KEYS)
     return keys.groupBy(*dedup.DEDUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
 
@@ -424,42 +430,40 @@ def _ingested(spark, sf) -> DataFrame:
 
 
 def _stream_rows(df):
-    """Every column but the id (of twins, which differ by it alone, either may arrive first) and the clock."""
-    return df.select("id_salarie", ftime.utc_wall(F.col("date_debut")).alias("date_debut"), "sport_type", "distance_m",
-                     ftime.utc_wall(F.col("date_fin")).alias("date_fin"), "commentaire", "reasons", "route")
+    """The sink's rows without what arrival decides: the id (twins differ by it alone), the clock, and of
+    rows without event time, whose key stands for several activities, all but key and route."""
+    start = ftime.utc_wall(F.col("date_debut"))
+    timed = start <= F.current_timestamp().cast("timestamp_ntz")
+    of_one = lambda c: F.when(timed, F.col(c)).alias(c)
+    return df.select("id_salarie", start.alias("date_debut"), "sport_type", of_one("distance_m"),
+                     F.when(timed, ftime.utc_wall(F.col("date_fin"))).alias("date_fin"), of_one("commentaire"),
+                     of_one("reasons"), "route")
 
 
 @register("stream_route")
 def q_stream_route(spark, sf):
-    """The real streaming ingest (one availableNow run) over the change events derived from the tables.
-
-    Which twin of a repeated key survives is arrival order; twins differ by their ids alone,
-    so every other column is in the result.
-    """
+    """The real streaming ingest (one availableNow run) over the change records derived from the tables."""
     return _stream_rows(_ingested(spark, sf))
 
 
 LATE_CUT = "2024-01-15 00:00:00"
 
 
-def _restart_runs(spark, sf):
+def _restart_runs(spark, sf, reconciled: bool = False):
     """Three ingest runs on one checkpoint: rows from LATE_CUT on (and undated), the same rows
     replayed after a restart, then the older rows after another restart."""
-    from ..sources.fixtures import cdc_envelopes
+    from ..sources.fixtures import cdc_records
     from .medallion import run_stream_restarts
     d = _flow(spark, sf).landing
     old = F.col("date_debut") < F.lit(LATE_CUT).cast("timestamp_ntz")
-    recent = cdc_envelopes(d.filter(~old | F.col("date_debut").isNull()))
-    return run_stream_restarts(spark, [recent, recent, cdc_envelopes(d.filter(old))], P)
+    recent = cdc_records(d.filter(~old | F.col("date_debut").isNull()))
+    return run_stream_restarts(spark, [recent, recent, cdc_records(d.filter(old))], P, reconciled=reconciled)
 
 
 @register("stream_checkpoint")
 def q_stream_checkpoint(spark, sf):
-    """Sink rows after restart + replay + late rows, with the number of copies.
-
-    The replay adds no dated row and the older rows are late. Undated and far-future rows are not
-    kept in the state, so the replay brings them once more.
-    """
+    """Sink rows after restart + replay + late rows, with the number of copies: the replay adds
+    nothing, dated or not, and the older rows are late."""
     sink, _ = _restart_runs(spark, sf)
     rows = _stream_rows(sink)
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
@@ -467,21 +471,21 @@ def q_stream_checkpoint(spark, sf):
 
 @register("stream_late_drop")
 def q_stream_late_drop(spark, sf):
-    """Watermark reached by the first run and rows dropped as late by the last run (from query progress)."""
-    _, stats = _restart_runs(spark, sf)
-    row = [(stats[0]["watermark"], int(stats[-1]["late"]))]
-    df = spark.createDataFrame(row, "filigrane string, n_tardives_ignorees long")
-    return df.select(ftime.utc_wall(F.to_timestamp("filigrane")).alias("filigrane"), "n_tardives_ignorees")
+    """Watermark reached by the first run and rows dropped as late by the last run (from query progress), and the
+    rows of the sink once the batch reconciliation has added what was late."""
+    sink, stats = _restart_runs(spark, sf, reconciled=True)
+    row = [(stats[0]["watermark"], int(stats[-1]["late"]), sink.count())]
+    df = spark.createDataFrame(row, "filigrane string, n_tardives_ignorees long, n_apres_rattrapage long")
+    return df.select(ftime.utc_wall(F.to_timestamp("filigrane")).alias("filigrane"), "n_tardives_ignorees", "n_apres_rattrapage")
 
 
 @register("stream_watermark")
 def q_stream_watermark(spark, sf):
     """Event time of each change in a running stream: the start time, NULL when later than now + tolerance."""
     from ..streaming.ingest import EVENT_TIME, await_end, with_watermark
-    from .medallion import land
     root = scratch_path(spark, f"stream-watermark-{uuid.uuid4().hex}")
-    land(_flow(spark, sf).fx.cdc(), f"{root}/landing")
-    rows = cdc.decode_changes(read_cdc_stream(spark, f"{root}/landing"))
+    write_records(_flow(spark, sf).fx.cdc(), f"{root}/landing")
+    rows = cdc.decode_changes(read_cdc_stream(spark, f"{root}/landing", fmt="records"))
     timed = with_watermark(rows, "2 hours", gate_future_s=P.future_tolerance_s).select("id", EVENT_TIME)
     await_end(timed.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
               .trigger(availableNow=True).start(f"{root}/out"))
@@ -529,9 +533,6 @@ def q_sink_notify(spark, sf):
 @register("sink_overwrite")
 def q_sink_overwrite(spark, sf):
     """The eligibility table written in overwrite mode and read back."""
-    import uuid
-
-    from ..session import scratch_path
     from ..sources.tables import write_table
     path = scratch_path(spark, f"sink-overwrite-{uuid.uuid4().hex}")
     elig = _flow(spark, sf).eligibility

@@ -8,6 +8,7 @@ table used twice is computed once.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from ..operators import dedup, gold, notify, quality, referential, routing
 from ..params import TEST_PARAMS, Params
 from ..schemas import modes_table
+from ..session import scratch_path
+from ..sources.cdc import write_records
 from ..sources.fixtures import Fixtures
 from ..sources.tables import read_table, stored, write_table
 
@@ -106,77 +109,64 @@ def read_route(spark: SparkSession, out_dir: str, route: str) -> DataFrame:
     return read_table(spark, f"{out_dir}/activities_routed").filter(F.col("route") == route).drop("route")
 
 
-def run_stream_ingest_once(spark: SparkSession, envelopes: DataFrame, params: Params,
-                           null_policy: str = "quarantine", progress: list | None = None) -> DataFrame:
-    """Land change events as JSON lines, run the streaming ingest to completion (availableNow),
-    and return the routed sink table.
-
-    Every folder lives under the shared checkpoint folder of the session, in a
-    fresh sub-folder per run.
-    """
-    import uuid
+def _stream_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one run, under the shared checkpoint folder of the session."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
-    from ..session import scratch_path
-    from ..streaming.ingest import Totals, await_end, read_routes, start_ingest
-    root = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex}")
-    land(envelopes, f"{root}/landing")
-    with Totals(spark) as totals:
-        q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
-                         params=params, null_policy=null_policy, available_now=True)
-        await_end(q)
-        if progress is not None:
-            progress.append({"active": q.isActive, **totals.of(q)})
-    return read_routes(spark, f"{root}/routed")
 
-
-def land(envelopes: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Change events as JSON lines (a tombstone has no line)."""
-    envelopes.filter(F.col("value").isNotNull()).write.mode(mode).text(path)
+def run_stream_ingest_once(spark: SparkSession, records: DataFrame, params: Params,
+                           null_policy: str = "quarantine", progress: list | None = None) -> DataFrame:
+    """Land change records, run the streaming ingest to completion (availableNow), and return the
+    routed sink table."""
+    sink, stats = run_stream_restarts(spark, [records], params, null_policy)
+    if progress is not None:
+        progress += stats
+    return sink
 
 
 def run_stream_restarts(spark: SparkSession, phases: list[DataFrame], params: Params,
-                        null_policy: str = "quarantine") -> tuple[DataFrame, list[dict]]:
+                        null_policy: str = "quarantine", reconciled: bool = False) -> tuple[DataFrame, list[dict]]:
     """Run the streaming ingest once per phase on ONE checkpoint (a restart between phases).
 
-    Each phase appends its change events to the landing folder and runs to
-    completion (availableNow). Returns the sink table and, per run, the
-    watermark reached and the rows dropped as late.
+    Each phase appends its change records to the landing folder and runs to
+    completion (availableNow). Returns the sink table and, per run, the rows read, the
+    watermark reached and the rows dropped as late. ``reconciled`` adds those afterwards.
     """
-    import uuid
-
-    from ..session import scratch_path
-    from ..streaming.ingest import Totals, await_end, read_routes, start_ingest
-    root = scratch_path(spark, f"stream-restarts-{uuid.uuid4().hex}")
+    from ..streaming.ingest import Totals, await_end, read_routes, reconcile, start_ingest
+    root = _stream_folder(spark, "stream-ingest")
     stats = []
-    for envelopes in phases:
-        land(envelopes, f"{root}/landing", mode="append")
+    for records in phases:
+        write_records(records, f"{root}/landing", mode="append")
         with Totals(spark) as totals:
-            q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint",
+            q = start_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/checkpoint", fmt="records",
                              params=params, null_policy=null_policy, available_now=True)
             await_end(q)
-            stats.append(totals.of(q))
+            stats.append({"active": q.isActive, **totals.of(q)})
+    if reconciled:
+        reconcile(spark, f"{root}/landing", f"{root}/routed", params=params, fmt="records", null_policy=null_policy)
     return read_routes(spark, f"{root}/routed"), stats
 
 
-def run_stream_notifier_once(spark: SparkSession, envelopes: DataFrame, directory: DataFrame | None,
+def run_stream_notifier_once(spark: SparkSession, records: DataFrame, directory: DataFrame | None,
                              tolerance_s: int = 300) -> DataFrame:
-    """Land change events, run the streaming notifier to completion, return the messages table."""
-    import uuid
-
-    from ..session import scratch_path
+    """Land change records, run the streaming notifier to completion, return the messages table."""
     from ..streaming.ingest import await_end
     from ..streaming.notifier import read_messages, start_notifications
-    root = scratch_path(spark, f"stream-notify-{uuid.uuid4().hex}")
-    land(envelopes, f"{root}/landing")
-    q = start_notifications(spark, f"{root}/landing", directory, f"{root}/checkpoint",
+    root = _stream_folder(spark, "stream-notify")
+    write_records(records, f"{root}/landing")
+    q = start_notifications(spark, f"{root}/landing", directory, f"{root}/checkpoint", fmt="records",
                             out_root=f"{root}/messages", available_now=True, tolerance_s=tolerance_s)
     await_end(q)
     return read_messages(spark, f"{root}/messages")
 
 
-def run_gold(spark: SparkSession, bronze: DataFrame, ref: DataFrame, params: Params, out_dir: str) -> DataFrame:
-    """Write the eligibility table, then KPIs from the written table (computed once)."""
-    write_table(gold.eligibility(bronze, ref, params), f"{out_dir}/eligibilite")
+def run_gold(spark: SparkSession, bronze: DataFrame | None, ref: DataFrame, params: Params, out_dir: str,
+             counts: DataFrame | None = None) -> DataFrame:
+    """Write the eligibility table, then KPIs from the written table (computed once).
+
+    With ``counts`` (the look-back's activities per employee) bronze is not read.
+    """
+    write_table(gold.eligibility(bronze, ref, params, counts), f"{out_dir}/eligibilite")
     elig = read_table(spark, f"{out_dir}/eligibilite")
     write_table(gold.kpis(elig, params), f"{out_dir}/kpis_par_bu")
     return read_table(spark, f"{out_dir}/kpis_par_bu")

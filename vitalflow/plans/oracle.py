@@ -149,6 +149,9 @@ def with_base(sql: str) -> str:
 
 # --- pieces reused by several keys ------------------------------------------------
 
+UNREADABLE = "(id % 1000000000 % 157 = 0 AND distance_m >= 0)"   # its distance is sent as a text
+
+
 def _cdc_decoded(more: str = "") -> str:
     """Expected decode of the planted change stream, straight from fx_dirty."""
     return f"""
@@ -157,12 +160,13 @@ def _cdc_decoded(more: str = "") -> str:
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE id_salarie END AS id_salarie,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE epoch_us(date_debut) END AS date_debut,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE sport_type END AS sport_type,
-    CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE distance_m END AS distance_m,
+    CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 OR {UNREADABLE} THEN NULL ELSE distance_m END AS distance_m,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE epoch_us(date_fin) END AS date_fin,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN NULL ELSE commentaire END AS commentaire,
     CASE WHEN id % 79 = 0 OR id % 83 = 0 THEN NULL WHEN id % 97 = 0 THEN 'd' WHEN id % 71 = 0 THEN 'c'
          WHEN id % 61 = 0 THEN 'u' WHEN id % 67 = 0 THEN 'r' ELSE 'c' END AS op,
-    CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN FALSE ELSE TRUE END AS after_present{more}
+    CASE WHEN id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0 THEN FALSE ELSE TRUE END AS after_present,
+    NOT (id % 79 = 0 OR id % 83 = 0 OR id % 97 = 0 OR id % 71 = 0) AND COALESCE({UNREADABLE}, FALSE) AS illisible{more}
   FROM fx_dirty"""
 
 
@@ -347,16 +351,22 @@ def build() -> dict[str, str]:
     dec = f"SELECT {DEC_COLS}, op FROM ({_cdc_decoded()})"
     S["cdc_decode"] = dec
     S["src_cdc_stream"] = """
-SELECT CASE WHEN id % 83 = 0 THEN '{not json'
+SELECT '{"payload":{"id":' || CAST(id AS VARCHAR) || '}}' AS key,
+       CASE WHEN id % 79 = 0 THEN NULL
+            WHEN id % 83 = 0 THEN '{not json'
             WHEN id % 97 <> 0 AND id % 71 = 0 THEN '{"payload":{"after":null,"op":"c"}}'
-            ELSE CAST(to_json({'payload': {'before': CASE WHEN op = 'd' THEN img END,
+            WHEN id % 1000000000 % 157 = 0 THEN regexp_replace(text, '"distance_m":([0-9]+)', '"distance_m":"\\1"', 'g')
+            ELSE text END AS value,
+       CAST(id % 4 AS INTEGER) AS partition, CAST(floor(id / 4) AS BIGINT) AS "offset",
+       make_timestamp((1706745600000 + id) * 1000) AS "timestamp"
+FROM (SELECT id, CAST(to_json({'payload': {'before': CASE WHEN op = 'd' THEN img END,
                                            'after': CASE WHEN op <> 'd' THEN img END,
-                                           'op': op}}) AS VARCHAR) END AS value
-FROM (SELECT id,
-        {'id': id, 'id_salarie': id_salarie, 'date_debut': epoch_us(date_debut), 'sport_type': sport_type,
-         'distance_m': distance_m, 'date_fin': epoch_us(date_fin), 'commentaire': commentaire} AS img,
-        CASE WHEN id % 97 = 0 THEN 'd' WHEN id % 61 = 0 THEN 'u' WHEN id % 67 = 0 THEN 'r' ELSE 'c' END AS op
-      FROM fx_dirty WHERE id % 79 <> 0)"""
+                                           'op': op}}) AS VARCHAR) AS text
+      FROM (SELECT id,
+              {'id': id, 'id_salarie': id_salarie, 'date_debut': epoch_us(date_debut), 'sport_type': sport_type,
+               'distance_m': distance_m, 'date_fin': epoch_us(date_fin), 'commentaire': commentaire} AS img,
+              CASE WHEN id % 97 = 0 THEN 'd' WHEN id % 61 = 0 THEN 'u' WHEN id % 67 = 0 THEN 'r' ELSE 'c' END AS op
+            FROM fx_dirty))"""
     S["cdc_drop_deletes"] = f"{dec} WHERE op <> 'd'"
     S["cdc_guard_empty"] = (f"SELECT {DEC_COLS}, op FROM ({_cdc_decoded()}) "
                             "WHERE after_present AND COALESCE(op <> 'd', TRUE)")
@@ -389,9 +399,14 @@ FROM (SELECT id,
                              "nb_activites_12mois FROM fx_joined")
     S["join_hr_sport"] = ("SELECT h.id_salarie, h.nom, s.pratique FROM fx_hr h "
                           "LEFT JOIN fx_sport s ON h.id_salarie = s.id_salarie")
-    S["declared_practice_flag"] = ("SELECT h.id_salarie, s.p IS NOT NULL AS pratique_declaree FROM fx_hr h "
-                                   "LEFT JOIN (SELECT id_salarie, max(pratique) AS p FROM fx_sport GROUP BY 1) s "
-                                   "ON h.id_salarie = s.id_salarie")
+    S["declared_practice_flag"] = """
+SELECT h.id_salarie, COALESCE(s.named, FALSE) AS pratique_declaree FROM fx_hr h LEFT JOIN (
+  SELECT id_salarie, pratique IS NOT NULL AS named FROM (
+    SELECT CAST(o_custkey AS INTEGER) AS id_salarie,
+      CASE WHEN o_orderkey % 5 <> 0 THEN CASE o_orderpriority WHEN '1-URGENT' THEN 'Tennis' ELSE 'Judo' END END AS pratique,
+      row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F') WHERE rn = 1) s
+ON h.id_salarie = s.id_salarie"""
     S["orphan_activities"] = ("SELECT id, id_salarie FROM fx_dirty a WHERE NOT EXISTS "
                               "(SELECT 1 FROM fx_hr h WHERE h.id_salarie IS NOT DISTINCT FROM a.id_salarie)")
     S["known_activities"] = ("SELECT id, id_salarie FROM fx_dirty a WHERE EXISTS "
@@ -439,7 +454,16 @@ FROM fx_elig"""
                              "FROM fx_quarantine WHERE motifs <> '') GROUP BY ALL")
     S["duplicate_ids"] = (f"SELECT id_salarie, count(*) - 1 AS nb_repetitions FROM {HR_REPEATS} "
                           "GROUP BY id_salarie HAVING count(*) > 1")
-    S["dedup_batch"] = "SELECT * FROM fx_dedup"
+    first_changes = """
+, fx_changes AS (
+  SELECT id, id_salarie, date_debut, sport_type,
+    CASE WHEN change = 0 THEN distance_m WHEN id % 14 = 0 THEN NULL ELSE distance_m - 1 END AS distance_m, date_fin, commentaire,
+    1706745600000 + 2 * id + CASE WHEN change = 1 AND id % 3 <> 0 THEN 1 ELSE 0 END AS change_ms, 2 * id + change AS log_position
+  FROM (SELECT *, unnest(CASE WHEN id % 7 = 0 THEN [0, 1] ELSE [0] END) AS change FROM fx_dirty)),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (
+  PARTITION BY id_salarie, date_debut, sport_type ORDER BY change_ms, log_position) AS rn FROM fx_changes) WHERE rn = 1)"""
+    S["dedup_batch"] = f"{first_changes} SELECT {ACT_COLS} FROM firsts"
+    S["cdc_arrival"] = f"{first_changes} SELECT id, distance_m, change_ms, log_position FROM firsts"
     S["split_partition_check"] = ("SELECT count(*) AS n_entree, CAST(0 AS BIGINT) AS n_manquantes, "
                                   "CAST(0 AS BIGINT) AS n_en_trop FROM fx_dedup")
     S["fn_epoch_micros"] = (f"SELECT id, date_debut AS debut_us, make_timestamp(date_debut) AS date_debut "
@@ -458,40 +482,34 @@ FROM fx_elig"""
     S["fn_template"] = f"SELECT id, {_praise()} AS texte FROM ({NAMED})"
     S["fn_append_comment"] = ("SELECT id, CASE WHEN length(COALESCE(commentaire, '')) > 0 "
                               "THEN sport_type || ' (\"' || commentaire || '\")' ELSE sport_type END AS texte FROM fx_dirty")
-    S["fn_reason_array"] = f"SELECT id, {REASONS} AS motifs FROM fx_dedup"
+    told = (f"SELECT id, id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m, "
+            f"make_timestamp(date_fin) AS date_fin, commentaire, illisible FROM ({_cdc_decoded()}) WHERE op <> 'd'")
+    change_reasons = REASONS.replace("concat_ws(',', ", "concat_ws(',', CASE WHEN illisible THEN 'distance_unparsable' END, ", 1)
+    S["fn_reason_array"] = f"SELECT id, {change_reasons} AS motifs FROM ({told})"
     S["fn_json"] = ("SELECT CASE WHEN after_present THEN id END AS id, op, NOT after_present AS after_absent "
                     f"FROM ({_cdc_decoded()})")
     S["fn_three_state_anomaly"] = "SELECT id_salarie, moyen_declare, distance_km, distance_anormale FROM fx_ref"
     S["fn_truthy"] = ("SELECT id, COALESCE(sport_type, '') = '' AS sport_vide, COALESCE(distance_m, 0) = 0 AS distance_vide, "
                       "COALESCE(commentaire, '') = '' AS commentaire_vide FROM fx_dirty")
-    # what the sink holds: twins differ by their ids alone
-    stream_rows = (
-        f"SELECT DISTINCT id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire, {REASONS} AS reasons, "
-        f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ("
-        "SELECT id_salarie, make_timestamp(date_debut) AS date_debut, sport_type, distance_m, "
-        f"make_timestamp(date_fin) AS date_fin, commentaire FROM ({_cdc_decoded()}) WHERE op <> 'd')")
+    # what the sink holds: one row per key; what arrival decides is left out (see ``_stream_rows``)
+    def sink_rows(where: str = "TRUE") -> str:
+        timed = lambda c: f"CASE WHEN date_debut <= now()::TIMESTAMP THEN {c} END"
+        return (f"SELECT DISTINCT id_salarie, date_debut, sport_type, {timed('distance_m')} AS distance_m, {timed('date_fin')} AS date_fin, "
+                f"{timed('commentaire')} AS commentaire, {timed(change_reasons)} AS reasons, "
+                f"CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM ({told}) WHERE {where}")
+    stream_rows = sink_rows()
     S["stream_route"] = stream_rows
     S["stream_dedup"] = f"SELECT id_salarie, date_debut, sport_type, count(*) AS n FROM ({stream_rows}) GROUP BY ALL"
     normal = "id % 79 <> 0 AND id % 83 <> 0 AND id % 97 <> 0 AND id % 71 <> 0"
     cut = "TIMESTAMP '2024-01-15 00:00:00'"
-    # a row without event time comes once for each of the three runs that reads it; the second run
-    # replays the first one's rows, the third reads the older ones, whose dated rows are late
-    cols = "id_salarie, date_debut, sport_type, distance_m, date_fin, commentaire, reasons, route"
-    undated = "date_debut IS NULL OR date_debut > now()::TIMESTAMP"
-    S["stream_checkpoint"] = f"""
-, runs AS (SELECT id_salarie, make_timestamp(c.date_debut) AS date_debut, sport_type, distance_m,
-             make_timestamp(date_fin) AS date_fin, commentaire, unnest(c.runs) AS run
-           FROM (SELECT *, CASE WHEN sent < {cut} THEN [3] ELSE [1, 2] END AS runs FROM ({_cdc_decoded(", date_debut AS sent")})
-                 WHERE op <> 'd') c),
-told AS (SELECT DISTINCT *, {REASONS} AS reasons, CASE WHEN {VALID} THEN 'valid' ELSE 'quarantine' END AS route FROM runs)
-SELECT {cols}, CASE WHEN {undated} THEN count(*) ELSE 1 END AS n FROM told
-WHERE date_debut IS NULL OR date_debut >= {cut} GROUP BY {cols}"""
+    S["stream_checkpoint"] = f"SELECT *, CAST(1 AS BIGINT) AS n FROM ({sink_rows(f'date_debut IS NULL OR date_debut >= {cut}')})"
     S["stream_late_drop"] = (
         # the streaming watermark is kept in milliseconds: max event time truncated to ms, minus the delay
         "SELECT (SELECT date_trunc('millisecond', max(date_debut)) - INTERVAL 2 HOUR FROM fx_dirty "
         f"WHERE {normal} AND date_debut >= {cut} AND date_debut <= now()::TIMESTAMP + INTERVAL 300 SECOND) AS filigrane, "
-        f"(SELECT count(*) FROM fx_dirty WHERE {normal} AND date_debut < {cut}) AS n_tardives_ignorees")
-    S["stream_await"] = "SELECT TRUE AS termine, count(*) FILTER (WHERE id % 79 <> 0) AS n_messages_lus FROM fx_dirty"
+        f"(SELECT count(*) FROM fx_dirty WHERE {normal} AND date_debut < {cut}) AS n_tardives_ignorees, "
+        f"(SELECT count(*) FROM ({stream_rows})) AS n_apres_rattrapage")
+    S["stream_await"] = "SELECT TRUE AS termine, count(*) AS n_messages_lus FROM fx_dirty"
     S["stream_watermark"] = ("SELECT id, CASE WHEN date_debut > now()::TIMESTAMP + INTERVAL 300 SECOND THEN NULL "
                              "ELSE date_debut END AS temps_evenement FROM (SELECT id, make_timestamp(date_debut) AS date_debut "
                              f"FROM ({_cdc_decoded()}) WHERE op <> 'd')")

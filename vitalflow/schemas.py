@@ -5,10 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# --- CDC wire format -------------------------------------------------------
-# The ``after`` image of one ``activities`` row as it arrives on the change
-# stream: times are microseconds since the epoch.
-AFTER_SCHEMA = T.StructType([
+# Measured commute distances (replaces one HTTP look-up per employee).
+DISTANCE_SCHEMA = T.StructType([
+    T.StructField("id_salarie", T.IntegerType()),
+    T.StructField("profile", T.StringType()),
+    T.StructField("metres", T.IntegerType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("measured_at", T.TimestampNTZType()),
+])
+
+PARAMS_SCHEMA = T.StructType([
+    T.StructField("taux_prime", T.DoubleType()),
+    T.StructField("seuil_activites_bien_etre", T.IntegerType()),
+    T.StructField("jours_bien_etre_accordes", T.IntegerType()),
+])
+
+# Source tables the fixtures are derived from (declared, so no footer inference per read).
+SOURCE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+}
+
+# --- Fixed values (must equal the agreed wire format, sheet headers and business rules) ----
+# CDC wire format: the ``after`` image of one ``activities`` row as it arrives on the change
+# stream (times are microseconds since the epoch), the kind of change, its time and its place in
+# the source's log.
+ACTIVITY_COLUMNS = ["id", "id_salarie", "date_debut", "sport_type", "distance_m", "date_fin", "commentaire"]
+
+IMAGE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("id_salarie", T.IntegerType()),
     T.StructField("date_debut", T.LongType()),
@@ -18,15 +44,19 @@ AFTER_SCHEMA = T.StructType([
     T.StructField("commentaire", T.StringType()),
 ])
 
+# As read: the distance keeps its JSON type, so that a text or a fraction can be told from a missing one.
+AFTER_SCHEMA = T.StructType([T.StructField(f.name, T.VariantType() if f.name == "distance_m" else f.dataType)
+                             for f in IMAGE_SCHEMA.fields])
+
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("payload", T.StructType([
         T.StructField("after", AFTER_SCHEMA),
+        T.StructField("source", T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("lsn", T.LongType())])),
         T.StructField("op", T.StringType()),
+        T.StructField("ts_ms", T.LongType()),
     ])),
 ])
 
-ACTIVITY_COLUMNS = ["id", "id_salarie", "date_debut", "sport_type", "distance_m", "date_fin", "commentaire"]
-
 # HR sheet as delivered (header names of the source sheet) and the
 # snake_case names used everywhere after ``standardise_hr``.
 HR_SHEET_SCHEMA = T.StructType([
@@ -53,30 +83,6 @@ HR_RENAMES = {
     "Pratique d'un sport": "pratique",
 }
 
-# Measured commute distances (replaces one HTTP look-up per employee).
-DISTANCE_SCHEMA = T.StructType([
-    T.StructField("id_salarie", T.IntegerType()),
-    T.StructField("profile", T.StringType()),
-    T.StructField("metres", T.IntegerType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("measured_at", T.TimestampNTZType()),
-])
-
-PARAMS_SCHEMA = T.StructType([
-    T.StructField("taux_prime", T.DoubleType()),
-    T.StructField("seuil_activites_bien_etre", T.IntegerType()),
-    T.StructField("jours_bien_etre_accordes", T.IntegerType()),
-])
-
-# Source tables the fixtures are derived from (declared, so no footer inference per read).
-SOURCE_SCHEMAS = {
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-               "o_orderdate timestamp_ntz, o_orderpriority string"),
-}
-
-# --- Fixed values (must equal the reference's business rules) ----------------
 # Distance caps in metres per sport label; any other label uses the default.
 DISTANCE_CAPS_M = {
     "Course": 42000,

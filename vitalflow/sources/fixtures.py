@@ -8,7 +8,7 @@ derivation is a plain projection/filter, so its cost grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SOURCE_SCHEMAS
@@ -32,6 +32,7 @@ MODE_BY_NATION_MOD4 = ["Marche/running", "Vélo/Trottinette/Autres", "Transports
 FIRST_NAME = "Ada"
 SPORT_BY_PRIORITY = [("1-URGENT", "Tennis"), ("2-HIGH", "Judo")]
 FAR_FUTURE = "2999-01-01 00:00:00"
+CHANGES_FROM_MS = 1_706_745_600_000   # 2024-02-01, when the change records begin
 # --- end of fixed values ------------------------------------------------------
 
 
@@ -137,22 +138,68 @@ def sport_sheet(orders: DataFrame) -> DataFrame:
             .distinct())
 
 
-def cdc_envelopes(dirty_df: DataFrame) -> DataFrame:
-    """The change stream as JSON lines, with planted envelope faults by id residue.
+def sport_rows(orders: DataFrame) -> DataFrame:
+    """fx_sport_rows: the sheet with its row order, a row per urgent or high fulfilled order, blank for every fifth order."""
+    sport = sql_case("o_orderpriority", SPORT_BY_PRIORITY[:1], SPORT_BY_PRIORITY[1][1])
+    return (orders.filter("o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F'")
+            .selectExpr("CAST(o_custkey AS INT) AS id_salarie",
+                        f"CASE WHEN o_orderkey % 5 <> 0 THEN {sport} END AS pratique", "o_orderkey AS ligne"))
+
+
+TWINS_APART = 1_000_000_000                      # a planted repeat's id is that much higher
+UNREADABLE_DISTANCE = r'"distance_m":([0-9]+)'   # planted: the number as a text
+
+
+def _envelopes(op: Column) -> Column:
+    """The envelope text with its planted faults by id residue (see ``cdc_records``)."""
+    i = F.col("id")
+    null_after = F.to_json(F.struct(F.struct(F.lit(None).cast("string").alias("after"),
+                                             F.lit("c").alias("op")).alias("payload")), JSON_OPTIONS)
+    text = envelope_json(op)
+    return (F.when(i % 79 == 0, F.lit(None).cast("string"))
+            .when(i % 83 == 0, F.lit("{not json"))
+            .when((i % 97 != 0) & (i % 71 == 0), null_after)
+            .when(i % TWINS_APART % 157 == 0, F.regexp_replace(text, UNREADABLE_DISTANCE, '"distance_m":"$1"'))
+            .otherwise(text))
+
+
+def cdc_records(dirty_df: DataFrame) -> DataFrame:
+    """The change stream as keyed records, with planted envelope faults by id residue.
 
-    id%79 tombstone (NULL value) | id%83 garbage text | id%97 delete |
-    id%71 create with NULL ``after`` | else update (id%61), snapshot (id%67) or create.
+    id%79 tombstone (no value) | id%83 garbage text | id%97 delete |
+    id%71 create with NULL ``after`` | id%10^9%157 distance as text (a row and its twin alike) | else update (id%61), snapshot (id%67) or create.
+    Four partitions by id; the offset and the record's time grow with the id.
     """
     i = F.col("id")
     op = (F.when(i % 97 == 0, F.lit("d")).when(i % 61 == 0, F.lit("u"))
           .when(i % 67 == 0, F.lit("r")).otherwise(F.lit("c")))
-    null_after = F.to_json(F.struct(F.struct(F.lit(None).cast("string").alias("after"),
-                                             F.lit("c").alias("op")).alias("payload")), JSON_OPTIONS)
-    value = (F.when(i % 79 == 0, F.lit(None).cast("string"))
-             .when(i % 83 == 0, F.lit("{not json"))
-             .when((i % 97 != 0) & (i % 71 == 0), null_after)
-             .otherwise(envelope_json(op)))
-    return dirty_df.select(value.alias("value"))
+    return dirty_df.select(
+        F.to_json(F.struct(F.struct(i.alias("id")).alias("payload"))).alias("key"),
+        _envelopes(op).alias("value"),
+        (i % 4).cast("int").alias("partition"), F.floor(i / 4).cast("bigint").alias("offset"),
+        F.timestamp_millis(F.lit(CHANGES_FROM_MS) + i).alias("timestamp"))
+
+
+def changes(dirty_df: DataFrame) -> DataFrame:
+    """fx_changes: the activity images with their change's kind, time and place; every id divisible by 7 is changed once.
+
+    The later image of such an id has another distance (NULL for id%14, else 1 m less), so only the order tells which came
+    first. Every third change shares its time with the one before, and the place in the log decides.
+    """
+    numbers = F.explode(F.when(F.col("id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_change")
+    later = F.col("_change") == 1
+    i = F.col("id")
+    metres = F.when(later, F.when(i % 14 == 0, F.lit(None)).otherwise(F.col("distance_m") - 1)).otherwise(F.col("distance_m"))
+    return dirty_df.select("*", numbers).select(
+        *[metres.cast("int").alias(c) if c == "distance_m" else F.col(c) for c in dirty_df.columns],
+        F.when(later, F.lit("u")).otherwise(F.lit("c")).alias("op"),
+        (F.lit(CHANGES_FROM_MS) + i * 2 + F.when(later & (i % 3 != 0), 1).otherwise(0)).alias("change_ms"),
+        (i * 2 + F.col("_change")).alias("log_position"))
+
+
+def change_envelopes(changed: DataFrame) -> DataFrame:
+    """``changes`` as envelopes that tell time and place."""
+    return changed.select(envelope_json(F.col("op"), ts_ms=F.col("change_ms"), lsn=F.col("log_position")).alias("value"))
 
 
 class Fixtures:
@@ -195,5 +242,11 @@ class Fixtures:
     def sport(self) -> DataFrame:
         return sport_sheet(self.table("orders"))
 
+    def sport_rows(self) -> DataFrame:
+        return sport_rows(self.table("orders"))
+
     def cdc(self) -> DataFrame:
-        return cdc_envelopes(self.dirty())
+        return cdc_records(self.dirty())
+
+    def changes(self) -> DataFrame:
+        return changes(self.dirty())

@@ -2,7 +2,7 @@
 
 Source at the latest offsets with its own checkpoint (replaces the consumer
 group). Each micro-batch is joined with the employee directory as it is then, so a directory that
-is rewritten while the query runs is taken up by the next batch; without a readable directory
+is replaced while the query runs is taken up by the next batch; without a directory
 the ids stand in for the names. Delivery is a user callback per micro-batch (``writer(df,
 batch_id)``), by default an idempotent write of the messages table.
 """
@@ -12,18 +12,19 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cdc import cast_times, decode_with_guard_flag, guard_empty
 from ..operators.notify import directory, messages
+from ..sources import versions
 from ..sources.cdc import read_cdc_stream
-from ..sources.tables import read_table, stored
+from ..sources.files import remove
+from ..sources.tables import read_table, stored_at
 
 LOG = logging.getLogger(__name__)
 MESSAGES_SCHEMA = "id bigint, id_salarie int, type_message string, texte string, query string, batch_id bigint"
-GONE = ("FAILED_READ_FILE.FILE_NOT_EXIST", "PATH_NOT_FOUND")
 
 
 def notification_stream(raw: DataFrame, dir_df: DataFrame | None, tolerance_s: int = 300) -> DataFrame:
@@ -32,18 +33,39 @@ def notification_stream(raw: DataFrame, dir_df: DataFrame | None, tolerance_s: i
     return messages(events, dir_df, as_of=None, tolerance_s=tolerance_s)
 
 
-def read_directory(spark: SparkSession, path: str) -> DataFrame | None:
-    """The directory of a referential table as it is now, or None (with a warning) if there is none.
+class Directory:
+    """The employee directory of a referential, kept as one written table with one row per id.
 
-    It is stored as a table with one row per id, so the join with a hot employee can be split.
+    Written because a join with a plain table can split a hot employee. It is written anew only when the
+    referential was replaced (its log tells), and the copy before it is deleted then: at most one is
+    kept. A referential without a log may change unseen, so it is read anew for every batch.
     """
-    try:
-        return stored(directory(read_table(spark, path)), "directory")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        LOG.warning("no employee directory at %s: names are replaced by ids", path)
-        return None
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path, self._seen, self._df, self._at = spark, path, None, None, None
+
+    def now(self) -> DataFrame | None:
+        """The directory as it is now, or None (with a warning) if there is none."""
+        seen = versions.live(self._spark, self._path) or None
+        if seen is not None and seen == self._seen:
+            return self._df
+        old = self._at
+        try:
+            self._df, self._at = stored_at(directory(read_table(self._spark, self._path)), "directory")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            LOG.warning("no employee directory at %s: names are replaced by ids", self._path)
+            self._df = self._at = None
+        self._seen = seen
+        if old:
+            remove(self._spark, old)
+        return self._df
+
+    def close(self) -> None:
+        if self._at:
+            remove(self._spark, self._at)
+        self._df = self._at = self._seen = None
 
 
 def table_writer(out_root: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
@@ -67,15 +89,14 @@ def start_notifications(spark: SparkSession, source: str, dir_or_path: DataFrame
     raw = read_cdc_stream(spark, source, fmt=fmt, topic=topic, bootstrap=bootstrap, starting="latest",
                           max_files_per_trigger=max_files_per_trigger, max_offsets_per_trigger=max_offsets_per_trigger)
     sink = writer or table_writer(out_root)
+    source_of_names: Directory | None = None
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        for last in (False, True):
-            try:
-                names = read_directory(batch.sparkSession, dir_or_path) if isinstance(dir_or_path, str) else dir_or_path
-                break
-            except PySparkException as e:  # rewritten while it was read: once more
-                if last or e.getCondition() not in GONE:
-                    raise
+        nonlocal source_of_names
+        names = dir_or_path
+        if isinstance(dir_or_path, str):
+            source_of_names = source_of_names or Directory(batch.sparkSession, dir_or_path)
+            names = source_of_names.now()
         sink(notification_stream(batch, names, tolerance_s), batch_id)
 
     w = raw.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
