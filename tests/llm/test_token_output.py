@@ -8,6 +8,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from vitalflow.llm import token_output as t
 
@@ -16,9 +18,11 @@ TEXTS = ["The Cat's toy, isn't it?", "é É ÀÉ École.", "a,b..c  d!.", "x" *
          "ﬁ Å Å ǆ Σς", "日本語 текст 123 4.5", "", " ", "😀👍🏽 ok", "don't'll 's s'", "áè.", "ÿ ß ÷ ×", "İ İ", "​ zero​width"]
 
 
+FRESH = Tokenizer.from_file(PATH)
+
+
 def whole(text):
-    w = t.words(PATH)
-    return w.tokenizer.encode(text, add_special_tokens=False).ids
+    return FRESH.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -87,7 +91,6 @@ SPECIAL = ["one <|endoftext|> two", "one<|endoftext|>two", "<|ENDOFTEXT|> <|endo
 
 
 def fresh(text):
-    from tokenizers import Tokenizer
     return Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
 
 
@@ -111,5 +114,39 @@ def test_special_strings_in_files(spark, docs_of):
 @given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", "|>", "endoftext", "A", "b.", " ", "'s", "\u0301"]), max_size=12))
 def test_random_texts_with_special_strings(parts):
     text = "".join(parts)
-    w = t.words(PATH)
-    assert np.frombuffer(w.ids(text), "<u4").tolist() == w.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(t.words(PATH).ids(text), "<u4").tolist() == whole(text)
+
+
+def test_full_block_has_checkpoints_that_are_used():
+    rng = np.random.default_rng(2)
+    ids = rng.zipf(1.3, t.BLOCK_IDS + 300).clip(0, 49000).astype(np.uint32)
+    freq = t.Frequencies(*np.unique(ids, return_counts=True))
+    place, slots, _ = freq.tables()
+    block = bytearray(t.encode(ids, freq, place))
+    n, lanes, words, marks = np.frombuffer(block, "<u4", 4, 4)
+    assert marks == 16 and (t.decode(bytes(block), freq, slots) == ids).all()
+    assert (t.decode(bytes(block), freq, slots, 9) == ids[9 * t.EVERY * t.LANES:]).all()
+    at = 20 + 8 * lanes + 5 * (8 + 8 * lanes) + 8   # a state in the sixth checkpoint
+    block[at] ^= 1
+    with pytest.raises(ValueError):
+        t.decode(bytes(block), freq, slots)
+
+
+def test_files_alone_are_enough(spark, docs_of):
+    """Another session reads them back from the folder; documents without an id are dealt over the tasks."""
+    path = t.write_blocks(docs_of([(None, f"text {i}") for i in range(400)] + [(7, "seven")]), PATH)
+    other = spark.newSession()
+    got = t.read_blocks(other, path).collect()
+    assert len(got) == 401 and sum(r["doc_id"] is None for r in got) == 400
+    want = sorted(np.array(whole(x) + [2], "<u4").tobytes() for x in [f"text {i}" for i in range(400)] + ["seven"])
+    assert sorted(bytes(r["ids"]) for r in got) == want
+    blocks = other.read.parquet(f"{path}/blocks")
+    assert blocks.groupBy("range").agg(F.count(F.lit(1))).count() > 2
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(t.Words, "MOST", 5)
+    w = t.Words(PATH)
+    for text in TEXTS * 2:
+        assert np.frombuffer(w.ids(text), "<u4").tolist() == whole(text)
+    assert len(w) <= 5

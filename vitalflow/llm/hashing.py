@@ -7,9 +7,15 @@ between words, so the work space stays at a few times ``PIECE`` bytes.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)          # odd, so it has an inverse modulo 2**64
@@ -78,3 +84,54 @@ def word_hashes(texts: list[bytes], parts: np.ndarray = WHITE) -> list[np.ndarra
         ends = np.cumsum([len(t) + 1 for t in texts[first:at]])
         out += np.split(hashes, np.searchsorted(start, ends[:-1]))
     return out
+
+
+TEXT_AT_ONCE = 4 << 20       # bytes of text that a task takes out of a batch at a time
+
+
+def sliced(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold about ``TEXT_AT_ONCE`` bytes of text (at least one row).
+
+    Batches come by number of rows, so long texts would make the work space of a batch as large as they are together.
+    """
+    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    low = 0
+    while low < batch.num_rows:
+        before = ends[low] - sizes[low]
+        high = max(low + 1, int(np.searchsorted(ends, before + TEXT_AT_ONCE, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def release() -> None:
+    """Give what a worker no longer uses back to the system; a worker lives on after its task."""
+    _powers.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):   # another C library
+        pass
+
+
+KEPT: dict[str, Callable[[], None]] = {}   # what an operator keeps in a worker between its tasks, and how it is dropped
+
+
+def released(run: Callable, keeps: str | None = None) -> Callable:
+    """``run`` over batches, with its work space given back when the task ends.
+
+    What other operators keep in this worker is dropped first; ``keeps`` names what is this one's own.
+    """
+
+    @functools.wraps(run)
+    def wrapper(batches):
+        for name, drop in KEPT.items():
+            if name != keeps:
+                drop()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapper

@@ -5,9 +5,11 @@ Spark. The matrix of log-probabilities (buckets x languages) is broadcast, and e
 is scored as a sparse product: the rows of its n-grams, summed per text.
 
 Defined cases: ``und`` with score 0 for a null text, for one without a letter, and where there is
-nothing to learn from. The score is the posterior with the evidence of at most 100 n-grams, so it
+nothing to learn from. Letters are those of the Unicode categories L. The language is the one of the
+greatest posterior over the whole text; the score is its posterior with the evidence of at most 100 n-grams, so it
 stays below 1 on mixed texts. Ties go to the language that sorts first. Every text is scored whole,
-in pieces of bounded size.
+in pieces of bounded size. Repeated rows get equal results of their own; an empty table gives an empty
+result. Where no language can be learned, ``keep_identified`` keeps every row: nothing is rejected.
 """
 
 from __future__ import annotations
@@ -22,13 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick
+from .hashing import release, released, sliced
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 LEARN_PER_LANGUAGE = 2000    # about so many documents of each language are learned from
 EVIDENCE = 100               # n-grams that the posterior counts at most
 PIECE = 1 << 18              # code points scored at once
-LETTER = re.compile(r"[^\W\d_]")
+LATIN = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    return bool(LATIN.search(text)) or any(map(str.isalpha, text))
 
 
 def grams(points: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
@@ -76,7 +83,7 @@ class Model:
             self.prior = np.log((documents + 1.0) / (documents.sum() + len(documents)))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        known = [n for n, t in enumerate(texts) if t and self.languages and LETTER.search(t)]
+        known = [n for n, t in enumerate(texts) if t and self.languages and has_letter(t)]
         names, scores = ["und"] * len(texts), [0.0] * len(texts)
         total = np.zeros((len(known), len(self.languages)))
         n_grams = np.zeros(len(known))
@@ -87,9 +94,10 @@ class Model:
                 np.add.at(total, who, np.add.reduceat(self.matrix[b], start, axis=0))
             np.add.at(n_grams, who, (ends - start) * len(ORDERS))
         if known:
+            best = (total + self.prior).argmax(1)
             z = total * (np.minimum(n_grams, EVIDENCE) / n_grams)[:, None] + self.prior
-            best = z.argmax(1)
-            p = 1 / np.exp(z - z.max(1, keepdims=True)).sum(1)
+            z = np.exp(z - z.max(1, keepdims=True))
+            p = z[np.arange(len(z)), best] / z.sum(1)
             for n, b, s in zip(known, best, p):
                 names[n], scores[n] = self.languages[b], float(s)
         return names, scores
@@ -125,7 +133,7 @@ def train(learn: DataFrame, per_language: int = LEARN_PER_LANGUAGE) -> Model:
             yield pd.DataFrame({"lang": lang, "bucket": at.astype(np.int32), "n": own[at]})
 
     # at most buckets x languages rows come to the driver
-    rows = (some.mapInPandas(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket")
+    rows = (some.mapInPandas(released(count), "lang string, bucket int, n bigint").groupBy("lang", "bucket")
             .agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros((BUCKETS, len(languages)))
     counts[rows["bucket"].to_numpy(int), np.searchsorted(languages, rows["lang"].to_numpy(str))] = rows["n"]
@@ -142,14 +150,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             names, scores = shared.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()),
                                               pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     rows = pick(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
+    return rows.mapInArrow(released(score), f"doc_id {kind}, lang_pred string, score double")
 
 
 def learning_rows(docs: DataFrame) -> DataFrame:
@@ -164,13 +172,17 @@ def query(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all their columns, whose language is told with a score of ``least`` or more."""
+    if not model.languages:
+        return docs
     names = docs.columns
     at, shared = names.index("text"), docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def sure(text: pd.Series) -> pd.Series:
-        _, scores = shared.value.predict([t if isinstance(t, str) else None for t in text])
-        return pd.Series(np.array(scores) >= least)
+    def sure(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in parts:
+            _, scores = shared.value.predict([t if isinstance(t, str) else None for t in text])
+            yield pd.Series(np.array(scores) >= least)
+        release()
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     return plain.where(sure(F.col(f"c{at}"))).toDF(*names)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import pick, staged
 from .components import components
-from .hashing import mix, word_hashes
+from .hashing import mix, release, released, sliced, word_hashes
 
 BUCKETS = 1 << 18            # of the shingle counts that give the global order
 CLASSES = 4                  # order classes per doubling of a count
@@ -98,7 +98,7 @@ def _describe(words: int):
         counts = np.zeros(BUCKETS, np.int64)
         names = ["doc_id", "k", "n", "d", "bucket", "count"]
         kind = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             kind = batch.column("doc_id").type
             sets = shingle_sets(batch.column("text").to_pylist(), words)
             counts += np.bincount((np.concatenate(sets) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
@@ -112,7 +112,7 @@ def _describe(words: int):
                 [pa.nulls(len(used), kind), *[pa.nulls(len(used), t) for t in (pa.int64(), pa.int32(), pa.int64())],
                  pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names)
 
-    return run
+    return released(run)
 
 
 def order_classes(buckets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -131,12 +131,12 @@ def _postings(shared, words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, cost, common = shared.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole)):
             tokens, names, sizes, needs = [], [], [], []
             for s in shingle_sets(batch.column("text").to_pylist(), words):
                 if not len(s) or (d := digest(s)) in seen:
                     continue
-                if len(seen) > 1_000_000:  # only spares repeated rows, which are dropped later anyway
+                if len(seen) > 200_000:  # only spares repeated rows, which are dropped later anyway
                     seen.clear()
                 seen.add(d)
                 first, m = prefix(order_keys(s, classes, common), cost, percent)
@@ -148,7 +148,7 @@ def _postings(shared, words: int, percent: int):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, names, sizes, needs)],
                                                  ["token", "d", "n", "need"])
 
-    return run
+    return released(run)
 
 
 def _posts(rows: DataFrame, order: tuple, words: int, percent: int) -> DataFrame:
@@ -283,6 +283,7 @@ def _connect(words: int, percent: int):
                 break
             label = new
         far = np.flatnonzero(label != np.arange(len(names)))
+        release()
         return pd.DataFrame({"u": names[far], "v": names[label[far]]})
 
     return run
@@ -290,7 +291,7 @@ def _connect(words: int, percent: int):
 
 def _verify(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "text_u")):
             left = shingle_sets(batch.column("text_u").to_pylist(), words)
             right = shingle_sets(batch.column("text_v").to_pylist(), words)
             both = np.array([len(a) + len(b) - len(np.union1d(a, b)) for a, b in zip(left, right)], np.int64)
@@ -298,7 +299,7 @@ def _verify(words: int, percent: int):
             keep = pa.array(100 * both >= percent * (size - both))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(keep)
 
-    return run
+    return released(run)
 
 
 BROADCAST_ROWS = 1_000_000   # keys that are broadcast at most; beyond it the texts are shuffled

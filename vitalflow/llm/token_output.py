@@ -1,15 +1,19 @@
 """Token-ID output: blocks of ids coded by a static range asymmetric numeral system (rANS).
 
-One frequency table, counted over all documents, is shared by every block. A block holds
-consecutive documents and is coded on its own by ``LANES`` interleaved coders, so blocks decode in
-parallel and in any order. A block's bytes:
+One frequency table, counted over all documents, is shared by every block and written beside them. A
+block holds consecutive documents and is coded on its own by ``LANES`` interleaved coders, so blocks
+decode in parallel and in any order. A block's bytes:
 
     magic "VRB1", ids, lanes, words (uint32 each), final state of every lane (uint64: the decoder's
     checkpoint to start from), place of the word pointer at every ``EVERY``-th step and the states
     there (checkpoints: decoding can start at any of them), crc32 of the ids, code words (uint32).
 
-Blocks are rows of a table next to their documents' ids and lengths, written in ascending doc_id
-order: range-partitioned, sorted, each with the number of ids before it in its range.
+The checkpoints part a block into segments that are decoded side by side; each must end in the state and
+at the word that the next one begins with.
+
+The files: ``blocks`` (rows of blocks next to their documents' ids and lengths, written in ascending
+doc_id order: range-partitioned, sorted, each with the number of ids before it in its range) and
+``frequencies`` (a row for each id of the vocabulary that occurs). Nothing else is needed to read them.
 
 Defined cases: a null text counts as empty and yields the end id alone; null doc_ids come first;
 rows that share a doc_id are separate documents, ordered by a hash of the text; a damaged block
@@ -21,7 +25,9 @@ from __future__ import annotations
 import os
 import re
 import struct
+import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import pick, staged
+from .hashing import KEPT, released, sliced
 
 END_ID = 2
 LANES = 1024
-EVERY = 256                  # steps between checkpoints
-BLOCK_IDS = 1 << 18          # a block is closed after so many ids
+EVERY = 32                   # steps between checkpoints
+BLOCK_IDS = 1 << 19          # a block is closed after so many ids: 16 segments
 LOWEST = np.uint64(1 << 31)
 MAGIC = b"VRB1"
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
+# letters that stay single letters when lower-cased and normalised
+LOWER = frozenset(map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 
 
 # --- tokens ------------------------------------------------------------------------
@@ -52,52 +61,60 @@ class Words(dict):
     are written in, as the tokenizer does; a word that becomes one only in lower case is plain text.
     """
 
-    MOST = 1 << 20           # words remembered; beyond it the memory starts anew
+    MOST = 1 << 20           # words remembered, some 170 MB; beyond it the memory starts anew
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
         self.between = Tokenizer.from_file(path)  # for what stands between special tokens
         self.between.encode_special_tokens = True
         self.model = self.between.model
-        self.special = {t.content.encode(): np.array([i], "<u4").tobytes()
-                        for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = {t.content.encode(): array("I", [i]).tobytes()
+                        for i, t in self.between.get_added_tokens_decoder().items() if t.special}
         longest = sorted(self.special, key=len, reverse=True)
         self.parts = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")")
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         other = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
+        self.stops: dict[bytes, bytes] = {}       # ids of runs of full stops and commas
 
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(b".,")
-        if stem != word and stem and self._plain(stem):
-            out = self[stem] + self._whole(word[len(stem):])
-        elif self._plain(word):
-            piece = "".join(self.letters[b] for b in word)
-            out = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-        else:
+        piece = self._piece(stem)
+        if piece is None:
             out = self._whole(word)
+        else:
+            out = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            if len(stem) < len(word):
+                out += self._stops(word[len(stem):])
         if len(self) >= self.MOST:
             self.clear()
         self[word] = out
         return out
 
     def _whole(self, word: bytes) -> bytes:
-        ids = self.between.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _plain(self, word: bytes) -> bool:
-        """Only lower-case letters a-z or U+00DF to U+00FF, which stay as they are when normalised."""
-        if word.isalpha():
-            return word.islower()
-        text = word.decode("utf-8", "surrogatepass")
-        return all(c in LETTERS or "ß" <= c <= "ÿ" and c != "÷" for c in text)
-
-    def ids(self, text: str | None) -> bytes:
-        raw = (text or "").encode("utf-8", "surrogatepass")
+        return array("I", self.between.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids).tobytes()
+
+    def _stops(self, run: bytes) -> bytes:
+        if run not in self.stops:
+            if len(self.stops) > 1000:
+                self.stops.clear()
+            self.stops[run] = self._whole(run)
+        return self.stops[run]
+
+    def _piece(self, stem: bytes) -> str | None:
+        """The model's spelling of a word that is one piece: letters a-z or of Latin-1, lower-cased; else None."""
+        if stem.isalpha() and stem.islower():
+            return stem.decode()
+        if not stem or stem.isascii():
+            return None
+        text = stem.decode("utf-8", "surrogatepass").lower()
+        return "".join(map(self.letters.__getitem__, text.encode())) if LOWER.issuperset(text) else None
+
+    def ids(self, text: str | bytes | None) -> bytes:
+        raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
         if not any(s in raw for s in self.special):
             return self._between(raw)
         return b"".join(self.special[p] if i % 2 else self._between(p) for i, p in enumerate(self.parts.split(raw)))
@@ -108,6 +125,7 @@ class Words(dict):
 
 
 _WORDS: dict[str, Words] = {}
+KEPT["words"] = _WORDS.clear
 
 
 def words(path: str) -> Words:
@@ -173,40 +191,62 @@ def encode(ids: np.ndarray, freq: Frequencies, place: np.ndarray, lanes: int = L
     return head + struct.pack("<I", zlib.crc32(ids.astype("<u4").tobytes())) + code.astype("<u4").tobytes()
 
 
-def decode(block: bytes, freq: Frequencies, slots: np.ndarray, from_mark: int = 0) -> np.ndarray:
-    """The ids of a block; from its ``from_mark``-th checkpoint on, if given (then unchecked)."""
+def _parts(block: bytes):
+    """ids, lanes, marks as (step, word pointer, states) with the start and the end, crc, code words."""
     if len(block) < 20 or block[:4] != MAGIC:
         raise ValueError("not a block of token ids")
     n, lanes, n_code, n_marks = struct.unpack_from("<4I", block, 4)
-    at, step = 20 + 8 * lanes, 8 + 8 * lanes
-    if len(block) != at + n_marks * step + 4 + 4 * n_code:
+    at, size = 20 + 8 * lanes, 8 + 8 * lanes
+    if len(block) != at + n_marks * size + 4 + 4 * n_code:
         raise ValueError("a block of token ids is cut short")
-    state, low, pos = np.frombuffer(block, "<u8", lanes, 20).copy(), 0, 0
-    if from_mark:
-        low, pos = struct.unpack_from("<2I", block, at + (from_mark - 1) * step)
-        state = np.frombuffer(block, "<u8", lanes, at + (from_mark - 1) * step + 8).copy()
-    at += n_marks * step
-    crc, = struct.unpack_from("<I", block, at)
-    code = np.frombuffer(block, "<u4", n_code, at + 4).astype(np.uint64)
-    bits, mask = np.uint64(freq.bits), np.uint64((1 << freq.bits) - 1)
+    marks = [(0, 0, np.frombuffer(block, "<u8", lanes, 20))]
+    for i in range(n_marks):
+        marks.append((*struct.unpack_from("<2I", block, at + i * size), np.frombuffer(block, "<u8", lanes, at + i * size + 8)))
     steps = -(-n // lanes) if lanes else 0
-    got = np.zeros((steps - low, lanes), np.uint32)
-    for s in range(low, steps):
-        m = lanes if (s + 1) * lanes <= n else n - s * lanes
-        x = state[:m]
+    marks.append((steps, n_code, np.full(lanes, LOWEST)))   # where every coder began
+    at += n_marks * size
+    return n, lanes, marks, struct.unpack_from("<I", block, at)[0], np.frombuffer(block, "<u4", n_code, at + 4).astype(np.uint64)
+
+
+def _segments(n: int, lanes: int, marks: list, code: np.ndarray, freq: Frequencies, slots: np.ndarray) -> np.ndarray:
+    """Places of the ids between the first and the last of ``marks``: equally long segments, decoded side by side.
+
+    Only the last step of a block may have fewer ids than lanes, so it is in a segment of its own.
+    """
+    bits, mask = np.uint64(freq.bits), np.uint64((1 << freq.bits) - 1)
+    low, steps = marks[0][0], marks[1][0] - marks[0][0]
+    state = np.stack([m[2] for m in marks[:-1]])
+    pos = np.array([m[1] for m in marks[:-1]], np.int64)
+    stop = np.array([m[1] for m in marks[1:]], np.int64)
+    got = np.zeros((len(state), steps, lanes), np.uint32)
+    for s in range(steps):
+        width = min(lanes, n - (low + s) * lanes) if len(state) == 1 else lanes
+        x = state[:, :width]
         slot = x & mask
         p = slots[slot]
-        got[s - low, :m] = p
+        got[:, s, :width] = p
         x = freq.f[p] * (x >> bits) + slot - freq.first[p]
-        need = np.flatnonzero(x < LOWEST)
-        if pos + len(need) > len(code):
+        need = x < LOWEST
+        count = need.sum(1)
+        if (pos + count > stop).any():
             raise ValueError("a block of token ids is damaged")
-        x[need] = (x[need] << np.uint64(32)) | code[pos:pos + len(need)]
-        pos += len(need)
-        state[:m] = x
-    if pos != len(code) or (state != LOWEST).any():  # where every coder began
+        at = (pos[:, None] + np.cumsum(need, axis=1) - 1)[need]
+        x[need] = (x[need] << np.uint64(32)) | code[at]
+        pos += count
+        state[:, :width] = x
+    if (pos != stop).any() or any((state[i] != marks[i + 1][2]).any() for i in range(len(state))):
         raise ValueError("a block of token ids is damaged")
-    ids = freq.ids[got.reshape(-1)[: n - low * lanes]]
+    return got.reshape(-1)
+
+
+def decode(block: bytes, freq: Frequencies, slots: np.ndarray, from_mark: int = 0) -> np.ndarray:
+    """The ids of a block; from its ``from_mark``-th checkpoint on, if given (then without the checksum)."""
+    n, lanes, marks, crc, code = _parts(block)
+    first = marks[from_mark][0]
+    # the last segment may be shorter and may end in an incomplete step
+    parts = [_segments(n, lanes, marks[from_mark:-1], code, freq, slots)] if len(marks) - from_mark > 2 else []
+    parts.append(_segments(n, lanes, marks[-2:], code, freq, slots))
+    ids = freq.ids[np.concatenate(parts)[: n - first * lanes]]
     if not from_mark and zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("a block of token ids is damaged")
     return ids
@@ -246,8 +286,9 @@ def _tokenize(path: str, end_id: int):
             docs, lengths, parts, size = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for batch in (part for whole in batches for part in sliced(whole)):
+            # as bytes: neither the texts nor their words become Python strings
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
                 got = own.ids(text) + end
                 docs.append(doc)
                 lengths.append(len(got) // 4)
@@ -264,7 +305,7 @@ def _tokenize(path: str, end_id: int):
                 [pa.array([part] * len(used), pa.int32()), pa.array(none, pa.int64()), *[pa.array(none, pa.binary())] * 3,
                  pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], schema=schema)
 
-    return run
+    return released(run, "words")
 
 
 def _pack_docs(docs: list) -> bytes:
@@ -278,18 +319,19 @@ def _unpack_docs(raw: bytes) -> list:
     return [None if gone else int(d) for d, gone in zip(np.frombuffer(raw, "<i8", n), np.frombuffer(raw, np.uint8, n, 8 * n))]
 
 
-def write_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id",
-                 text_col: str = "text") -> tuple[DataFrame, Frequencies]:
-    """The written blocks in ascending doc_id order, and the frequency table that they share."""
+def write_blocks(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int = END_ID, id_col: str = "doc_id",
+                 text_col: str = "text") -> str:
+    """Writes the files (see above) and returns their folder, by default one in the shared checkpoint folder."""
     spark = docs.sparkSession
-    rows = pick(docs, doc_id=id_col, text=text_col)
+    path = path or scratch_path(spark, f"llm-token-files-{uuid.uuid4().hex}")
+    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("h", F.xxhash64("text"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # ties on doc_id stay in one range, in an order of their own
-    dealt = rows.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # rows that share a doc_id, or have none, are dealt by their texts
+    dealt = rows.repartitionByRange(ranges, "doc_id", "h").sortWithinPartitions("doc_id", "h").drop("h")
     chunks = staged(dealt.mapInArrow(_tokenize(tokenizer, end_id), CHUNK), "token-chunks")
-    # one row for each id of the vocabulary
-    counted = chunks.where("id IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    freq = Frequencies(counted["id"].to_numpy(), counted["n"].to_numpy())
+    counted = chunks.where("id IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n"))
+    counted.coalesce(1).write.parquet(f"{path}/frequencies")
+    freq = read_frequencies(spark, path)
     shared = spark.sparkContext.broadcast(freq)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,12 +347,20 @@ def write_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col:
                     + [pa.array([encode(ids, own, place)], pa.binary())], ["range", "at", "docs", "lengths", "block"])
 
     part = chunks.where("id IS NULL").select("range", "at", "docs", "lengths", "ids")
-    return staged(part.mapInArrow(code, BLOCK_FORMAT), "token-blocks"), freq
+    part.mapInArrow(released(code), BLOCK_FORMAT).write.parquet(f"{path}/blocks")
+    return path
+
+
+def read_frequencies(spark: SparkSession, path: str) -> Frequencies:
+    """The shared table: one row for each id of the vocabulary that occurs."""
+    counted = spark.read.schema("id int, n bigint").parquet(f"{path}/frequencies").toArrow()
+    return Frequencies(counted["id"].to_numpy(), counted["n"].to_numpy())
 
 
-def read_blocks(blocks: DataFrame, freq: Frequencies) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and ids (uint32, little-endian) from written blocks."""
-    spark: SparkSession = blocks.sparkSession
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and ids (uint32, little-endian) from the files alone."""
+    freq = read_frequencies(spark, path)
+    blocks = spark.read.schema(BLOCK_FORMAT).parquet(f"{path}/blocks")
     # the ids before each range: one row per range, bounded by the partition count
     ends = (blocks.select("range", "at", "lengths").mapInArrow(_ends, "range int, n bigint")
             .groupBy("range").agg(F.max("n").alias("n")).collect())
@@ -334,7 +384,7 @@ def read_blocks(blocks: DataFrame, freq: Frequencies) -> DataFrame:
                      pa.array(lengths, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts, pa.binary())],
                     ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    return blocks.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    return blocks.mapInArrow(released(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,5 +397,4 @@ def query(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    blocks, freq = write_blocks(docs, tokenizer)
-    return read_blocks(blocks, freq).drop("ids")
+    return read_blocks(docs.sparkSession, write_blocks(docs, tokenizer)).drop("ids")
