@@ -22,10 +22,10 @@ def standardise_hr(ref: DataFrame) -> DataFrame:
 
 
 def join_sport(hr: DataFrame, sport: DataFrame | None) -> DataFrame:
-    """HR left join the declared-sport sheet: a row for each sport that an employee declares."""
+    """HR left join the declared-sport sheet: a row for each row that the sheet has for an employee."""
     if sport is None:
         return hr.withColumn("pratique", F.lit(None).cast("string"))
-    return hr.join(sport.select("id_salarie", "pratique").distinct(), "id_salarie", "left")
+    return hr.join(sport.select("id_salarie", "pratique"), "id_salarie", "left")
 
 
 def sports_of(sport: DataFrame) -> DataFrame:

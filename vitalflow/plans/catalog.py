@@ -179,7 +179,7 @@ def q_join_eligibility(spark, sf):
 @register("join_hr_sport")
 def q_join_hr_sport(spark, sf):
     f = _flow(spark, sf)
-    return referential.join_sport(f.hr, f.fx.sport()).select("id_salarie", "nom", "pratique")
+    return referential.join_sport(f.hr, f.fx.sport_rows()).select("id_salarie", "nom", "pratique")
 
 
 @register("declared_practice_flag")

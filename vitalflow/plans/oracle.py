@@ -397,15 +397,15 @@ FROM (SELECT id, CAST(to_json({'payload': {'before': CASE WHEN op = 'd' THEN img
                                "eligible_prime, eligible_bien_etre, jours_bien_etre, calcule_le FROM fx_elig")
     S["join_eligibility"] = ("SELECT id_salarie, bu, salaire_brut, moyen_declare, distance_km, distance_anormale, "
                              "nb_activites_12mois FROM fx_joined")
+    sport_rows = ("SELECT CAST(o_custkey AS INTEGER) AS id_salarie, o_orderkey AS ligne, CASE WHEN o_orderkey % 5 <> 0 THEN "
+                  "CASE o_orderpriority WHEN '1-URGENT' THEN 'Tennis' ELSE 'Judo' END END AS pratique "
+                  "FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F'")
     S["join_hr_sport"] = ("SELECT h.id_salarie, h.nom, s.pratique FROM fx_hr h "
-                          "LEFT JOIN fx_sport s ON h.id_salarie = s.id_salarie")
-    S["declared_practice_flag"] = """
+                          f"LEFT JOIN ({sport_rows}) s ON h.id_salarie = s.id_salarie")
+    S["declared_practice_flag"] = f"""
 SELECT h.id_salarie, COALESCE(s.named, FALSE) AS pratique_declaree FROM fx_hr h LEFT JOIN (
   SELECT id_salarie, pratique IS NOT NULL AS named FROM (
-    SELECT CAST(o_custkey AS INTEGER) AS id_salarie,
-      CASE WHEN o_orderkey % 5 <> 0 THEN CASE o_orderpriority WHEN '1-URGENT' THEN 'Tennis' ELSE 'Judo' END END AS pratique,
-      row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F') WHERE rn = 1) s
+    SELECT *, row_number() OVER (PARTITION BY id_salarie ORDER BY ligne DESC) AS rn FROM ({sport_rows})) WHERE rn = 1) s
 ON h.id_salarie = s.id_salarie"""
     S["orphan_activities"] = ("SELECT id, id_salarie FROM fx_dirty a WHERE NOT EXISTS "
                               "(SELECT 1 FROM fx_hr h WHERE h.id_salarie IS NOT DISTINCT FROM a.id_salarie)")
