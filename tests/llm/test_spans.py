@@ -7,6 +7,8 @@ import re
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from vitalflow.llm import personal, secrets
 
 
@@ -113,3 +115,19 @@ def test_odd_rows(odd):
         assert all(r["spans"] == "" for r in got if r["doc_id"] in (2, 3))
     assert personal.report(personal.find_personal(odd().limit(0))).count() == 0
     assert secrets.report(secrets.scan(odd().limit(0))).count() == 0
+
+
+def test_very_many_matches_in_one_text(spark):
+    """The spans of 40,000 matches equal Python's, within seconds; so do counts at the edges of a stretch."""
+    import time
+
+    from vitalflow.llm.common import STRETCH, find_all, spans
+    pattern = "[0-9]+"
+    texts = ["\u00e9 12,345 x " * n for n in (0, 1, STRETCH // 2, STRETCH // 2 + 1, STRETCH, 20_000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    began = time.time()
+    got = {r["i"]: [(s["start"], s["end"], s["hit"]) for s in r["s"]]
+           for r in df.select("i", spans(F.col("text"), pattern, find_all(F.col("text"), pattern)).alias("s")).collect()}
+    assert time.time() - began < 30
+    for i, t in enumerate(texts):
+        assert got[i] == [(m.start(), m.end(), m.group()) for m in re.finditer(pattern, t)]

@@ -33,25 +33,48 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+STRETCH = 256   # matches whose spans are put into one array at a time
+
+
 def spans(text: Column, pattern: str, hits: Column) -> Column:
     """Code-point spans of all matches of ``pattern``: array of struct(start, end, hit).
 
     ``hits`` is ``regexp_extract_all(text, pattern, 0)``. The texts between the matches come
-    from a split by the same pattern, so the running sum of both lengths gives every start.
+    from a split by the same pattern, so the running sum of both lengths gives every start. An array
+    that grows by one is copied each time, so the sum runs over stretches of ``STRETCH`` matches, and over
+    the stretches' lengths: tens of thousands of matches in one text cost little more than a few.
     """
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
     steps = F.zip_with(gaps, hits, lambda g, h: F.struct(
         F.length(g).cast("bigint").alias("gap"), F.length(h).cast("bigint").alias("len"), h.alias("hit")))
     none = F.array().cast("array<struct<start:bigint,end:bigint,hit:string>>")
-    walk = F.aggregate(
-        steps, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["len"]).alias("end"),
-                x["hit"].alias("hit")))).alias("out")),
-        lambda a: a["out"])
-    return F.when(F.size(hits) > 0, walk).otherwise(none)
+    zero = F.lit(0).cast("bigint")
+
+    def walk(stretch: Column, at: Column) -> Column:
+        return F.aggregate(
+            stretch, F.struct(at.alias("at"), none.alias("out")),
+            lambda a, x: F.struct(
+                (a["at"] + x["gap"] + x["len"]).alias("at"),
+                F.concat(a["out"], F.array(F.struct(
+                    (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["len"]).alias("end"),
+                    x["hit"].alias("hit")))).alias("out")),
+            lambda a: a["out"])
+
+    def starts(stretches: Column) -> Column:
+        lengths = F.transform(stretches, lambda s: F.aggregate(s, zero, lambda a, x: a + x["gap"] + x["len"]))
+        return F.aggregate(
+            lengths, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out")),
+            lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+            lambda a: a["out"])
+
+    def cut(all_steps: Column) -> Column:
+        last = F.floor((F.size(all_steps) - 1) / F.lit(STRETCH)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_steps, i * STRETCH + 1, F.lit(STRETCH)))
+
+    # an array of one element binds its value, which would otherwise be computed wherever it is named
+    bound = lambda value, of: F.get(F.transform(F.array(value), of), F.lit(0))
+    long = bound(steps, lambda st: bound(cut(st), lambda ss: F.flatten(F.zip_with(ss, starts(ss), walk))))
+    return F.when(F.size(hits) > STRETCH, long).when(F.size(hits) > 0, walk(steps, zero)).otherwise(none)
 
 
 def find_all(text: Column, pattern: str) -> Column:
