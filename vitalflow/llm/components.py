@@ -13,9 +13,13 @@ def _both(edges: DataFrame) -> DataFrame:
 
 
 def _star(neighbours: DataFrame, keep, name: str) -> DataFrame:
-    """Links each kept neighbour of u to the least of u and its neighbours."""
+    """Links each kept neighbour of u to the least of u and its neighbours.
+
+    The least ones are written first: the join is then between plain exchanges, and Spark can split the
+    partition of a node with very many links.
+    """
     least = neighbours.groupBy(F.col("u").alias("m_u")).agg(F.min("v").alias("m"))
-    least = least.select("m_u", F.least("m_u", "m").alias("m"))
+    least = staged(least.select("m_u", F.least("m_u", "m").alias("m")), "star-least")
     met = neighbours.join(least, F.col("u") == F.col("m_u"))
     out = met.where(keep).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return staged(out.where("u <> v").distinct(), name)
