@@ -24,6 +24,7 @@ from ..operators.routing import DAY, VALID, with_day, with_route
 from ..params import Params
 from ..sources import versions
 from ..sources.cdc import ARRIVAL, read_cdc_stream
+from ..sources.files import remove
 
 EVENT_TIME = "_event_time"
 SINK_FORMAT = "parquet"
@@ -116,6 +117,7 @@ def _write_listed(spark: SparkSession, writer, out_root: str, folder: str, fmt:
     path = f"{out_root}/data/{folder}"
     writer.mode("overwrite").partitionBy("route", DAY).save(path)
     if written is not None and not written.get["n"]:
+        remove(spark, path)
         return
     rows = spark.read.format(fmt).schema(f"id_salarie int, route string, {DAY} date").load(path)
     counts = gold.day_counts(rows.where(F.col("route") == VALID), DAY)
