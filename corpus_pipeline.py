@@ -2,6 +2,11 @@
 
 Each stage takes the documents that the one before kept. ``run`` writes every stage's result to the
 shared checkpoint folder and reads it back.
+
+Defined cases, for every stage: an empty table gives an empty result with the stage's columns; further
+columns are carried along, also if their names differ from the documents' own by case alone or repeat
+``k``, ``n`` and the like; rows are taken by their text and ids, so a null id or a repeated row is a
+document like any other; no text is cut.
 """
 
 from __future__ import annotations
@@ -17,27 +22,40 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with a score of 0.5 or more; the rest go."""
+    """Documents whose language is told with a score of 0.5 or more; the rest go.
+
+    Null texts and texts without a letter have no language and go. Ties between languages do not matter.
+    Where no row has both text and language outside the held-out fold, nothing is learned and every document stays.
+    """
     return language.keep_identified(docs, language.train(language.learning_rows(docs)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links by five-word shingles at a similarity of 0.8."""
+    """One document of each group that links by five-word shingles at a similarity of 0.8.
+
+    The smallest doc_id stays, of equal ids one row, and a null id last. Documents without words link with nothing and all stay.
+    """
     return ngram_join.keep_one(docs, words=5, percent=80)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none and stay; items without text mark nothing."""
     return decontaminate.remove_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: repeated, whole, cut or left out."""
+    """Sources at their target weights: repeated, whole, cut or left out.
+
+    A null source is a source of its own, the last one. Documents without words have nothing to take and go.
+    """
     return mixing.mixed_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token blocks of the mix, read back: a row per document with its place in the token stream."""
+    """Token blocks of the mix, read back: a row per document with its place in the token stream.
+
+    A null text yields the end id alone; null ids come first, and rows that share an id are ordered by a hash of their texts.
+    """
     return token_output.query(docs)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 import corpus_pipeline
 from vitalflow.llm import language
 from vitalflow.llm.common import read, staged
@@ -46,3 +48,20 @@ def test_stages(spark):
     run = corpus_pipeline.run(spark, SF)
     assert run.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert (run.count(), run.agg({"n_tokens": "sum"}).first()[0]) == (len(after), total)
+
+
+KEPT = {"language": None, "near_duplicates": 10, "decontamination": 11, "mixing": None, "token_output": 11}
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows_and_empty_tables(spark, odd, name, stage):
+    """Nulls, empty and long texts, a repeated row, columns whose names clash; and no rows at all."""
+    docs = odd()
+    out = stage(spark, docs, SF)
+    rows = out.count()
+    if KEPT[name] is not None:
+        assert rows == KEPT[name]       # the repeated row is the only near duplicate
+    if name != "token_output":
+        assert out.columns == docs.columns
+    none = stage(spark, docs.limit(0), SF)
+    assert none.count() == 0 and none.columns == out.columns
