@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .files import exists, remove
@@ -26,31 +26,29 @@ def is_versioned(spark: SparkSession, root: str) -> bool:
     return exists(spark, f"{root}/log")
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).json(f"{root}/log")
+def _entries(spark: SparkSession, root: str) -> list[Row]:
+    """The log on the driver: a few names for each change, as any table's file listing."""
+    return spark.read.schema(LOG_SCHEMA).json(f"{root}/log").collect() if is_versioned(spark, root) else []
+
+
+def _folders(entries: list[Row], column: str) -> set[str]:
+    return {folder for e in entries for folder in e[column] or []}
 
 
 def live(spark: SparkSession, root: str) -> list[str]:
-    """The folders of the table, below ``root/data``. One name per folder comes to the driver, as for any file listing."""
-    if not is_versioned(spark, root):
-        return []
-    log = _log(spark, root)
-    gone = log.select(F.explode("removes").alias("folder"))
-    adds = log.select(F.explode("adds").alias("folder")).distinct().join(gone, "folder", "left_anti")
-    return sorted(r["folder"] for r in adds.collect())
+    """The folders of the table, below ``root/data``."""
+    entries = _entries(spark, root)
+    return sorted(_folders(entries, "adds") - _folders(entries, "removes"))
 
 
 def is_settled(spark: SparkSession, root: str, folder: str) -> bool:
     """Whether the folder was ever added: its rows are in the table, there or in a folder that took its place."""
-    if not is_versioned(spark, root):
-        return False
-    return not _log(spark, root).where(F.array_contains("adds", folder)).isEmpty()
+    return folder in _folders(_entries(spark, root), "adds")
 
 
 def record(spark: SparkSession, root: str, adds: list[str], removes: list[str] = ()) -> int:
     """Append one change to the log; returns its version. The entry is one file, so it is there or not."""
-    last = _log(spark, root).agg(F.max("version")).first()[0] if is_versioned(spark, root) else None
-    version = 0 if last is None else last + 1
+    version = max((e["version"] for e in _entries(spark, root)), default=-1) + 1
     entry = spark.createDataFrame([(version, list(adds), list(removes))], LOG_SCHEMA)
     entry.coalesce(1).write.mode("append").json(f"{root}/log")
     return version
@@ -97,9 +95,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = KEEP, also: tuple[str, ..
 
     ``also`` names further folders beside ``data`` that hold parts of the same name.
     """
-    log = _log(spark, root).where(F.size("removes") > 0)
-    kept = [r["version"] for r in log.select("version").orderBy(F.desc("version")).limit(keep).collect()]
-    old = log.where(~F.col("version").isin(kept)) if kept else log
-    for r in old.select(F.explode("removes").alias("folder")).distinct().collect():
+    changes = sorted((e for e in _entries(spark, root) if e["removes"]), key=lambda e: e["version"])
+    for folder in sorted(_folders(changes[: max(0, len(changes) - keep)], "removes")):
         for part in ("data", *also):
-            remove(spark, f"{root}/{part}/{r['folder']}")
+            remove(spark, f"{root}/{part}/{folder}")
