@@ -314,6 +314,24 @@ def test_day_counts_give_any_lookback(spark, tmp_dir):
         assert sorted(map(tuple, gold.count_from_days(days, q).collect())) == sorted(map(tuple, gold.count_activities(rows, q).collect()))
 
 
+def test_day_counts_grow_in_files_not_in_one_task(spark, tmp_dir, monkeypatch):
+    """The counts of a large batch are aggregated and written by several tasks, a small one's give one file."""
+    from pathlib import Path
+
+    from vitalflow.sources.fixtures import Fixtures
+    from vitalflow.streaming import ingest
+    src, found = os.path.join(tmp_dir, "src"), {}
+    write_records(Fixtures(spark, "/root/testdata/sf0.001").cdc(), src)
+    for rows_a_file in (1_000_000, 100):
+        monkeypatch.setattr(ingest, "COUNTS_PER_FILE", rows_a_file, raising=False)
+        out = os.path.join(tmp_dir, f"out{rows_a_file}")
+        await_end(start_ingest(spark, src, out, out + "-ck", params=Params(as_of=dt.datetime(2024, 1, 31)), fmt="records", available_now=True))
+        files = len(list(Path(out, "counts").rglob("*.parquet")))
+        found[rows_a_file] = sorted(read_day_counts(spark, out).select("id_salarie", "jour", "nb").collect())
+        assert files == 1 if rows_a_file == 1_000_000 else files > 2
+    assert found[100] == found[1_000_000]
+
+
 def test_tombstones_reach_the_stream(spark, tmp_dir):
     """A record without value is read, decoded to nothing and dropped; key and offset come along."""
     src = os.path.join(tmp_dir, "src")

@@ -33,6 +33,7 @@ SINK_SCHEMA = ("id bigint, id_salarie int, date_debut timestamp, sport_type stri
                f"route string, {DAY} date")
 SINK_KEYS = ("query", "batch_id")   # where a row was written, not part of the activity
 COUNTS_SCHEMA = "id_salarie int, jour date, nb bigint, query string, batch_id bigint"
+COUNTS_PER_FILE = 1_000_000   # day counts in a file at most, about
 REMEMBER = "30 days"   # how long the key of a row without event time is remembered after its arrival
 
 
@@ -121,7 +122,10 @@ def _write_listed(spark: SparkSession, writer, out_root: str, folder: str, fmt:
         return
     rows = spark.read.format(fmt).schema(f"id_salarie int, route string, {DAY} date").load(path)
     counts = gold.day_counts(rows.where(F.col("route") == VALID), DAY)
-    counts.coalesce(1).write.format(fmt).mode("overwrite").save(f"{out_root}/counts/{folder}")
+    # dealt after the aggregation, which keeps tasks of its own: a coalesce would draw all of them into one
+    files = 1 + (rows.count() if written is None else written.get["n"]) // COUNTS_PER_FILE
+    counts = counts.repartition(files, "id_salarie", DAY)
+    counts.write.format(fmt).mode("overwrite").save(f"{out_root}/counts/{folder}")
     versions.record(spark, out_root, [folder], removes)
 
 
