@@ -57,6 +57,13 @@ def test_dedup_is_an_aggregate_not_a_window(spark):
     assert "Window" not in text and "partial_min" in text
 
 
+def test_split_check_deduplicates_once(spark):
+    """The four uses of the deduplicated rows read a written table, and no part of the union aggregates whole rows."""
+    text = plan(E.queries()["split_partition_check"](spark, SF), "simple")
+    assert "partial_min" not in text
+    assert text.rindex("partial_sum(_w") < text.index("Exchange hashpartitioning") < text.index("Union")
+
+
 def test_gold_plan_skips_unused_sport_sheet(spark):
     """The sport sheet is unique per employee, so the gold plan never scans orders."""
     text = plan(E.queries()["kpis_by_bu"](spark, SF))

@@ -86,7 +86,9 @@ def split_check(dedup: DataFrame, routed: Routed) -> DataFrame:
              .unionByName(routed.unrouted.select(*cols)))
     tagged = (dedup.select(*cols, F.lit(1).alias("_w"))
               .unionByName(parts.select(*cols, F.lit(-1).alias("_w"))))
-    diff = tagged.groupBy(*cols).agg(F.sum("_w").alias("d"),
+    # dealt before the aggregation: nothing cancels inside a part of the union, so tables of whole rows built
+    # there would only grow with the scans' splits
+    diff = tagged.repartition(*cols).groupBy(*cols).agg(F.sum("_w").alias("d"),
                                      F.count_if(F.col("_w") > 0).alias("n_in"))
     return diff.agg(
         F.coalesce(F.sum("n_in"), F.lit(0)).cast("long").alias("n_entree"),

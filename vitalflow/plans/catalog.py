@@ -313,8 +313,9 @@ def q_cdc_arrival(spark, sf):
 
 @register("split_partition_check")
 def q_split_partition_check(spark, sf):
-    f = Flow(spark, sf, P, null_policy="drop")
-    return routing.split_check(f.deduplicated, f.routed)
+    # the rows are used four times: as a written table, or each task would deduplicate its share once for every use
+    rows = stored(_flow(spark, sf).deduplicated, "deduplicated")
+    return routing.split_check(rows, routing.route(rows, P, null_policy="drop"))
 
 
 # --- H. scalar functions ----------------------------------------------------------
