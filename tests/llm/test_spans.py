@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -108,6 +109,30 @@ def test_terms_that_reveal_an_entity(docs_of):
     assert clean[101] == "the [reveal] [reveal] [email] [reveal]\nthe rest 1" and clean[5] == rows[5][1]
 
 
+def test_an_entity_does_not_hide_the_words_beyond_it(docs_of):
+    """A context reaches over other entities and what fails to be one, to whole words within 64 code points on the line."""
+    rows = [(i, f"the plain words of text {i} here") for i in range(60)]
+    rows += [(100 + i, f"zanzibar a{i}@x.org, bob@x.org") for i in range(3)]
+    spans = {r["doc_id"]: r["spans"] for r in personal.report(personal.find_personal(docs_of(rows))).collect()}
+    assert spans[100] == "reveal:0:8,email:9:17,email:19:28"
+
+    rng, term = random.Random(5), re.compile(r"(?<!\S)[^\W\d_]{3,}(?=[\s.,;:!?]|$)")
+    parts = ["word", "\u00e9t\u00e9", "ann@x.org", "bob@x.org,", "10.1.2.3", "1.2.3.999", "x" * 30, "\n", "12 34", "+33 1 23 45 67 89", "\U0001f600 ok."]
+    texts = ["", "ann@x.org"] + [" ".join(rng.choice(parts) for _ in range(n)) for n in range(1, 40)]
+    texts += ["y" * 60 + " " + "abc " + "z" * n + " ann@x.org " + "z" * n + " def" + tail for n in range(56, 64) for tail in ("", ".", "g")]
+    base = personal.base_spans(docs_of(list(enumerate(texts))))
+    got = {(r["doc_id"], r["entity"], r["term"], r["start"], r["end"])
+           for r in personal._contexts(base).join(base.select("k", "doc_id"), "k").collect()}
+    want = set()
+    for i, t in enumerate(texts):
+        for start, _, kind, end in base_personal(t):
+            low, high = t.rfind("\n", 0, start) + 1, (t.find("\n", end) + 1 or len(t) + 1) - 1
+            near = [(low + m.start(), low + m.end()) for m in term.finditer(t[low:start]) if low + m.start() >= start - 64]
+            near += [(end + m.start(), end + m.end()) for m in term.finditer(t[end:high]) if m.end() <= 64]
+            want |= {(i, t[start:end].lower(), t[a:b].lower(), a, b) for a, b in near}
+    assert got == want and len(want) > 200
+
+
 def test_odd_rows(odd):
     for report in (personal.report(personal.find_personal(odd())), secrets.report(secrets.scan(odd()))):
         got = report.collect()

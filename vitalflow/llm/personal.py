@@ -14,6 +14,9 @@ results. Spans are code points, end exclusive. Patterns scan a long run of one c
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,22 +56,39 @@ def _valid(kind: str, hit: Column) -> Column:
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, k, ``found``: array of struct(start, rank, kind, end, hit, before, after, cut flags)."""
+    """doc_id, k, ``found``: array of struct(start, rank, kind, end, hit, before, after).
+
+    ``before`` and ``after`` are the text around the span, whatever stands there, one code point beyond
+    ``REACH``. They come from the text in pieces of that length, so that many spans in a long text do not each count from its start.
+    """
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     hits = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text",
                        *[find_all(F.col("text"), p).alias(f"h_{kind}") for kind, p in PATTERNS.items()])
-    split = hits.select("doc_id", "k", *[f"h_{kind}" for kind in KINDS], *[
-        F.when(F.size(f"h_{kind}") > 0, F.split("text", p, -1)).alias(f"g_{kind}") for kind, p in PATTERNS.items()],
-        *[spans(F.col("text"), p, F.col(f"h_{kind}")).alias(f"s_{kind}") for kind, p in PATTERNS.items()])
+    some = reduce(or_, [F.size(f"h_{kind}") > 0 for kind in KINDS])
+    split = hits.select("doc_id", "k", F.when(some, find_all(F.col("text"), f"(?s).{{1,{REACH + 1}}}")).alias("pieces"),
+                        *[spans(F.col("text"), p, F.col(f"h_{kind}")).alias(f"s_{kind}") for kind, p in PATTERNS.items()])
+
+    def piece(i: Column) -> Column:
+        return F.coalesce(F.get("pieces", i), F.lit(""))
+
+    def place(at: Column) -> tuple[Column, Column]:
+        """The piece of a code point and the place in it."""
+        return F.floor(at / (REACH + 1)).cast("int"), F.pmod(at, F.lit(REACH + 1)).cast("int")
+
+    def before(at: Column) -> Column:
+        n, r = place(at)
+        return F.when(n == 0, F.substr(piece(n), F.lit(1), r)).otherwise(
+            F.substr(F.concat(piece(n - 1), piece(n)), r + 1, F.lit(REACH + 1)))
+
+    def after(at: Column) -> Column:
+        n, r = place(at)
+        return F.substr(F.concat(piece(n), piece(n + 1)), r + 1, F.lit(REACH + 1))
 
     def of(rank: int, kind: str) -> Column:
-        gap = lambda i: F.get(F.col(f"g_{kind}"), i)
-        near = F.transform(f"s_{kind}", lambda s, i: F.struct(
+        valid = F.filter(f"s_{kind}", lambda s: _valid(kind, s["hit"]))
+        return F.transform(valid, lambda s: F.struct(
             s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["end"].alias("end"),
-            s["hit"].alias("hit"), F.substring(gap(i), -REACH, REACH).alias("before"),
-            (F.length(gap(i)) > REACH).alias("cut_before"),
-            F.substring(gap(i + 1), 1, REACH).alias("after"), (F.length(gap(i + 1)) > REACH).alias("cut_after")))
-        return F.filter(near, lambda s: _valid(kind, s["hit"]))
+            s["hit"].alias("hit"), before(s["start"]).alias("before"), after(s["end"]).alias("after")))
 
     return split.select("doc_id", "k", F.concat(*[of(i, kind) for i, kind in enumerate(KINDS)]).alias("found"))
 
@@ -77,12 +97,10 @@ def _contexts(base: DataFrame) -> DataFrame:
     """k, entity, term, start, end: the whole words near each entity, on its line."""
     one = base.select("k", F.explode("found").alias("s")).select(
         "k", F.lower("s.hit").alias("entity"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end"),
-        F.substring_index("s.before", "\n", -1).alias("before"), F.substring_index("s.after", "\n", 1).alias("after"),
-        (F.col("s.cut_before") & ~F.col("s.before").contains("\n")).alias("cut_before"),
-        (F.col("s.cut_after") & ~F.col("s.after").contains("\n")).alias("cut_after"))
+        F.substring_index("s.before", "\n", -1).alias("before"), F.substring_index("s.after", "\n", 1).alias("after"))
     words = lambda c: spans(F.col(c), TERM, find_all(F.col(c), TERM))
-    left = F.filter(words("before"), lambda w: ~F.col("cut_before") | (w["start"] > 0))
-    right = F.filter(words("after"), lambda w: ~F.col("cut_after") | (w["end"] < F.length("after")))
+    left = F.filter(words("before"), lambda w: F.length("before") - w["start"] <= REACH)
+    right = F.filter(words("after"), lambda w: w["end"] <= REACH)
     shift = lambda ws, by: F.transform(ws, lambda w: F.struct(
         F.lower(w["hit"]).alias("term"), (w["start"] + by).alias("start"), (w["end"] + by).alias("end")))
     at = F.concat(shift(left, F.col("s_start") - F.length("before")), shift(right, F.col("s_end")))
