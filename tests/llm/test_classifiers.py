@@ -104,3 +104,43 @@ def test_long_texts_are_scored_whole():
     long = " ".join(plain[:40] * 120)
     s = m.score([plain[0], bad[0], long, long + " vile", "", None])
     assert s[0] < 0.5 < s[1] and s[2] < 0.5 < s[3] and s[4] == s[5]
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Counts and thresholds equal those over all labelled rows outside the fold, which are more than were once sampled."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels").where("toxic IS NOT NULL")
+    monkeypatch.setattr(toxicity, "EPOCHS", 0)
+    monkeypatch.setattr(toxicity, "LEARNER_ROWS", 500)
+    model = toxicity.train(docs, labels)
+    rows = docs.join(labels.select("doc_id", "toxic"), "doc_id").where(~language.held_out(F.col("doc_id"))).select(
+        "text", "lang", "toxic", (F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(5)) == 0).alias("apart")).collect()
+    assert sum(not r["toxic"] for r in rows) > 2600
+    texts, label = toxicity.words_of([r["text"] for r in rows]), np.array([float(r["toxic"]) for r in rows])
+    apart = np.array([r["apart"] for r in rows])
+    plain = toxicity.Model([], np.zeros(0), [], np.zeros(2))
+    plain._fit_languages(texts, [r["lang"] for r in rows])
+    assert plain.names == model.names and np.array_equal(plain.words, model.words)
+    learn = [t for t, x in zip(texts, apart) if not x]
+    net = toxicity._open_net(toxicity._seen(learn, label[~apart]), np.bincount(label[~apart].astype(int)))
+    assert np.allclose(net.table, model.net.table, atol=1e-6)
+    check = [t for t, x in zip(texts, apart) if x]
+    raw, named, ones = model._raw(check), model._languages(check), np.ones(len(check))
+    plain._set_thresholds(raw, label[apart], named, ones, ones)
+    assert np.abs(plain.thresholds - model.thresholds).max() < 0.01
+
+
+def test_a_net_learns_in_partitions(spark):
+    """Places go out and back unchanged, and one round moves the words of the rows alone."""
+    texts, label = toxicity.words_of(["plain words here", "a vile word", "plain again", "vile it is"] * 40), np.array([0.0, 1, 0, 1] * 40)
+    n = np.bincount(label.astype(int))
+    a, b = (toxicity.Learner(toxicity._open_net(toxicity._seen(texts, label), n), n) for _ in range(2))
+    before = a.places()
+    a.learn(texts, label, np.random.default_rng(1))
+    moved = np.flatnonzero((a.places() != before).any(1))
+    used = set(np.unique(np.concatenate([x for h in texts for x in toxicity.buckets(h)])).tolist())
+    assert set(moved[moved < toxicity.BUCKETS].tolist()) <= used and len(moved) > 100
+    b.put(moved, a.places()[moved])
+    assert np.array_equal(a.places(), b.places())
+    b.learn(texts, label, np.random.default_rng(2))
+    assert not np.array_equal(a.places(), b.places())
