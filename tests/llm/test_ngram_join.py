@@ -98,3 +98,18 @@ def test_odd_rows(odd):
     assert len(got) == 11 and sum(r["root"] is None for r in got) == 4
     assert ngram_join.join(odd().limit(0)).count() == 0
     assert len(ngram_join.keep_one(odd()).columns) == len(odd().columns)
+
+
+def test_hashing_works_in_little_space():
+    """Word hashes of megabytes of text, in short texts or a long one, take a few megabytes beside the hashes themselves."""
+    import tracemalloc
+
+    from vitalflow.llm import hashing
+    hashing.release()
+    texts = [b"some words of a text " * 150] * 1000 + [b"one long text " * 100_000]
+    tracemalloc.start()
+    got = hashing.word_hashes(texts)
+    now, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [len(h) for h in got] == [750] * 1000 + [300_000]
+    assert most - sum(h.nbytes for h in got) < 32 << 20
