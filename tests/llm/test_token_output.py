@@ -150,3 +150,35 @@ def test_memory_of_words_is_bounded(monkeypatch):
     for text in TEXTS * 2:
         assert np.frombuffer(w.ids(text), "<u4").tolist() == whole(text)
     assert len(w) <= 5
+
+
+RUNS = ["good###", "good.,%%%", "Good&&&", "good", "l'été!!", "été!!", "été_-_", "x»", "x».", "x…!", "5!!", "good<|", "<|good|>", "s'", "'s'", "≠=", "good≠"]
+
+
+def test_punctuation_after_a_word_takes_no_whole_tokenizer(monkeypatch):
+    """A word with a run of any ASCII punctuation goes through the model; the run through the whole tokenizer, once."""
+    w, seen, plain = t.Words(PATH), [], t.Words._whole
+    monkeypatch.setattr(t.Words, "_whole", lambda self, word: seen.append(word) or plain(self, word))
+    for text in ["good### bad### été### ou*** good***", "bad good été"]:
+        assert np.frombuffer(w.ids(text), "<u4").tolist() == whole(text)
+    assert seen == [b"###", b"***"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([*RUNS, "#", ".", "'", "é", "́", " "]), max_size=9), st.booleans())
+def test_remembered_words_with_punctuation(parts, spaced):
+    w, text = t.Words(PATH), (" " if spaced else "").join(parts)
+    for _ in range(2):
+        assert np.frombuffer(w.ids(text), "<u4").tolist() == whole(text)
+
+
+def test_query_hands_no_ids_to_spark(spark, docs_of):
+    """The query returns checksums of the ids, so the ids themselves stay in Python; the operator still gives them."""
+    docs = docs_of([(1, "one two"), (2, None)])
+    out = t.query(docs, PATH)
+    assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert "ids#" not in out._jdf.queryExecution().analyzed().toString()
+    full = t.read_blocks(spark, t.write_blocks(docs, PATH))
+    assert full.columns == [*out.columns, "ids"]
+    assert sorted(map(tuple, full.drop("ids").collect())) == sorted(map(tuple, out.collect()))
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] for r in full.collect())

@@ -47,6 +47,7 @@ LOWEST = np.uint64(1 << 31)
 MAGIC = b"VRB1"
 # letters that stay single letters when lower-cased and normalised
 LOWER = frozenset(map(chr, [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+STOPS = bytes(b for b in range(33, 127) if not chr(b).isalnum())   # ASCII punctuation
 
 
 # --- tokens ------------------------------------------------------------------------
@@ -55,9 +56,9 @@ class Words(dict):
     """Bytes of the ids (uint32) of each word as written between white space, filled on demand.
 
     The tokenizer parts a text at white space first, so a text's ids are its words' ids in order. A
-    word of lower-case Latin letters, with or without full stops or commas after it, is one piece
-    (and one more for the stops): its ids come straight from the tokenizer's model. All else goes
-    through the whole tokenizer. The strings of special tokens are taken out first, in the case they
+    word of lower-case Latin letters, with or without ASCII punctuation after it, is one piece (and one
+    more for the punctuation): its ids come straight from the tokenizer's model, or from the same
+    word without punctuation if that is remembered. All else goes through the whole tokenizer. The strings of special tokens are taken out first, in the case they
     are written in, as the tokenizer does; a word that becomes one only in lower case is plain text.
     """
 
@@ -78,15 +79,15 @@ class Words(dict):
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         other = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
-        self.stops: dict[bytes, bytes] = {}       # ids of runs of full stops and commas
+        self.stops: dict[bytes, bytes] = {}       # ids of runs of punctuation
 
     def __missing__(self, word: bytes) -> bytes:
-        stem = word.rstrip(b".,")
+        stem = word.rstrip(STOPS)
         piece = self._piece(stem)
         if piece is None:
             out = self._whole(word)
         else:
-            out = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            out = self.get(stem) or array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
             if len(stem) < len(word):
                 out += self._stops(word[len(stem):])
         if len(self) >= self.MOST:
@@ -223,9 +224,11 @@ def _segments(n: int, lanes: int, marks: list, code: np.ndarray, freq: Frequenci
         width = min(lanes, n - (low + s) * lanes) if len(state) == 1 else lanes
         x = state[:, :width]
         slot = x & mask
-        p = slots[slot]
+        p = slots.take(slot.view(np.int64))
         got[:, s, :width] = p
-        x = freq.f[p] * (x >> bits) + slot - freq.first[p]
+        x = freq.f.take(p) * (x >> bits)
+        x += slot
+        x -= freq.first.take(p)
         need = x < LOWEST
         count = need.sum(1)
         if (pos + count > stop).any():
@@ -357,8 +360,11 @@ def read_frequencies(spark: SparkSession, path: str) -> Frequencies:
     return Frequencies(counted["id"].to_numpy(), counted["n"].to_numpy())
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and ids (uint32, little-endian) from the files alone."""
+def read_blocks(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and ids (uint32, little-endian) from the files alone.
+
+    Without ``with_ids`` all ids are decoded and summed up, but not handed from Python to Spark.
+    """
     freq = read_frequencies(spark, path)
     blocks = spark.read.schema(BLOCK_FORMAT).parquet(f"{path}/blocks")
     # the ids before each range: one row per range, bounded by the partition count
@@ -375,16 +381,19 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
         _, slots, _ = own.tables()
         for batch in batches:
             for r in batch.to_pylist():
-                ids = decode(r["block"], own, slots).astype("<u4")
+                ids = memoryview(decode(r["block"], own, slots).astype("<u4", copy=False)).cast("B")
                 lengths = np.frombuffer(r["lengths"], "<i8")
                 ends = np.cumsum(lengths)
-                parts = [ids[e - n:e].tobytes() for n, e in zip(lengths, ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_unpack_docs(r["docs"]), pa.int64()), pa.array(starts[r["range"]] + r["at"] + ends - lengths, pa.int64()),
-                     pa.array(lengths, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(parts, pa.binary())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                parts = [ids[4 * (e - n):4 * e] for n, e in zip(lengths.tolist(), ends.tolist())]
+                columns = [pa.array(_unpack_docs(r["docs"]), pa.int64()), pa.array(starts[r["range"]] + r["at"] + ends - lengths, pa.int64()),
+                           pa.array(lengths, pa.int64()), pa.array(list(map(zlib.crc32, parts)), pa.int64())]
+                if with_ids:
+                    columns.append(pa.array(list(map(bytes, parts)), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return blocks.mapInArrow(released(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    kinds = ["doc_id bigint", "start bigint", "n_tokens bigint", "ids_crc32 bigint"] + ["ids binary"] * with_ids
+    names = [k.split(" ")[0] for k in kinds]
+    return blocks.mapInArrow(released(run), ", ".join(kinds))
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,4 +406,4 @@ def query(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return read_blocks(docs.sparkSession, write_blocks(docs, tokenizer)).drop("ids")
+    return read_blocks(docs.sparkSession, write_blocks(docs, tokenizer), with_ids=False)
