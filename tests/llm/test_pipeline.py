@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vitalflow.llm import language
-from vitalflow.llm.common import read, staged
+from vitalflow.llm import hashing, language, mixing, ngram_join, token_output
+from vitalflow.llm.common import BATCH, BATCH_CONF, read, small_batches, staged
 
 from .conftest import SF
 from .test_ngram_join import brute
@@ -65,3 +69,43 @@ def test_stages_on_odd_rows_and_empty_tables(spark, odd, name, stage):
         assert out.columns == docs.columns
     none = stage(spark, docs.limit(0), SF)
     assert none.count() == 0 and none.columns == out.columns
+
+
+def test_texts_reach_workers_in_small_batches(spark):
+    """Every stage that hands texts to Python workers limits a batch by its bytes; a session's own limit stays."""
+    docs, rows = read(spark, SF, "documents"), lambda d: d.select("text").mapInArrow(_bytes, "n bigint")
+    long = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.drop_near_duplicates, corpus_pipeline.mix_sources, corpus_pipeline.write_tokens):
+        spark.conf.unset(BATCH_CONF)
+        stage(spark, docs, SF)
+        got = [r["n"] for r in rows(long).collect()]
+        assert len(got) > 1 and max(got) <= 1.1 * BATCH
+    spark.conf.set(BATCH_CONF, "5m")
+    small_batches(spark)
+    assert spark.conf.get(BATCH_CONF) == "5m"
+    spark.conf.unset(BATCH_CONF)
+
+
+def _bytes(batches):
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+
+def test_the_mix_plan_needs_no_python_workers(spark):
+    """Source sums become a table on the driver: rows from a list would start workers of another kind on each executor."""
+    sizes = spark.createDataFrame([(None, 10), ("b", 1 << 40), ("a", 0)], "source string, source_size bigint")
+    plan = mixing.plan_sources(sizes)
+    assert "ExistingRDD" not in plan._jdf.queryExecution().toString()
+    assert [(r["source"], r["source_size"]) for r in plan.collect()] == [("a", 0), ("b", 1 << 40), (None, 10)]
+    assert mixing.plan_sources(sizes.limit(0)).count() == 0
+
+
+def test_tasks_drop_what_other_operators_keep_in_a_worker():
+    """The tokenizer's memory goes also if the task's code is a copy, as in a worker."""
+    for keeps, left in (("words", 1), (None, 0)):
+        token_output._WORDS["x"] = None
+        task = cloudpickle.loads(cloudpickle.dumps(hashing.released(lambda batches: batches, keeps)))
+        assert list(task([1, 2])) == [1, 2] and len(token_output._WORDS) == left
+    token_output._WORDS["x"] = None
+    ngram_join._connect(5, 80)(pd.DataFrame({"home": [1], "i": [0], "j": [0], "guest": [False], "d": [7], "text": ["a b"]}))
+    assert not token_output._WORDS

@@ -18,13 +18,16 @@ empty table or one without words takes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick, staged
+from .common import pick, small_batches, staged
+from .hashing import released
 
 WEIGHTS = (1, 2, 3)      # repeating, over the sources by code point
 EPOCHS = 3               # no document is taken more often
@@ -93,8 +96,11 @@ def plan_sources(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, block:
     size = np.array([r["source_size"] for r in got], float)
     target = targets(size, np.array([weights[i % len(weights)] for i in range(len(got))], float))
     blocks = apportion(target, int(round(target.sum() / block)), np.ceil(EPOCHS * size / block).astype(np.int64))
-    rows = [(r["source"], int(r["source_size"]), float(t), int(b)) for r, t, b in zip(got, target, blocks)]
-    return sizes.sparkSession.createDataFrame(rows, "source string, source_size bigint, target double, blocks bigint")
+    # as an Arrow table: from a list Spark would start Python workers of another kind on every executor
+    table = pa.table({"source": pa.array([r["source"] for r in got], pa.string()),
+                      "source_size": pa.array([r["source_size"] for r in got], pa.int64()),
+                      "target": pa.array(target, pa.float64()), "blocks": pa.array(blocks, pa.int64())})
+    return sizes.sparkSession.createDataFrame(table, "source string, source_size bigint, target double, blocks bigint")
 
 
 def _quotas(group: pd.DataFrame) -> pd.DataFrame:
@@ -148,6 +154,7 @@ def first_words(text: str, n: int) -> str:
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself, all columns of ``docs``: a row for every whole pass over a document, and one
     cut after the words of the last blocks. Documents that the mix does not take are not in it."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     plan = mix(docs, **how).where("taken > 0").select(F.col("k").alias("m_k"), "size", "taken")
     # equal rows have equal keys; they share their words evenly enough: the largest of them counts
@@ -161,8 +168,10 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     out = out.withColumn("left", F.when(left < F.col("m_size"), left))
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, left: pd.Series) -> pd.Series:
-        return pd.Series([t if pd.isna(n) else first_words(t, int(n)) for t, n in zip(texts, left)])
+    @released
+    def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, left in parts:
+            yield pd.Series([t if pd.isna(n) else first_words(t, int(n)) for t, n in zip(texts, left)])
 
     out = out.withColumn(text, F.when(F.col("left").isNull(), F.col(text)).otherwise(cut(text, "left")))
     if "n_chars" in names:

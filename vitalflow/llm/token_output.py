@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import pick, staged
+from .common import pick, small_batches, staged
 from .hashing import KEPT, released, sliced
 
 END_ID = 2
@@ -326,6 +326,7 @@ def write_blocks(docs: DataFrame, tokenizer: str, path: str | None = None, end_i
                  text_col: str = "text") -> str:
     """Writes the files (see above) and returns their folder, by default one in the shared checkpoint folder."""
     spark = docs.sparkSession
+    small_batches(spark)
     path = path or scratch_path(spark, f"llm-token-files-{uuid.uuid4().hex}")
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("h", F.xxhash64("text"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -365,6 +366,7 @@ def read_blocks(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
 
     Without ``with_ids`` all ids are decoded and summed up, but not handed from Python to Spark.
     """
+    small_batches(spark)
     freq = read_frequencies(spark, path)
     blocks = spark.read.schema(BLOCK_FORMAT).parquet(f"{path}/blocks")
     # the ids before each range: one row per range, bounded by the partition count
