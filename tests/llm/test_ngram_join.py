@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from vitalflow.llm import ngram_join
 from vitalflow.llm.components import components
+from vitalflow.session import scratch_path
 
 
 def brute(rows, words, percent):
@@ -100,6 +102,32 @@ def test_odd_rows(odd):
     assert len(ngram_join.keep_one(odd()).columns) == len(odd().columns)
 
 
+def test_few_keys_make_few_files(spark, docs_of):
+    """The files written follow the rows, not the number of shuffle partitions: each costs an executor some processes."""
+    rng = random.Random(7)
+    texts = family(rng, 90, 60, 5, "a") + family(rng, 60, 100, 5, "b") + family(rng, 20, 60, 3, "c") * 3
+    rows = list(enumerate(texts))
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    top = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    old = set(top.iterdir())
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(docs_of(rows), 3, 90).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute(rows, 3, 90)
+    files = {}
+    for p in set(top.iterdir()) - old:
+        name = p.name.rpartition("-")[0].removeprefix("llm-")
+        files[name] = max(files.get(name, 0), len(list(p.glob("part-*"))))
+    few = {"set-classes", "heavy-postings", "heavy-counts", "candidates", "homes", "home-tokens", "needed-texts", "links",
+           "star-least", "large-star", "small-star", "set-roots", "component-ids"}
+    assert few <= set(files) and {k: n for k, n in files.items() if k in few and n > 1} == {}
+
+
 def test_hashing_works_in_little_space():
     """Word hashes of megabytes of text, in short texts or a long one, take a few megabytes beside the hashes themselves."""
     import tracemalloc
